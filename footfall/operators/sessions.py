@@ -22,15 +22,17 @@ _LISTS = {
 _MINUTE_TEXT = 16
 
 
-def session_bounds(actions: DataFrame) -> DataFrame:
+def session_bounds(actions: DataFrame, *by: str) -> DataFrame:
     """``session_id, first_at, last_at, step_length``; times in epoch seconds.
 
-    Everything combines map-side, so even a session with a large share of all
-    rows shuffles one row per task.
+    ``by`` names further columns to keep apart, see ``merge_bounds``. Everything
+    combines map-side, so even a session with a large share of all rows
+    shuffles one row per task.
     """
+    at = action_seconds(F.col("action_time"))
     return (
-        actions.select("session_id", action_seconds(F.col("action_time")).alias("at"))
-        .groupBy("session_id")
+        actions.select(*by, "session_id", at.alias("at"))
+        .groupBy(*by, "session_id")
         .agg(
             F.min("at").alias("first_at"),
             F.max("at").alias("last_at"),
@@ -39,21 +41,42 @@ def session_bounds(actions: DataFrame) -> DataFrame:
     )
 
 
+def merge_bounds(parts: DataFrame, *others: Column) -> DataFrame:
+    """Bounds of parts of sessions, put together per session."""
+    return parts.groupBy("session_id").agg(
+        F.min("first_at").alias("first_at"),
+        F.max("last_at").alias("last_at"),
+        F.sum("step_length").alias("step_length"),
+        *others,
+    )
+
+
 def session_rollup(actions: DataFrame) -> DataFrame:
     """``session_id, start_time, day_hour, visit_length, step_length``.
 
     Lengths are in milliseconds and in rows.
     """
-    return _with_times(session_bounds(actions), "step_length")
+    return _with_times(session_bounds(actions))
 
 
-def _with_times(bounds: DataFrame, *others: str) -> DataFrame:
+def session_rollup_of_users(actions: DataFrame, user_ids: DataFrame) -> DataFrame:
+    """The roll-up of the given users' actions, for ids too many to broadcast.
+
+    Rows are combined per user and session before the join, so what the join
+    shuffles is about one row per session instead of one per action.
+    """
+    per_user = session_bounds(actions, "user_id").join(user_ids, "user_id")
+    return _with_times(merge_bounds(per_user))
+
+
+def _with_times(bounds: DataFrame, *others: Column) -> DataFrame:
     start_time = seconds_text(F.col("first_at"))
     return bounds.select(
         "session_id",
         start_time.alias("start_time"),
         day_hour(start_time).alias("day_hour"),
         ((F.col("last_at") - F.col("first_at")) * 1000).alias("visit_length"),
+        "step_length",
         *others,
     )
 
@@ -73,41 +96,41 @@ def session_info(actions: DataFrame) -> DataFrame:
     after, so sorting a very long session is spread over many tasks and only
     the finished text, which has to fit one row anyway, meets in one.
     """
-    events = product_events(actions).select(
-        "*",
-        F.substring("action_time", 1, _MINUTE_TEXT).alias("minute"),
-        action_seconds(F.col("action_time")).alias("at"),
-    )
-    pieces = events.groupBy("session_id", "minute").agg(
-        F.min("at").alias("first_at"),
-        F.max("at").alias("last_at"),
-        F.count(F.lit(1)).alias("steps"),
-        *[_piece(kind).alias(name) for kind, name in _LISTS.items()],
-    )
-    whole = pieces.groupBy("session_id").agg(
-        F.min("first_at").alias("first_at"),
-        F.max("last_at").alias("last_at"),
-        F.sum("steps").alias("step_length"),
-        F.sort_array(F.collect_list(F.struct("minute", *_LISTS.values()))).alias("pieces"),
-    )
-    joined = whole.select(
-        "*",
-        *[_join_pieces(name).alias(name) for name in _LISTS.values()],
+    entry = F.when(F.col("kind").isNotNull(), F.struct("action_time", "value", "kind"))
+    minutes = (
+        product_events(actions)
+        .select(
+            "session_id",
+            F.substring("action_time", 1, _MINUTE_TEXT).alias("minute"),
+            action_seconds(F.col("action_time")).alias("at"),
+            entry.alias("entry"),
+        )
+        .groupBy("session_id", "minute")
+        .agg(
+            F.min("at").alias("first_at"),
+            F.max("at").alias("last_at"),
+            F.count(F.lit(1)).alias("step_length"),
+            F.sort_array(F.collect_list("entry")).alias("entries"),
+        )
     )
-    return _with_times(joined, "step_length", *_LISTS.values())
+    pieces = minutes.select(
+        "*", *[_piece(kind).alias(name) for kind, name in _LISTS.items()]
+    ).drop("entries")
+    piece = F.struct("minute", *_LISTS.values())
+    whole = merge_bounds(pieces, F.sort_array(F.collect_list(piece)).alias("pieces"))
+    return _with_times(whole, *[_join_pieces(name).alias(name) for name in _LISTS.values()])
 
 
 def _piece(kind: str) -> Column:
     """One kind's values of a minute, joined; NULL if it has none."""
-    entry = F.when(F.col("kind") == kind, F.struct("action_time", "value"))
-    entries = F.sort_array(F.collect_list(entry))
-    text = F.array_join(F.transform(entries, lambda e: e["value"]), ",")
+    entries = F.filter("entries", lambda entry: entry["kind"] == kind)
+    text = F.array_join(F.transform(entries, lambda entry: entry["value"]), ",")
     return F.when(F.size(entries) > 0, text)
 
 
 def _join_pieces(name: str) -> Column:
     """A session's pieces in time order; minutes without the kind drop out."""
-    return F.array_join(F.transform(F.col("pieces"), lambda piece: piece[name]), ",")
+    return F.array_join(F.transform("pieces", lambda piece: piece[name]), ",")
 
 
 def session_buckets(

@@ -10,7 +10,7 @@ from footfall.conditions import Conditions
 from footfall.operators.actions import actions_of_users, matching_users
 from footfall.operators.categories import TOP_N
 from footfall.operators.sampling import SAMPLE_SIZE, SEED
-from footfall.operators.sessions import session_rollup
+from footfall.operators.sessions import session_rollup, session_rollup_of_users
 from footfall.plans.reports import (
     category_session_top,
     category_top,
@@ -48,11 +48,17 @@ def run_all(
     scratch = Scratch(actions.sparkSession, run_id)
     try:
         user_ids = scratch.keep(matching_users(users, conditions), "users")
-        if user_ids.count() <= broadcast_users:
+        few_users = user_ids.count() <= broadcast_users
+        if few_users:
             user_ids = F.broadcast(user_ids)
         kept = actions_of_users(actions, user_ids, conditions)
 
-        sessions = scratch.keep(session_rollup(kept), "sessions")
+        if few_users:
+            sessions = session_rollup(kept)
+        else:
+            in_range = actions.where(conditions.on_actions())
+            sessions = session_rollup_of_users(in_range, user_ids)
+        sessions = scratch.keep(sessions, "sessions")
         sink(session_stats(sessions, conditions, run_id), "session_stat_info")
         sink(
             session_extract(kept, run_id, sessions, sample_size, seed),

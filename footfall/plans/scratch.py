@@ -8,11 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``.
+    """The checkpoint folder the session names.
 
     Only a local session may go without; it has no other machine to share with.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = (
+        spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    )
     if folder:
         return folder.rstrip("/")
     if spark.conf.get("spark.master", "").startswith("local"):

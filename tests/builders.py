@@ -1,0 +1,90 @@
+"""Small hand-made frames."""
+
+from footfall.schema import USER_INFO, USER_VISIT_ACTION
+
+_BLANK = {
+    "page_id": 1,
+    "search_keyword": None,
+    "click_category_id": -1,
+    "click_product_id": -1,
+    "order_category_ids": None,
+    "order_product_ids": None,
+    "pay_category_ids": None,
+    "pay_product_ids": None,
+    "city_id": 1,
+}
+
+
+def action(session_id, user_id, time, **payload):
+    return {
+        **_BLANK,
+        "date": time[:10],
+        "user_id": user_id,
+        "session_id": session_id,
+        "action_time": time,
+        **payload,
+    }
+
+
+def search(session_id, user_id, time, word):
+    return action(session_id, user_id, time, search_keyword=word)
+
+
+def click(session_id, user_id, time, category, product=1):
+    return action(
+        session_id, user_id, time, click_category_id=category, click_product_id=product
+    )
+
+
+def order(session_id, user_id, time, categories, products="1"):
+    return action(
+        session_id, user_id, time, order_category_ids=categories, order_product_ids=products
+    )
+
+
+def pay(session_id, user_id, time, categories, products="1"):
+    return action(
+        session_id, user_id, time, pay_category_ids=categories, pay_product_ids=products
+    )
+
+
+def actions_frame(spark, rows):
+    ordered = [tuple(row[name] for name in USER_VISIT_ACTION.names) for row in rows]
+    return spark.createDataFrame(ordered, USER_VISIT_ACTION)
+
+
+def users_frame(spark, rows):
+    """Rows are (user_id, age, professional)."""
+    full = [(i, f"user_{i}", f"name_{i}", age, job, "M") for i, age, job in rows]
+    return spark.createDataFrame(full, USER_INFO)
+
+
+def rows(df):
+    return sorted((tuple(row) for row in df.collect()), key=repr)
+
+
+# Thirteen actions whose answers were worked out by hand.
+def worked_actions(spark):
+    day = "2018-11-26 "
+    return actions_frame(
+        spark,
+        [
+            search("s1", 1, day + "09:59:50", "phone"),
+            click("s1", 1, day + "09:59:55", 3, 7),
+            click("s1", 1, day + "10:00:00", 3, 7),
+            click("s2", 3, day + "10:10:00", 5, 1),
+            click("s2", 3, day + "10:10:02", 3, 2),
+            order("s2", 3, day + "10:10:04", "3,5", "7,8"),
+            order("s2", 3, day + "10:10:06", "5", "9"),
+            pay("s2", 3, day + "10:10:08", "5", "9"),
+            search("s2", 3, day + "10:10:11", "i7"),
+            click("s3", 2, day + "10:20:00", 9, 1),
+            click("s4", 1, "2018-12-29 10:00:00", 9, 1),
+            click("s5", 3, day + "10:30:00", 5, 1),
+            click("s6", 99, day + "11:00:00", 9, 1),
+        ],
+    )
+
+
+def worked_users(spark):
+    return users_frame(spark, [(1, 20, "student"), (2, 51, "teacher"), (3, 50, "manager")])

@@ -1,0 +1,170 @@
+"""Random small inputs against a row-by-row computation in plain Python."""
+
+import hashlib
+import math
+from collections import Counter, defaultdict
+from datetime import datetime
+
+from builders import actions_frame, rows, users_frame
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from footfall.conditions import Conditions
+from footfall.operators.actions import filtered_actions
+from footfall.operators.sessions import session_rollup
+from footfall.plans import category_session_top, category_top, session_extract, session_stats
+
+CONDITIONS = Conditions("2018-11-02", "2018-11-03", 20, 40, ("a", "b"))
+
+ids = st.lists(st.sampled_from(["1", "2", "3", "10", ""]), max_size=3).map(",".join)
+optional_ids = st.none() | ids
+
+
+@st.composite
+def an_action(draw):
+    day = draw(st.integers(1, 4))
+    hour, minute, second = draw(st.integers(0, 2)), draw(st.integers(0, 2)), draw(st.integers(0, 59))
+    return {
+        "date": f"2018-11-{day:02d}",
+        "user_id": draw(st.integers(1, 6)),
+        "session_id": draw(st.sampled_from(["s1", "s2", "s_3", "s4", "s5", "s6", "s7"])),
+        "page_id": 1,
+        "action_time": f"2018-11-{day:02d} {hour:02d}:{minute:02d}:{second:02d}",
+        "search_keyword": draw(st.none() | st.sampled_from(["", "k1", "k2"])),
+        "click_category_id": draw(st.sampled_from([-1, -1, 1, 2, 10])),
+        "click_product_id": draw(st.sampled_from([-1, -1, 5, 40])),
+        "order_category_ids": draw(optional_ids),
+        "order_product_ids": draw(optional_ids),
+        "pay_category_ids": draw(optional_ids),
+        "pay_product_ids": draw(optional_ids),
+        "city_id": 1,
+    }
+
+
+some_users = st.lists(
+    st.tuples(st.integers(1, 6), st.integers(18, 42), st.sampled_from(["a", "b", "c"])), max_size=8
+)
+
+
+def keep(actions, users):
+    return [
+        a
+        for a in actions
+        for (user_id, age, job) in users
+        if a["user_id"] == user_id
+        and "2018-11-02" <= a["date"] <= "2018-11-03"
+        and 20 <= age <= 40
+        and job in ("a", "b")
+    ]
+
+
+def half_up(value):
+    return math.floor(value + 0.5)
+
+
+def sessions_of(kept):
+    groups = defaultdict(list)
+    for a in kept:
+        groups[a["session_id"]].append(a)
+    return groups
+
+
+def info(actions):
+    times = sorted(datetime.fromisoformat(a["action_time"]) for a in actions)
+    lists = {"keyword": [], "click": [], "order": [], "pay": []}
+    for a in actions:
+        when = a["action_time"]
+        if a["search_keyword"] is not None:
+            lists["keyword"].append((when, a["search_keyword"]))
+        elif a["click_product_id"] != -1:
+            lists["click"].append((when, str(a["click_product_id"])))
+        elif a["order_product_ids"] is not None:
+            lists["order"].append((when, a["order_product_ids"]))
+        elif a["pay_product_ids"] is not None:
+            lists["pay"].append((when, a["pay_product_ids"]))
+    return (
+        times[0].strftime("%Y-%m-%d %H:%M:%S"),
+        len(actions),
+        int((times[-1] - times[0]).total_seconds() * 1000),
+        *(",".join(value for _, value in sorted(entries)) for entries in lists.values()),
+    )
+
+
+def expected_stats(groups):
+    n = len(groups)
+    infos = [info(actions) for actions in groups.values()]
+    long_visits = sum(i[2] > 10000 for i in infos)
+    many_steps = sum(i[1] > 5 for i in infos)
+    parts = (long_visits, n - long_visits, many_steps, n - many_steps)
+    shares = [half_up(1000.0 * part / n) / 10.0 if n else None for part in parts]
+    return ("r", CONDITIONS.to_json(), n, *shares)
+
+
+def expected_extract(groups, size, seed):
+    hours = defaultdict(list)
+    for name, actions in groups.items():
+        hours[info(actions)[0].split(":")[0]].append(name)
+    out = []
+    for names in hours.values():
+        quota = min(half_up(len(names) / float(len(groups)) * size), len(names))
+        names.sort(key=lambda s: (hashlib.md5(f"{s}:{seed}".encode()).hexdigest(), s))
+        out += [("r", name, *info(groups[name])) for name in names[:quota]]
+    return sorted(out, key=repr)
+
+
+def expected_top(kept):
+    counts = defaultdict(Counter)
+    for a in kept:
+        if a["click_category_id"] != -1:
+            counts[str(a["click_category_id"])]["click"] += 1
+        elif a["order_category_ids"]:
+            for token in filter(None, a["order_category_ids"].split(",")):
+                counts[token]["order"] += 1
+        elif a["pay_category_ids"]:
+            for token in filter(None, a["pay_category_ids"].split(",")):
+                counts[token]["pay"] += 1
+    ranked = sorted(
+        counts.items(), key=lambda kv: (-kv[1]["click"], -kv[1]["order"], -kv[1]["pay"], kv[0])
+    )
+    return [("r", c, k["click"], k["order"], k["pay"]) for c, k in ranked[:2]]
+
+
+def expected_top_sessions(kept, top):
+    listed = {row[1] for row in top}
+    clicks = Counter(
+        (str(a["click_category_id"]), a["session_id"])
+        for a in kept
+        if str(a["click_category_id"]) in listed
+    )
+    out = []
+    for category in listed:
+        mine = [(-n, s) for (c, s), n in clicks.items() if c == category]
+        out += [("r", category, s, -n) for n, s in sorted(mine)[:3]]
+    return sorted(out, key=repr)
+
+
+@settings(
+    max_examples=12,
+    deadline=None,
+    derandomize=True,
+    suppress_health_check=[HealthCheck.function_scoped_fixture, HealthCheck.too_slow],
+)
+@given(st.lists(an_action(), max_size=60), some_users, st.integers(1, 9))
+def test_reports_match_plain_python(spark, actions, users, size):
+    kept = keep(actions, users)
+    groups = sessions_of(kept)
+    frame = filtered_actions(
+        actions_frame(spark, actions), users_frame(spark, users), CONDITIONS
+    )
+
+    stats = session_stats(session_rollup(frame), CONDITIONS, "r")
+    assert rows(stats) == [expected_stats(groups)]
+
+    extract = session_extract(frame, "r", sample_size=size, seed=size)
+    assert rows(extract) == expected_extract(groups, size, size)
+
+    top = category_top(frame, "r", 2)
+    answer = expected_top(kept)
+    assert [tuple(row) for row in top.collect()] == answer
+    best = category_session_top(frame, top, "r", 3, 2)
+    assert rows(best) == expected_top_sessions(kept, answer)

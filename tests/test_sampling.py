@@ -1,0 +1,95 @@
+"""Properties of the samples on the given tables."""
+
+import pytest
+
+import __spark_entry__ as contract
+from footfall.operators.actions import filtered_actions
+from footfall.operators.sampling import (
+    hour_hash_histogram,
+    hour_quota,
+    stratified_sessions,
+    uniform_sample,
+)
+from footfall.operators.sessions import session_rollup, sessions_per_hour
+from footfall.sources import shop_tables as shop
+
+from pyspark.sql import functions as F
+
+SF_DIR = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="module")
+def kept(spark):
+    frame = filtered_actions(
+        shop.visit_actions(spark, SF_DIR, shop.DEFAULT_CONDITIONS),
+        shop.user_info(spark, SF_DIR),
+        shop.DEFAULT_CONDITIONS,
+    ).cache()
+    yield frame
+    frame.unpersist()
+
+
+def ids(frame):
+    return sorted(row[0] for row in frame.select("session_id").collect())
+
+
+@pytest.mark.parametrize("size", [1, 50, 400, 1000, 100_000])
+def test_sample_fills_the_quotas_exactly(kept, size):
+    sessions = session_rollup(kept)
+    quotas = {
+        row.day_hour: row.quota
+        for row in hour_quota(hour_hash_histogram(sessions), size).collect()
+    }
+    sample = stratified_sessions(kept, sample_size=size)
+    drawn = {row.day_hour: row.session_count for row in sessions_per_hour(sample).collect()}
+    assert drawn == {hour: quota for hour, quota in quotas.items() if quota}
+    found = ids(sample)
+    assert len(found) == len(set(found)) == sum(quotas.values())
+
+
+def test_same_sample_on_any_layout_and_another_for_another_seed(kept):
+    sample = ids(stratified_sessions(kept, sample_size=200))
+    for partitions in (1, 17):
+        again = kept.repartition(partitions)
+        assert ids(stratified_sessions(again, sample_size=200)) == sample
+    assert ids(stratified_sessions(kept, sample_size=200, seed=1)) != sample
+
+
+def test_given_rollup_gives_the_same_sample(kept):
+    sample = ids(stratified_sessions(kept, sample_size=200))
+    given = stratified_sessions(kept, session_rollup(kept), sample_size=200)
+    assert ids(given) == sample
+
+
+def test_uniform_sample_is_exact_and_layout_free(kept):
+    sessions = session_rollup(kept)
+    sample = ids(uniform_sample(sessions, "session_id", 100))
+    assert len(set(sample)) == 100
+    assert ids(uniform_sample(sessions.repartition(13), "session_id", 100)) == sample
+
+
+def test_most_actions_are_dropped_before_the_lists(spark):
+    """One hot hour, a small sample: the bound lets few sessions through."""
+    actions = spark.range(0, 60_000).select(
+        F.concat(F.lit("s"), (F.col("id") / 3).cast("bigint").cast("string")).alias("session_id"),
+        F.when(F.col("id") < 20_000, "2018-11-26 09:00:00")
+        .otherwise(F.concat(F.lit("2018-11-26 1"), F.col("id") % 3 * 0, F.lit(":00:00")))
+        .alias("action_time"),
+        F.lit(None).cast("string").alias("search_keyword"),
+        F.lit(5).alias("click_product_id"),
+        F.lit(None).cast("string").alias("order_product_ids"),
+        F.lit(None).cast("string").alias("pay_product_ids"),
+    )
+    sessions = session_rollup(actions)
+    quotas = hour_quota(hour_hash_histogram(sessions), 30)
+    bound = quotas.agg(F.max("cutoff_bits")).first()[0]
+    histogram = hour_hash_histogram(sessions).collect()
+    candidates = sum(row.sessions for row in histogram if row.bits <= bound)
+    assert 30 <= candidates < 20_000 / 50
+    assert stratified_sessions(actions, sample_size=30).count() == 30
+
+
+def test_ratio_pairs_sum_to_a_hundred(spark):
+    stats = contract.queries()["session_stats"](spark, SF_DIR).first()
+    assert abs(stats.visit_length_gt_10_ratio + stats.visit_length_le_10_ratio - 100) <= 0.1
+    assert abs(stats.step_length_gt_5_ratio + stats.step_length_le_5_ratio - 100) <= 0.1

@@ -1,0 +1,137 @@
+"""Tables, stamps and the JDBC writer's settings.
+
+No database is started: the JDBC test looks at what Spark's writer is told.
+"""
+
+import pytest
+from builders import rows, users_frame
+from pyspark.sql import DataFrameWriter
+
+from footfall.conditions import Conditions
+from footfall.plans.scratch import Scratch, shared_folder
+from footfall.schema import USER_INFO
+from footfall.sources.sinks import append_jdbc, append_table, jdbc_sink, stamp_run
+from footfall.sources.tables import preview, read_table, replace_table, use_database
+
+
+@pytest.fixture
+def users(spark):
+    return users_frame(spark, [(1, 20, "学生"), (2, 30, "teacher")])
+
+
+@pytest.fixture
+def told(monkeypatch):
+    """What the writer was told, in place of connecting anywhere."""
+    calls = {}
+
+    def note(name):
+        def method(self, *args, **options):
+            if name == "option":
+                calls[args[0]] = args[1]
+            elif name == "options":
+                calls.update(options)
+            elif name == "save":
+                calls["saved"] = calls.get("saved", 0) + 1
+            else:
+                calls[name] = args[0]
+            return self
+
+        return method
+
+    for name in ("format", "option", "options", "mode", "save"):
+        monkeypatch.setattr(DataFrameWriter, name, note(name))
+    return calls
+
+
+def test_jdbc_append_settings(users, told):
+    options = {"url": "jdbc:any://host/db", "user": "u", "password": "p"}
+    append_jdbc(users, "results", options, connections=4, batch_size=50)
+    assert told == {
+        "format": "jdbc",
+        **options,
+        "dbtable": "results",
+        "numPartitions": "4",
+        "batchsize": "50",
+        "mode": "append",
+        "saved": 1,
+    }
+
+
+def test_jdbc_sink_is_called_with_frame_and_table(users, told):
+    jdbc_sink({"url": "jdbc:any://host/db"}, connections=2)(users, "other")
+    assert (told["dbtable"], told["numPartitions"], told["mode"]) == ("other", "2", "append")
+
+
+def test_jdbc_errors_propagate(users):
+    with pytest.raises(Exception):
+        append_jdbc(users, "t", {"url": "jdbc:nosuchdriver://host/db"})
+
+
+def test_stamp_comes_first(users):
+    stamped = stamp_run(users, "run")
+    assert stamped.columns == ["taskId", *users.columns]
+    assert {row.taskId for row in stamped.collect()} == {"run"}
+
+
+def test_replace_table_replaces(spark, users):
+    replace_table(users, "replaced")
+    again = replace_table(users.where("user_id = 1"), "replaced")
+    assert rows(again) == rows(users.where("user_id = 1"))
+    assert rows(read_table(spark, "replaced", USER_INFO)) == rows(again)
+
+
+def test_append_table_appends(spark, users):
+    append_table(users, "appended")
+    append_table(users, "appended")
+    assert spark.table("appended").count() == 4
+
+
+def test_database_is_used_when_named(spark, users):
+    spark.sql("CREATE DATABASE IF NOT EXISTS shop")
+    try:
+        replace_table(users, "in_shop", "shop")
+        assert spark.catalog.currentDatabase() == "shop"
+        use_database(spark, None)
+        assert spark.catalog.currentDatabase() == "shop"
+        assert read_table(spark, "in_shop", USER_INFO, "shop").count() == 2
+    finally:
+        use_database(spark, "default")
+    with pytest.raises(Exception):
+        use_database(spark, "no_such_database")
+
+
+def test_preview_is_the_first_rows_in_column_order(users):
+    assert [row.user_id for row in preview(users, 1).collect()] == [1]
+
+
+def test_scratch_is_in_the_folder_of_the_session(spark, users):
+    folder = spark.conf.get("spark.checkpoint.dir")
+    assert shared_folder(spark) == folder
+    scratch = Scratch(spark, "some-run")
+    kept = scratch.keep(users, "users")
+    assert rows(kept) == rows(users)
+    assert f"{folder}/footfall-some-run/users" in kept.inputFiles()[0]
+    scratch.drop()
+    with pytest.raises(Exception):
+        spark.read.parquet(f"{folder}/footfall-some-run/users")
+
+
+def test_cluster_without_a_shared_folder_is_an_error():
+    class Conf:
+        def get(self, key, default=None):
+            return {"spark.master": "yarn"}.get(key, default)
+
+    class Context:
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf = Conf()
+        sparkContext = Context()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(Session())
+
+
+def test_conditions_text_is_json():
+    assert Conditions(professionals=("学生",)).to_json() == '{"professionals": ["学生"]}'

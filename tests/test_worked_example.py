@@ -1,0 +1,123 @@
+"""The hand-worked example, report by report and as one run."""
+
+import pytest
+from builders import rows, worked_actions, worked_users
+
+from footfall.conditions import Conditions
+from footfall.operators.actions import category_events, filtered_actions
+from footfall.operators.categories import category_counts, top_categories
+from footfall.operators.sampling import hour_hash_histogram, hour_quota
+from footfall.operators.sessions import session_info, session_rollup
+from footfall.plans import (
+    category_session_top,
+    category_top,
+    run_all,
+    session_extract,
+    session_stats,
+)
+from footfall.schema import (
+    CATEGORY_TOP10,
+    CATEGORY_TOP10_SESSION_COUNT,
+    RANDOM_SESSION_INFO,
+    SESSION_STAT_INFO,
+)
+
+CONDITIONS = Conditions("2018-11-01", "2018-12-28", 20, 50)
+
+SESSIONS = {
+    "s1": ("2018-11-26 09:59:50", 3, 10000, "phone", "7,7", "", ""),
+    "s2": ("2018-11-26 10:10:00", 6, 11000, "i7", "1,2", "7,8,9", "9"),
+    "s5": ("2018-11-26 10:30:00", 1, 0, "", "1", "", ""),
+}
+STATS = [("r", CONDITIONS.to_json(), 3, 33.3, 66.7, 33.3, 66.7)]
+TOP = [("r", "3", 3, 1, 0), ("r", "5", 2, 2, 1)]
+TOP_SESSIONS = [
+    ("r", "3", "s1", 2),
+    ("r", "3", "s2", 1),
+    ("r", "5", "s2", 1),
+    ("r", "5", "s5", 1),
+]
+
+
+@pytest.fixture
+def kept(spark):
+    return filtered_actions(worked_actions(spark), worked_users(spark), CONDITIONS)
+
+
+def names_and_types(schema):
+    return [(field.name, field.dataType) for field in schema]
+
+
+def test_filter(kept):
+    assert kept.count() == 10
+    assert {row.session_id for row in kept.collect()} == {"s1", "s2", "s5"}
+
+
+def test_session_stats(kept):
+    stats = session_stats(session_rollup(kept), CONDITIONS, "r")
+    assert names_and_types(stats.schema) == names_and_types(SESSION_STAT_INFO)
+    assert rows(stats) == STATS
+
+
+def test_session_info(kept):
+    columns = (
+        "start_time step_length visit_length search_keywords click_product_ids "
+        "order_product_ids pay_product_ids"
+    ).split()
+    info = session_info(kept).select("session_id", *columns).collect()
+    assert {row[0]: tuple(row[1:]) for row in info} == SESSIONS
+
+
+@pytest.mark.parametrize("size, quotas", [(2, (1, 1)), (1000, (1, 2))])
+def test_hour_quota(kept, size, quotas):
+    found = hour_quota(hour_hash_histogram(session_rollup(kept)), size)
+    assert rows(found.select("day_hour", "session_count", "quota")) == [
+        ("2018-11-26 09", 1, quotas[0]),
+        ("2018-11-26 10", 2, quotas[1]),
+    ]
+
+
+@pytest.mark.parametrize("size, sessions", [(2, ["s1", "s5"]), (1000, ["s1", "s2", "s5"])])
+def test_session_extract(kept, size, sessions):
+    extract = session_extract(kept, "r", sample_size=size)
+    assert names_and_types(extract.schema) == names_and_types(RANDOM_SESSION_INFO)
+    assert rows(extract) == [("r", name, *SESSIONS[name]) for name in sessions]
+
+
+def test_category_top(kept):
+    top = category_top(kept, "r")
+    assert names_and_types(top.schema) == names_and_types(CATEGORY_TOP10)
+    assert [tuple(row) for row in top.collect()] == TOP
+
+
+def test_category_session_top(kept):
+    top = top_categories(category_counts(category_events(kept)))
+    best = category_session_top(kept, top, "r")
+    assert names_and_types(best.schema) == names_and_types(CATEGORY_TOP10_SESSION_COUNT)
+    assert rows(best) == TOP_SESSIONS
+
+
+@pytest.mark.parametrize("broadcast_users", [0, 1000])
+def test_run_all(spark, broadcast_users):
+    delivered = {}
+
+    def sink(frame, table):
+        delivered[table] = rows(frame)
+
+    run_id = run_all(
+        worked_actions(spark),
+        worked_users(spark),
+        CONDITIONS,
+        sink,
+        run_id=f"r{broadcast_users}",
+        broadcast_users=broadcast_users,
+    )
+    expected = {
+        "session_stat_info": STATS,
+        "random_session_info": [("r", name, *SESSIONS[name]) for name in sorted(SESSIONS)],
+        "category_top10": TOP,
+        "category_top10_session_count": TOP_SESSIONS,
+    }
+    assert list(delivered) == list(expected)
+    for table, answer in expected.items():
+        assert delivered[table] == [(run_id, *row[1:]) for row in answer]
