@@ -103,7 +103,7 @@ def queries() -> dict[str, Query]:
         "scan_products": shop.product_info,
         "dim_city": shop.city_info,
         "conform_actions": _on_actions(_conform_actions),
-        "preview_limit": _on_actions(preview),
+        "preview_limit": _on_actions(lambda a: preview(a, 100, *a.columns)),
         "stamp_run": _on_users(lambda u: stamp_run(u, RUN_ID)),
         # Filters and the join
         "filter_date_range": lambda spark, sf_dir: shop.visit_actions(

@@ -1,6 +1,6 @@
 """Column expressions shared by the operators; all native, none is a UDF."""
 
-from footfall.functions.hashing import hash_bits, sample_hash, within_bits
+from footfall.functions.hashing import below_ceiling, hash_bits, hash_ceiling, sample_hash
 from footfall.functions.kinds import (
     category_ids,
     category_kind,
@@ -16,11 +16,13 @@ from footfall.functions.times import action_seconds, day_hour, seconds_text
 
 __all__ = [
     "action_seconds",
+    "below_ceiling",
     "category_ids",
     "category_kind",
     "day_hour",
     "half_up",
     "hash_bits",
+    "hash_ceiling",
     "is_click",
     "is_order",
     "is_pay",
@@ -31,5 +33,4 @@ __all__ = [
     "sample_hash",
     "seconds_text",
     "split_ids",
-    "within_bits",
 ]

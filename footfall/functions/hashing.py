@@ -26,8 +26,11 @@ def hash_bits(hashed: Column) -> Column:
     return F.length(F.bin(prefix))
 
 
-def within_bits(hashed: Column, bits: Column) -> Column:
-    """Whether ``hash_bits(hashed) <= bits``, at the cost of one text compare."""
+def hash_ceiling(bits: Column) -> Column:
+    """Prefix text of the largest hash with that many significant bits."""
     largest = F.call_function("shiftleft", F.lit(1).cast("bigint"), bits) - F.lit(1)
-    ceiling = F.lpad(F.lower(F.hex(largest)), _PREFIX_DIGITS, "0")
+    return F.lpad(F.lower(F.hex(largest)), _PREFIX_DIGITS, "0")
+
+
+def below_ceiling(hashed: Column, ceiling: Column) -> Column:
     return F.substring(hashed, 1, _PREFIX_DIGITS) <= ceiling

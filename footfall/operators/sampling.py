@@ -4,7 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from footfall.functions import hash_bits, proportional_quota, sample_hash, within_bits
+from footfall.functions import (
+    below_ceiling,
+    hash_bits,
+    hash_ceiling,
+    proportional_quota,
+    sample_hash,
+)
 from footfall.operators.sessions import session_info, session_rollup
 
 SAMPLE_SIZE = 1000
@@ -71,9 +77,9 @@ def stratified_sessions(
     if sessions is None:
         sessions = session_rollup(actions)
     quotas = hour_quota(hour_hash_histogram(sessions, seed), sample_size)
-    bound = quotas.agg(F.max("cutoff_bits")).scalar()
+    ceiling = quotas.agg(hash_ceiling(F.max("cutoff_bits"))).scalar()
     hashed = sample_hash(F.col("session_id"), seed)
-    candidates = session_info(actions.where(within_bits(hashed, bound)))
+    candidates = session_info(actions.where(below_ceiling(hashed, ceiling)))
     in_hash_order = Window.partitionBy("day_hour").orderBy(hashed, "session_id")
     return (
         candidates.join(quotas.select("day_hour", "quota"), "day_hour")

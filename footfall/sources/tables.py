@@ -25,9 +25,9 @@ def read_parquet(spark: SparkSession, path: str, schema: StructType) -> DataFram
     return conform(spark.read.parquet(path), schema)
 
 
-def preview(df: DataFrame, n: int = PREVIEW_ROWS) -> DataFrame:
-    """The first n rows in column order, so that the same ones come each time."""
-    return df.orderBy(*df.columns).limit(n)
+def preview(df: DataFrame, n: int = PREVIEW_ROWS, *order: str) -> DataFrame:
+    """The first n rows: any, read from few files, or by the columns given."""
+    return (df.orderBy(*order) if order else df).limit(n)
 
 
 def replace_table(

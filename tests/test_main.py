@@ -1,0 +1,32 @@
+"""The command line, from catalog tables to catalog tables."""
+
+import json
+
+from builders import rows, worked_actions, worked_users
+
+from footfall.__main__ import main
+from footfall.sources.tables import replace_table, use_database
+
+
+def test_reports_from_tables_to_tables(spark, tmp_path, capsys):
+    spark.sql("CREATE DATABASE IF NOT EXISTS shop_main")
+    replace_table(worked_actions(spark), "user_visit_action", "shop_main")
+    replace_table(worked_users(spark), "user_info", "shop_main")
+    use_database(spark, "default")
+    text = json.dumps(
+        {"startDate": "2018-11-01", "endDate": "2018-12-28", "startAge": "20", "endAge": "50"}
+    )
+    conditions = tmp_path / "conditions.json"
+    conditions.write_text(text, "utf-8")
+    try:
+        first = main(["--database", "shop_main", "--conditions", str(conditions)])
+        second = main(["--database", "shop_main", "--conditions", str(conditions)])
+        assert capsys.readouterr().out.split() == [first, second]
+        stats = rows(spark.table("session_stat_info"))
+        answer = (text, 3, 33.3, 66.7, 33.3, 66.7)
+        assert stats == sorted((run, *answer) for run in (first, second))
+        assert spark.table("random_session_info").count() == 2 * 3
+        assert spark.table("category_top10").count() == 2 * 2
+        assert spark.table("category_top10_session_count").count() == 2 * 4
+    finally:
+        use_database(spark, "default")

@@ -100,8 +100,9 @@ def test_database_is_used_when_named(spark, users):
         use_database(spark, "no_such_database")
 
 
-def test_preview_is_the_first_rows_in_column_order(users):
-    assert [row.user_id for row in preview(users, 1).collect()] == [1]
+def test_preview_of_any_rows_or_of_the_first(users):
+    assert preview(users, 1).count() == 1
+    assert [row.user_id for row in preview(users, 1, "user_id").collect()] == [1]
 
 
 def test_scratch_is_in_the_folder_of_the_session(spark, users):
