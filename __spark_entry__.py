@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F  # noqa: E402
 from footfall.conditions import Conditions  # noqa: E402
 from footfall.functions import (  # noqa: E402
     category_kind,
+    epoch_seconds,
     is_click,
     is_order,
     is_pay,
@@ -139,8 +140,8 @@ def queries() -> dict[str, Query]:
         "session_time_bounds": _on_filtered(
             lambda a: ses.session_bounds(a).select(
                 "session_id",
-                (F.col("first_at") * 1000).alias("first_ms"),
-                (F.col("last_at") * 1000).alias("last_ms"),
+                (epoch_seconds(F.col("first_at")) * 1000).alias("first_ms"),
+                (epoch_seconds(F.col("last_at")) * 1000).alias("last_ms"),
             )
         ),
         "session_visit_length": _on_sessions(lambda s: s.select("session_id", "visit_length")),

@@ -12,25 +12,33 @@ from footfall.functions.kinds import (
 )
 from footfall.functions.numbers import half_up, percent, proportional_quota
 from footfall.functions.text import split_ids
-from footfall.functions.times import action_seconds, day_hour, seconds_text
+from footfall.functions.times import (
+    action_moment,
+    day_hour,
+    epoch_seconds,
+    moment_text,
+    seconds_between,
+)
 
 __all__ = [
-    "action_seconds",
+    "action_moment",
     "below_ceiling",
     "category_ids",
     "category_kind",
     "day_hour",
+    "epoch_seconds",
     "half_up",
     "hash_bits",
     "hash_ceiling",
     "is_click",
     "is_order",
     "is_pay",
+    "moment_text",
     "percent",
     "product_kind",
     "product_value",
     "proportional_quota",
     "sample_hash",
-    "seconds_text",
+    "seconds_between",
     "split_ids",
 ]

@@ -1,23 +1,37 @@
-"""Action times are ``yyyy-MM-dd HH:mm:ss`` text; arithmetic is in seconds."""
+"""Action times are ``yyyy-MM-dd HH:mm:ss`` text without a zone.
+
+They are read as zone-free timestamps, so no result depends on the session's
+time zone and no clock change stretches a visit.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
+# Length of "yyyy-MM-dd HH:mm:ss".
+_SECOND_TEXT = 19
 
 
-def action_seconds(time_text: Column) -> Column:
-    """Epoch seconds of a time text, in the session time zone.
+def action_moment(time_text: Column) -> Column:
+    """A time text as a zone-free timestamp; what follows the seconds is ignored.
 
-    A plain cast takes the fast parser. Seconds are a bigint, so min and max
-    over them stay in the hash aggregate, which text would not.
+    The plain cast is the fast parser, and min and max over the result stay in
+    the hash aggregate, which text would not.
     """
-    return F.unix_seconds(time_text.cast("timestamp"))
+    return F.substring(time_text, 1, _SECOND_TEXT).cast("timestamp_ntz")
+
+
+def seconds_between(later: Column, earlier: Column) -> Column:
+    return (later - earlier).cast("interval second").cast("bigint")
+
+
+def epoch_seconds(moment: Column) -> Column:
+    """Seconds since 1970, counting the moment as UTC."""
+    return seconds_between(moment, F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
 
 
-def seconds_text(seconds: Column) -> Column:
-    return F.date_format(F.timestamp_seconds(seconds), TIME_FORMAT)
+def moment_text(moment: Column) -> Column:
+    return moment.cast("string")
 
 
 def day_hour(time_text: Column) -> Column:

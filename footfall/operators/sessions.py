@@ -4,7 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from footfall.functions import action_seconds, day_hour, percent, seconds_text
+from footfall.functions import (
+    action_moment,
+    day_hour,
+    moment_text,
+    percent,
+    seconds_between,
+)
 from footfall.operators.actions import product_events
 
 LONG_VISIT_MS = 10_000
@@ -23,13 +29,13 @@ _MINUTE_TEXT = 16
 
 
 def session_bounds(actions: DataFrame, *by: str) -> DataFrame:
-    """``session_id, first_at, last_at, step_length``; times in epoch seconds.
+    """``session_id, first_at, last_at, step_length``; the times are zone-free.
 
     ``by`` names further columns to keep apart, see ``merge_bounds``. Everything
     combines map-side, so even a session with a large share of all rows
     shuffles one row per task.
     """
-    at = action_seconds(F.col("action_time"))
+    at = action_moment(F.col("action_time"))
     return (
         actions.select(*by, "session_id", at.alias("at"))
         .groupBy(*by, "session_id")
@@ -70,12 +76,13 @@ def session_rollup_of_users(actions: DataFrame, user_ids: DataFrame) -> DataFram
 
 
 def _with_times(bounds: DataFrame, *others: Column) -> DataFrame:
-    start_time = seconds_text(F.col("first_at"))
+    start_time = moment_text(F.col("first_at"))
+    seconds = seconds_between(F.col("last_at"), F.col("first_at"))
     return bounds.select(
         "session_id",
         start_time.alias("start_time"),
         day_hour(start_time).alias("day_hour"),
-        ((F.col("last_at") - F.col("first_at")) * 1000).alias("visit_length"),
+        (seconds * 1000).alias("visit_length"),
         "step_length",
         *others,
     )
@@ -102,7 +109,7 @@ def session_info(actions: DataFrame) -> DataFrame:
         .select(
             "session_id",
             F.substring("action_time", 1, _MINUTE_TEXT).alias("minute"),
-            action_seconds(F.col("action_time")).alias("at"),
+            action_moment(F.col("action_time")).alias("at"),
             entry.alias("entry"),
         )
         .groupBy("session_id", "minute")

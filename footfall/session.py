@@ -11,11 +11,10 @@ def build_session(
     shuffle_partitions: int | None = None,
     **conf: str,
 ) -> SparkSession:
-    """A session with the time zone and adaptive settings the reports rely on.
+    """A session with the adaptive settings the reports rely on.
 
     On a cluster the caller's own session works as well; what matters there is
-    ``spark.sql.session.timeZone=UTC`` and adaptive execution (on by default),
-    whose skew-join handling splits a hot ``user_id``.
+    adaptive execution (on by default), whose skew join splits a hot user.
     """
     builder = (
         SparkSession.builder.appName(app_name)

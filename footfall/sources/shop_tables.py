@@ -46,13 +46,14 @@ def visit_actions(
     def only(event_type: str, value: Column) -> Column:
         return F.when(F.col("event_type") == event_type, value)
 
-    date = F.date_format("ts", "yyyy-MM-dd")
+    time = F.substring(F.col("ts").cast("string"), 1, 19)
+    date = F.substring(F.col("ts").cast("string"), 1, 10)
     actions = events.select(
         date.alias("date"),
         "user_id",
         F.concat(F.col("user_id").cast("string"), F.lit("-"), date).alias("session_id"),
         (F.col("event_id") % 50 + 1).alias("page_id"),
-        F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("action_time"),
+        time.alias("action_time"),
         only("view", F.concat(F.lit("kw_"), (k % 6).cast("string"))).alias("search_keyword"),
         only("click", category).otherwise(-1).alias("click_category_id"),
         only("click", product).otherwise(-1).alias("click_product_id"),

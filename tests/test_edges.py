@@ -7,11 +7,12 @@ from builders import action, actions_frame, click, order, pay, rows, search, use
 
 from footfall.conditions import Conditions
 from footfall.functions import (
-    action_seconds,
+    action_moment,
     category_kind,
+    epoch_seconds,
     half_up,
+    moment_text,
     product_kind,
-    seconds_text,
     split_ids,
 )
 from footfall.operators.actions import category_events, filtered_actions, product_events
@@ -322,13 +323,32 @@ def test_half_up(spark, value, whole):
     assert frame.dtypes == [("x", "bigint")]
 
 
-def test_time_round_trip(spark):
-    frame = spark.createDataFrame([("2018-11-26 09:05:07",)], "t string")
-    found = frame.select(
-        action_seconds(F.col("t")).alias("s"), seconds_text(action_seconds(F.col("t"))).alias("t")
-    ).first()
-    assert found.s == 1543223107
-    assert found.t == "2018-11-26 09:05:07"
+@pytest.mark.parametrize(
+    "text", ["2018-11-26 09:05:07", "2018-11-26 9:5:7", "2018-11-26 09:05:07.900"]
+)
+def test_time_round_trip(spark, text):
+    moment = action_moment(F.col("t"))
+    found = (
+        spark.createDataFrame([(text,)], "t string")
+        .select(epoch_seconds(moment).alias("s"), moment_text(moment).alias("t"))
+        .first()
+    )
+    assert tuple(found) == (1543223107, "2018-11-26 09:05:07")
+
+
+def test_no_result_depends_on_the_session_time_zone(spark):
+    """The night a New York clock jumps from two to three."""
+    actions = actions_frame(
+        spark,
+        [click("a", 1, f"2024-03-10 {time}", 1) for time in ("01:59:58", "02:30:00", "03:00:05")],
+    )
+    answers = []
+    for zone in ("America/New_York", "UTC"):
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        answers.append(rows(session_info(actions)))
+    assert answers[0] == answers[1]
+    info = session_info(actions).first()
+    assert (info.start_time, info.visit_length) == ("2024-03-10 01:59:58", 3_607_000)
 
 
 def test_malformed_time_raises(spark):
