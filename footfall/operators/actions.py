@@ -36,9 +36,10 @@ def filtered_actions(
 def category_events(actions: DataFrame) -> DataFrame:
     """One row per (action, category): ``session_id, kind, category_id``.
 
-    A list that names a category twice counts it twice.
+    A list that names a category twice counts it twice. Actions without a kind
+    are dropped by a filter of its own, which moves below a join.
     """
-    return actions.select(
+    return actions.where(category_kind().isNotNull()).select(
         "session_id",
         category_kind().alias("kind"),
         F.explode(category_ids()).alias("category_id"),

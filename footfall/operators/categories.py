@@ -39,16 +39,17 @@ def clicks_in_categories(
 ) -> DataFrame:
     """``category_id, session_id`` of the actions that clicked a listed category.
 
-    ``top_n`` is the row limit ``top`` was built with; a longer list is left to
-    the planner.
+    Written as IN over a subquery, the semi-join moves below any join the
+    actions come from, which then carries no other rows. ``top_n`` is the row
+    limit ``top`` was built with; a longer list is left to the planner.
     """
-    wanted = top.select("category_id")
+    listed = top.select("category_id")
     if top_n <= _BROADCAST_ROWS:
-        wanted = F.broadcast(wanted)
-    clicked = actions.select(
-        F.col("click_category_id").cast("string").alias("category_id"), "session_id"
+        listed = F.broadcast(listed)
+    clicked = F.col("click_category_id").cast("string")
+    return actions.where(clicked.isin(listed)).select(
+        clicked.alias("category_id"), "session_id"
     )
-    return clicked.join(wanted, "category_id", "left_semi")
 
 
 def category_session_counts(clicks: DataFrame) -> DataFrame:

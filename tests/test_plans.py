@@ -6,9 +6,14 @@ import pytest
 
 import __spark_entry__ as contract
 from footfall.conditions import Conditions
-from footfall.operators.actions import filtered_actions
-from footfall.operators.categories import top_sessions
-from footfall.operators.sessions import session_rollup
+from footfall.operators.actions import category_events, filtered_actions
+from footfall.operators.categories import (
+    category_counts,
+    clicks_in_categories,
+    top_categories,
+    top_sessions,
+)
+from footfall.operators.sessions import session_info, session_rollup
 from footfall.schema import USER_INFO, USER_VISIT_ACTION
 from footfall.sources.tables import read_parquet
 
@@ -67,6 +72,21 @@ def test_top_lists_are_cut_in_the_map_tasks(spark):
     assert re.search(r"BroadcastHashJoin .*LeftSemi", text)
 
 
+def test_category_filters_move_below_the_user_join(spark, stored):
+    """With no broadcast of users, only rows that count are shuffled for them."""
+    kept = filtered_actions(*stored, Conditions())
+    top = top_categories(category_counts(category_events(kept)))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        clicks = plan(clicks_in_categories(kept, top))
+        events = plan(category_events(kept))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert clicks.index("SortMergeJoin [user_id") < clicks.index("LeftSemi, BuildRight")
+    below = events[events.index("SortMergeJoin [user_id") :]
+    assert re.search(r"Filter .*CASE WHEN NOT \(click_category_id", below)
+
+
 def test_counts_combine_before_the_shuffle(stored):
     actions, users = stored
     text = plan(session_rollup(filtered_actions(actions, users, Conditions())))
@@ -91,6 +111,18 @@ def executed_nodes(node):
         yield from executed_nodes(child)
 
 
+def test_lists_are_collected_per_session_and_minute(stored):
+    """A very long session is spread over tasks until its text is joined."""
+    actions, users = stored
+    text = plan(session_info(filtered_actions(actions, users, Conditions())))
+    exchanges = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", text)
+    keys = [re.sub(r"#\d+L?", "", keys) for keys in exchanges]
+    assert [key for key in keys if key.startswith("session_id")] == [
+        "session_id, 8",
+        "session_id, minute, 8",
+    ]
+
+
 def test_sample_scans_the_actions_twice_only(spark):
     """Once to count hours, once to build the lists of the candidates."""
     frame = contract.queries()["session_extract"](spark, SF_DIR)
