@@ -97,4 +97,12 @@ def conform(df: DataFrame, schema: StructType) -> DataFrame:
     missing = [f.name for f in schema if f.name.lower() not in present]
     if missing:
         raise ValueError(f"input lacks column(s): {', '.join(missing)}")
-    return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
+    types = {field.name: field.dataType for field in df.schema}
+    return df.select(
+        [
+            f.name
+            if types.get(f.name) == f.dataType
+            else F.col(f.name).cast(f.dataType).alias(f.name)
+            for f in schema
+        ]
+    )

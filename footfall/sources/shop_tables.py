@@ -7,7 +7,7 @@ for an order), ``customer`` the users, ``part`` the products, ``nation`` and
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from footfall.conditions import Conditions
 from footfall.schema import CITY_INFO, PRODUCT_INFO, USER_INFO, USER_VISIT_ACTION, conform
@@ -21,10 +21,6 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _ids(*values: Column) -> Column:
-    return F.concat_ws(",", *[value.cast("string") for value in values])
-
-
 def visit_actions(
     spark: SparkSession, sf_dir: str, conditions: Conditions | None = None
 ) -> DataFrame:
@@ -39,51 +35,45 @@ def visit_actions(
     if conditions is not None and conditions.end_date is not None:
         next_day = F.date_add(F.lit(conditions.end_date).cast("date"), 1)
         events = events.where(F.col("ts") < next_day.cast("timestamp_ntz"))
-
-    k = F.regexp_extract("props", "([0-9]+)", 1).cast("bigint")
-    category, product = k % 20 + 1, k % 100 + 1
-
-    def only(event_type: str, value: Column) -> Column:
-        return F.when(F.col("event_type") == event_type, value)
-
-    time = F.substring(F.col("ts").cast("string"), 1, 19)
-    date = F.substring(F.col("ts").cast("string"), 1, 10)
-    actions = events.select(
-        date.alias("date"),
+    actions = events.selectExpr(
+        "*",
+        "substring(string(ts), 1, 10) AS date",
+        "bigint(regexp_extract(props, '([0-9]+)', 1)) AS k",
+    ).selectExpr(
+        "date",
         "user_id",
-        F.concat(F.col("user_id").cast("string"), F.lit("-"), date).alias("session_id"),
-        (F.col("event_id") % 50 + 1).alias("page_id"),
-        time.alias("action_time"),
-        only("view", F.concat(F.lit("kw_"), (k % 6).cast("string"))).alias("search_keyword"),
-        only("click", category).otherwise(-1).alias("click_category_id"),
-        only("click", product).otherwise(-1).alias("click_product_id"),
-        only("signup", _ids(category, (k + 7) % 20 + 1)).alias("order_category_ids"),
-        only("signup", _ids(product, (k + 13) % 100 + 1)).alias("order_product_ids"),
-        only("purchase", _ids(category)).alias("pay_category_ids"),
-        only("purchase", _ids(product)).alias("pay_product_ids"),
-        (F.col("event_id") % 25).alias("city_id"),
+        "concat(user_id, '-', date) AS session_id",
+        "event_id % 50 + 1 AS page_id",
+        "substring(string(ts), 1, 19) AS action_time",
+        "CASE WHEN event_type = 'view' THEN concat('kw_', k % 6) END AS search_keyword",
+        "CASE WHEN event_type = 'click' THEN k % 20 + 1 ELSE -1 END AS click_category_id",
+        "CASE WHEN event_type = 'click' THEN k % 100 + 1 ELSE -1 END AS click_product_id",
+        "CASE WHEN event_type = 'signup' THEN concat(k % 20 + 1, ',', (k + 7) % 20 + 1) END"
+        " AS order_category_ids",
+        "CASE WHEN event_type = 'signup' THEN concat(k % 100 + 1, ',', (k + 13) % 100 + 1) END"
+        " AS order_product_ids",
+        "CASE WHEN event_type = 'purchase' THEN string(k % 20 + 1) END AS pay_category_ids",
+        "CASE WHEN event_type = 'purchase' THEN string(k % 100 + 1) END AS pay_product_ids",
+        "event_id % 25 AS city_id",
     )
     return conform(actions, USER_VISIT_ACTION)
 
 
 def user_info(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("c_custkey")
-    users = _table(spark, sf_dir, "customer").select(
-        key.alias("user_id"),
-        F.col("c_name").alias("username"),
-        F.col("c_name").alias("name"),
-        (key % 50 + 10).alias("age"),
-        F.col("c_mktsegment").alias("professional"),
-        F.when(key % 2 == 0, "M").otherwise("F").alias("gender"),
+    users = _table(spark, sf_dir, "customer").selectExpr(
+        "c_custkey AS user_id",
+        "c_name AS username",
+        "c_name AS name",
+        "int(c_custkey % 50 + 10) AS age",
+        "c_mktsegment AS professional",
+        "CASE WHEN c_custkey % 2 = 0 THEN 'M' ELSE 'F' END AS gender",
     )
     return conform(users, USER_INFO)
 
 
 def product_info(spark: SparkSession, sf_dir: str) -> DataFrame:
-    products = _table(spark, sf_dir, "part").select(
-        F.col("p_partkey").alias("product_id"),
-        F.col("p_name").alias("product_name"),
-        F.col("p_type").alias("extend_info"),
+    products = _table(spark, sf_dir, "part").selectExpr(
+        "p_partkey AS product_id", "p_name AS product_name", "p_type AS extend_info"
     )
     return conform(products, PRODUCT_INFO)
 
@@ -91,9 +81,7 @@ def product_info(spark: SparkSession, sf_dir: str) -> DataFrame:
 def city_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = _table(spark, sf_dir, "nation")
     region = _table(spark, sf_dir, "region")
-    cities = nation.join(region, nation["n_regionkey"] == region["r_regionkey"]).select(
-        F.col("n_nationkey").alias("city_id"),
-        F.col("n_name").alias("city_name"),
-        F.col("r_name").alias("area"),
+    cities = nation.join(region, nation["n_regionkey"] == region["r_regionkey"]).selectExpr(
+        "n_nationkey AS city_id", "n_name AS city_name", "r_name AS area"
     )
     return conform(cities, CITY_INFO)
