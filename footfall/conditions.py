@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 import json
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
@@ -28,10 +29,11 @@ def _names(value: object) -> tuple[str, ...]:
         return ()
     items: Iterable[str]
     if isinstance(value, str):
-        items = (part.strip().strip("'\"") for part in value.split(","))
+        quote = "'" if "'" in value else '"'
+        items = next(csv.reader([value], quotechar=quote, skipinitialspace=True))
     else:
         items = (str(part) for part in value)
-    return tuple(item for item in items if item.strip())
+    return tuple(item.strip() for item in items if item.strip())
 
 
 def _all_of(predicates: Iterable[Column]) -> Column:

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -25,6 +27,13 @@ def read_parquet(spark: SparkSession, path: str, schema: StructType) -> DataFram
     return conform(spark.read.parquet(path), schema)
 
 
+def from_rows(
+    spark: SparkSession, rows: Iterable[tuple[object, ...]], schema: StructType
+) -> DataFrame:
+    """A small literal table, such as a list of cities."""
+    return spark.createDataFrame(list(rows), schema)
+
+
 def preview(df: DataFrame, n: int = PREVIEW_ROWS, *order: str) -> DataFrame:
     """The first n rows: any, read from few files, or by the columns given."""
     return (df.orderBy(*order) if order else df).limit(n)

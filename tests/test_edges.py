@@ -78,6 +78,20 @@ def test_condition_text_forms():
     assert conditions.to_json() == text
 
 
+@pytest.mark.parametrize(
+    "text, names",
+    [
+        ("a,b", ("a", "b")),
+        ("'a', 'b'", ("a", "b")),
+        ("'a, b','it''s'", ("a, b", "it's")),
+        ('"a, b",c', ("a, b", "c")),
+        (",", ()),
+    ],
+)
+def test_profession_text(text, names):
+    assert Conditions.from_dict({"professionals": text}).professionals == names
+
+
 def test_condition_values_are_not_sql(spark):
     tricky = "x' or '1'='1"
     users = users_frame(spark, [(1, 30, tricky), (2, 30, "other")])

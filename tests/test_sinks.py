@@ -9,9 +9,15 @@ from pyspark.sql import DataFrameWriter
 
 from footfall.conditions import Conditions
 from footfall.plans.scratch import Scratch, shared_folder
-from footfall.schema import USER_INFO
+from footfall.schema import CITY_INFO, USER_INFO
 from footfall.sources.sinks import append_jdbc, append_table, jdbc_sink, stamp_run
-from footfall.sources.tables import preview, read_table, replace_table, use_database
+from footfall.sources.tables import (
+    from_rows,
+    preview,
+    read_table,
+    replace_table,
+    use_database,
+)
 
 
 @pytest.fixture
@@ -80,6 +86,13 @@ def test_replace_table_replaces(spark, users):
     assert rows(read_table(spark, "replaced", USER_INFO)) == rows(again)
 
 
+def test_literal_rows_become_a_table(spark):
+    cities = [(1, "Springfield", "north"), (2, "Shelbyville", None)]
+    table = replace_table(from_rows(spark, cities, CITY_INFO), "city_info")
+    assert rows(table) == cities
+    assert table.schema == CITY_INFO
+
+
 def test_append_table_appends(spark, users):
     append_table(users, "appended")
     append_table(users, "appended")
