@@ -130,14 +130,15 @@ def session_info(actions: DataFrame) -> DataFrame:
 
 def _piece(kind: str) -> Column:
     """One kind's values of a minute, joined; NULL if it has none."""
-    entries = F.filter("entries", lambda entry: entry["kind"] == kind)
-    text = F.array_join(F.transform(entries, lambda entry: entry["value"]), ",")
-    return F.when(F.size(entries) > 0, text)
+    return F.expr(
+        f"CASE WHEN exists(entries, e -> e.kind = '{kind}') THEN"
+        f" array_join(filter(entries, e -> e.kind = '{kind}').value, ',') END"
+    )
 
 
 def _join_pieces(name: str) -> Column:
     """A session's pieces in time order; minutes without the kind drop out."""
-    return F.array_join(F.transform("pieces", lambda piece: piece[name]), ",")
+    return F.array_join(F.col("pieces")[name], ",")
 
 
 def session_buckets(
