@@ -6,9 +6,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 TOP_N = 10
 
-# A top list is broadcast as long as its own limit keeps it this small.
-_BROADCAST_ROWS = 10_000
-
 
 def category_action_counts(events: DataFrame) -> DataFrame:
     """Tall form: ``category_id, kind, action_count``."""
@@ -34,20 +31,15 @@ def top_categories(counts: DataFrame, n: int = TOP_N) -> DataFrame:
     ).limit(n)
 
 
-def clicks_in_categories(
-    actions: DataFrame, top: DataFrame, top_n: int = TOP_N
-) -> DataFrame:
+def clicks_in_categories(actions: DataFrame, top: DataFrame) -> DataFrame:
     """``category_id, session_id`` of the actions that clicked a listed category.
 
     Written as IN over a subquery, the semi-join moves below any join the
-    actions come from, which then carries no other rows. ``top_n`` is the row
-    limit ``top`` was built with; a longer list is left to the planner.
+    actions come from, which then carries no other rows. It needs no hint: the
+    planner knows a limited list's size, and broadcasts it if that is small.
     """
-    listed = top.select("category_id")
-    if top_n <= _BROADCAST_ROWS:
-        listed = F.broadcast(listed)
     clicked = F.col("click_category_id").cast("string")
-    return actions.where(clicked.isin(listed)).select(
+    return actions.where(clicked.isin(top.select("category_id"))).select(
         clicked.alias("category_id"), "session_id"
     )
 

@@ -58,10 +58,10 @@ def category_top(actions: DataFrame, run_id: str, n: int = TOP_N) -> DataFrame:
 
 
 def category_session_top(
-    actions: DataFrame, top: DataFrame, run_id: str, n: int = TOP_N, top_n: int = TOP_N
+    actions: DataFrame, top: DataFrame, run_id: str, n: int = TOP_N
 ) -> DataFrame:
-    """The n most active sessions in each category of ``top`` (``top_n`` at most)."""
-    clicks = clicks_in_categories(actions, top, top_n)
+    """The n most active sessions in each category of ``top``."""
+    clicks = clicks_in_categories(actions, top)
     best = top_sessions(category_session_counts(clicks), n)
     return stamp_run(
         best.select(

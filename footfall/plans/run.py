@@ -68,7 +68,7 @@ def run_all(
         top = scratch.keep(category_top(kept, run_id, top_n), "top_categories")
         sink(top, "category_top10")
         sink(
-            category_session_top(kept, top, run_id, sessions_per_category, top_n),
+            category_session_top(kept, top, run_id, sessions_per_category),
             "category_top10_session_count",
         )
     finally:

@@ -166,5 +166,5 @@ def test_reports_match_plain_python(spark, actions, users, size):
     top = category_top(frame, "r", 2)
     answer = expected_top(kept)
     assert [tuple(row) for row in top.collect()] == answer
-    best = category_session_top(frame, top, "r", 3, 2)
+    best = category_session_top(frame, top, "r", 3)
     assert rows(best) == expected_top_sessions(kept, answer)

@@ -248,12 +248,6 @@ def test_top_category_without_clicks_has_no_sessions(spark):
     assert rows(clicks) == [("4", "a")]
 
 
-def test_long_top_list_is_not_broadcast_by_hint(spark):
-    actions = actions_frame(spark, [click("a", 1, NOON, 3), click("b", 1, NOON, 4)])
-    top = spark.createDataFrame([("3",)], "category_id string")
-    assert rows(clicks_in_categories(actions, top, top_n=10**9)) == [("3", "a")]
-
-
 def test_top_sessions_per_category_are_bounded_and_ordered(spark):
     counts = spark.createDataFrame(
         [("1", f"s{i:02d}", i // 2) for i in range(30)] + [("2", "only", 1)],

@@ -76,7 +76,7 @@ def test_category_filters_move_below_the_user_join(spark, stored):
     """With no broadcast of users, only rows that count are shuffled for them."""
     kept = filtered_actions(*stored, Conditions())
     top = top_categories(category_counts(category_events(kept)))
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "500")
     try:
         clicks = plan(clicks_in_categories(kept, top))
         events = plan(category_events(kept))

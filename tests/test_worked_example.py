@@ -121,3 +121,29 @@ def test_run_all(spark, broadcast_users):
     assert list(delivered) == list(expected)
     for table, answer in expected.items():
         assert delivered[table] == [(run_id, *row[1:]) for row in answer]
+
+
+def test_run_with_nobody_matching_and_scratch_left_clean(spark):
+    delivered = {}
+
+    def sink(frame, table):
+        delivered[table] = rows(frame)
+
+    nobody = Conditions(start_age=99)
+    run_id = run_all(worked_actions(spark), worked_users(spark), nobody, sink)
+    assert delivered.pop("session_stat_info") == [
+        (run_id, nobody.to_json(), 0, None, None, None, None)
+    ]
+    assert set(map(tuple, delivered.values())) == {()}
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(f"{spark.conf.get('spark.checkpoint.dir')}/footfall-{run_id}/users")
+
+
+def test_failed_sink_stops_the_run_and_clears_scratch(spark):
+    def sink(frame, table):
+        raise RuntimeError(table)
+
+    with pytest.raises(RuntimeError, match="session_stat_info"):
+        run_all(worked_actions(spark), worked_users(spark), CONDITIONS, sink, run_id="failed")
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(f"{spark.conf.get('spark.checkpoint.dir')}/footfall-failed/users")
