@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,20 +26,20 @@ def shared_folder(spark: SparkSession) -> str:
 class Scratch:
     """Tables written once and read back, so that lost executors cost no rerun.
 
-    Being files, they also tell the planner their true size. ``drop`` deletes
-    the folder of this run and nothing else.
+    Being files, they also tell the planner their true size. The folder is new
+    each time, even for a run id used before, and ``drop`` deletes only that.
     """
 
     def __init__(self, spark: SparkSession, run_id: str) -> None:
         self._spark = spark
-        self._folder = f"{shared_folder(spark)}/footfall-{run_id}"
+        self.folder = f"{shared_folder(spark)}/footfall-{run_id}-{uuid.uuid4().hex}"
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
-        path = f"{self._folder}/{name}"
+        path = f"{self.folder}/{name}"
         df.write.parquet(path)
         return self._spark.read.schema(df.schema).parquet(path)
 
     def drop(self) -> None:
         sc = self._spark.sparkContext
-        path = sc._jvm.org.apache.hadoop.fs.Path(self._folder)
+        path = sc._jvm.org.apache.hadoop.fs.Path(self.folder)
         path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)

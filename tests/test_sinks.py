@@ -3,6 +3,8 @@
 No database is started: the JDBC test looks at what Spark's writer is told.
 """
 
+from pathlib import Path
+
 import pytest
 from builders import rows, users_frame
 from pyspark.sql import DataFrameWriter
@@ -121,13 +123,15 @@ def test_preview_of_any_rows_or_of_the_first(users):
 def test_scratch_is_in_the_folder_of_the_session(spark, users):
     folder = spark.conf.get("spark.checkpoint.dir")
     assert shared_folder(spark) == folder
-    scratch = Scratch(spark, "some-run")
-    kept = scratch.keep(users, "users")
+    scratch, other = Scratch(spark, "some-run"), Scratch(spark, "some-run")
+    kept, untouched = scratch.keep(users, "users"), other.keep(users, "users")
+    assert scratch.folder.startswith(f"{folder}/footfall-some-run-")
+    assert f"{scratch.folder}/users" in kept.inputFiles()[0]
     assert rows(kept) == rows(users)
-    assert f"{folder}/footfall-some-run/users" in kept.inputFiles()[0]
     scratch.drop()
-    with pytest.raises(Exception):
-        spark.read.parquet(f"{folder}/footfall-some-run/users")
+    assert not Path(scratch.folder).exists()
+    assert rows(untouched) == rows(users)
+    other.drop()
 
 
 def test_cluster_without_a_shared_folder_is_an_error():
