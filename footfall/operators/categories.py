@@ -6,6 +6,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 TOP_N = 10
 
+# Spark's default for spark.sql.optimizer.windowGroupLimitThreshold.
+_MAP_SIDE_CUT = 1000
+_SLICES = 64
+
 
 def category_action_counts(events: DataFrame) -> DataFrame:
     """Tall form: ``category_id, kind, action_count``."""
@@ -54,12 +58,18 @@ def top_per_group(df: DataFrame, group: str, order: list[Column], n: int) -> Dat
     """The first n rows of each group.
 
     The literal bound lets Spark cut every group to n rows inside each map
-    task, so a hot group sends n rows per task, not all it has.
+    task, so a hot group sends n rows per task, not all it has. Above the bound
+    Spark does that for, groups are cut in slices first, each a task of its own.
     """
-    ranked = df.withColumn(
-        "rank", F.row_number().over(Window.partitionBy(group).orderBy(*order))
-    )
-    return ranked.where(F.col("rank") <= n).drop("rank")
+    if n > _MAP_SIDE_CUT:
+        sliced = df.withColumn("slice", F.pmod(F.xxhash64(*df.columns), F.lit(_SLICES)))
+        df = _first_rows(sliced, [group, "slice"], order, n).drop("slice")
+    return _first_rows(df, [group], order, n)
+
+
+def _first_rows(df: DataFrame, by: list[str], order: list[Column], n: int) -> DataFrame:
+    rank = F.row_number().over(Window.partitionBy(*by).orderBy(*order))
+    return df.withColumn("rank", rank).where(F.col("rank") <= n).drop("rank")
 
 
 def top_sessions(counts: DataFrame, n: int = TOP_N) -> DataFrame:

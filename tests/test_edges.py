@@ -257,6 +257,19 @@ def test_top_sessions_per_category_are_bounded_and_ordered(spark):
     assert rows(best) == [("1", "s26", 13), ("1", "s28", 14), ("1", "s29", 14), ("2", "only", 1)]
 
 
+def test_long_lists_per_category_are_exact(spark):
+    """More than Spark cuts in the map tasks: sliced first, same rows."""
+    counts = spark.range(0, 6000, 1, 4).selectExpr(
+        "IF(id % 3 = 0, '1', '2') AS category_id",
+        "concat('s', id) AS session_id",
+        "id % 700 AS click_count",
+    )
+    best = top_sessions(counts, 1500)
+    everything = sorted((c, -n, s) for c, s, n in counts.collect())
+    expected = [row for c in "12" for row in [r for r in everything if r[0] == c][:1500]]
+    assert sorted((c, -n, s) for c, s, n in best.collect()) == expected
+
+
 # Sessions
 
 
