@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import importlib.util
 import os
 import sys
 from collections.abc import Callable
@@ -33,6 +34,11 @@ from footfall.sources import shop_tables as shop  # noqa: E402
 from footfall.sources.sinks import stamp_run  # noqa: E402
 from footfall.sources.tables import preview  # noqa: E402
 
+if importlib.util.find_spec("footfall.llm"):
+    from footfall.llm.queries import ORACLE_SQL as LLM_SQL, QUERIES as LLM_QUERIES
+else:  # the subpackage is optional
+    LLM_SQL, LLM_QUERIES = {}, {}
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 RUN_ID = "run-0001"
@@ -98,6 +104,7 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        **LLM_QUERIES,
         # Sources, contracts, stamps
         "scan_actions": _on_actions(lambda a: a),
         "scan_users": _on_users(lambda u: u),
