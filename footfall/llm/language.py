@@ -237,11 +237,9 @@ def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
             "lang_pred string, lang_score double, lang_ambiguous boolean",
         ]
     )
-    bound = docs.sparkSession.sparkContext.broadcast(model)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names, score, close = bound.value.predict(batch.column("text"))
+            names, score, close = model.predict(batch.column("text"))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(names, pa.string()), pa.array(score), pa.array(close)],
                 names=[*batch.schema.names, *added],

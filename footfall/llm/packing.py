@@ -32,7 +32,8 @@ _GAP = 1e-3  # the linear program may use this share of sequences more than it m
 _TOGETHER = 1 << 22  # bytes of text that are encoded together
 _ANY_BYTE = mix(np.arange(1, 257, dtype=np.uint64))
 _WHITE = [c.encode() for c in map(chr, range(0x80, 0x3001)) if c.isspace()]
-_RANKED = 200_000  # rests that one task ranks, about
+_SALTS = 32  # groups that the rests of one length are ranked in, at least
+_RANKED = 50_000  # rests for which there is one more
 
 
 class _Ids:
@@ -380,7 +381,7 @@ def pack(pieces: DataFrame, length: int = LENGTH, grain: int = GRAIN) -> DataFra
     total = sum(n for n, _ in counted.values())
     plan = patterns({s: n for s, (n, _) in counted.items() if s > 0}, length // grain)
     shared = sum(times for _, times in plan)
-    salts = 1 + total // _RANKED
+    salts = _SALTS + total // _RANKED
     placed = _assigned(_ranked(rows, salts), _places(plan))
     pieces = placed.select(
         "doc_id",

@@ -6,7 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from footfall.llm import language, packing, pii, secret_scan, spans
+from footfall.llm import (
+    decontaminate,
+    html_text,
+    jaccard,
+    language,
+    lm,
+    packing,
+    pii,
+    quality,
+    secret_scan,
+    spans,
+    topk,
+)
 from footfall.plans.scratch import Scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +34,23 @@ def remainder_is(divisor: int, remainder: int) -> Column:
     return F.coalesce(crc % divisor == remainder, F.lit(False))
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    found = decontaminate.contamination(docs, _table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_text(_table(spark, sf_dir, "pages"))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     pieces = Scratch(spark, "op3").keep(packing.tokenised(docs), "pieces")
@@ -43,11 +72,41 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _with_digest(pii.find_personal_data(docs), "pii", pii.KINDS)
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = remainder_is(7, 2)
+    return lm.lm_scores(docs, F.col("doc_id").isNotNull() & ~held_out).select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "n_tokens",
+        "n_known",
+        "train_tokens",
+        "base_score",
+        "score",
+    )
+
+
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return _with_digest(secret_scan.find_secrets(docs), "secrets", secret_scan.KINDS[:3])
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = _table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
+    model = quality.fit_quality(docs, labels.where(~remainder_is(4, 2)))
+    return quality.with_quality(docs, model).select(
+        "doc_id",
+        remainder_is(4, 2).alias("held_out"),
+        F.col("quality_score").alias("score"),
+        (F.col("quality_score") >= quality.GOOD).cast("int").alias("predicted"),
+    )
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     learned = docs.where(F.col("doc_id").isNotNull() & ~remainder_is(5, 0))
@@ -61,11 +120,64 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    return topk.top_k(vectors, F.col("vec_id") % 50 == 0, 5)
+
+
 QUERIES: dict[str, Query] = {
+    "op1_decontamination": op1_decontamination,
+    "op2_html_extraction": op2_html_extraction,
     "op3_packing": op3_packing,
     "op4_pii": op4_pii,
+    "op5_jaccard_join": op5_jaccard_join,
+    "op6_lm_scoring": op6_lm_scoring,
     "op7_secret_scan": op7_secret_scan,
+    "op8_quality": op8_quality,
     "op9_language_id": op9_language_id,
+    "op10_topk": op10_topk,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+_WORDS = (
+    "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',"
+    " 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+)
+
+ORACLE_SQL: dict[str, str] = {
+    "op1_decontamination": f"""
+        WITH texts AS MATERIALIZED (
+          SELECT row_number() OVER () AS row, doc_id, {_WORDS} AS w FROM documents),
+        item_words AS (SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS} AS w FROM benchmark),
+        windows AS MATERIALIZED (
+          SELECT DISTINCT item, w[p:p + least(10, len(w)) - 1] AS win
+          FROM (SELECT item, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS p
+                FROM item_words WHERE len(w) > 0)),
+        places AS (
+          SELECT row, p, n, w[p:p + n - 1] AS win
+          FROM (SELECT row, w, n, unnest(range(1, len(w) - n + 2)) AS p
+                FROM texts, (SELECT DISTINCT len(win) AS n FROM windows))),
+        hits AS MATERIALIZED (SELECT row, p, n, item FROM places JOIN windows USING (win)),
+        hit_words AS (
+          SELECT row, count(DISTINCT q) AS n_hit
+          FROM (SELECT row, unnest(range(p, p + n)) AS q FROM hits) GROUP BY row),
+        hit_items AS (
+          SELECT row, count(DISTINCT item) AS n_items,
+            string_agg(DISTINCT item, ',' ORDER BY item) AS items FROM hits GROUP BY row)
+        SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+          coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+          coalesce(n_hit, 0) > 0 AS contaminated
+        FROM texts LEFT JOIN hit_words USING (row) LEFT JOIN hit_items USING (row)""",
+    "op10_topk": """
+        WITH vectors AS MATERIALIZED (
+          SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+          FROM embeddings
+          WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+            AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        pairs AS (
+          SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+            CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+          FROM vectors q JOIN vectors c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0)
+        SELECT query_id, CAST(row_number() OVER w AS INTEGER) AS rank, vec_id, score FROM pairs
+        WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
+        QUALIFY row_number() OVER w <= 5""",
+}
