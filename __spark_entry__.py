@@ -35,8 +35,11 @@ from footfall.sources.sinks import stamp_run  # noqa: E402
 from footfall.sources.tables import preview  # noqa: E402
 
 if importlib.util.find_spec("footfall.llm"):
-    from footfall.llm.queries import ORACLE_SQL as LLM_SQL, QUERIES as LLM_QUERIES
-else:  # the subpackage is optional
+    import corpus_pipeline
+    from footfall.llm.queries import ORACLE_SQL as LLM_SQL, QUERIES
+
+    LLM_QUERIES = {**QUERIES, "pipeline": corpus_pipeline.run}
+else:  # the subpackage and its pipeline are optional
     LLM_SQL, LLM_QUERIES = {}, {}
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -349,6 +352,7 @@ def oracle_sql() -> dict[str, str]:
     every = "user_visit_action"
     order = ", ".join(f"{f.name} NULLS FIRST" for f in USER_VISIT_ACTION)
     return {
+        **LLM_SQL,
         "scan_actions": _sql(f"SELECT * FROM {every}"),
         "scan_users": _sql("SELECT * FROM user_info"),
         "scan_products": _PRODUCTS,
