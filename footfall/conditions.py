@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-import csv
 import json
+import re
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, functions as F
@@ -19,8 +20,17 @@ def _text(value: object) -> str | None:
     return None if _blank(value) else str(value).strip()
 
 
-def _number(value: object) -> int | None:
-    return None if _blank(value) else int(str(value).strip())
+def _whole(key: str, value: object) -> int | None:
+    """A whole number, as a number or as text; ``20.0`` is one."""
+    if _blank(value):
+        return None
+    try:
+        number = Decimal(str(value).strip())
+        if number == number.to_integral_value():
+            return int(number)
+    except ArithmeticError:
+        pass
+    raise ValueError(f"{key} is not a whole number: {value!r}")
 
 
 def _names(value: object) -> tuple[str, ...]:
@@ -29,13 +39,23 @@ def _names(value: object) -> tuple[str, ...]:
         return ()
     items: Iterable[str]
     if isinstance(value, str):
-        quote = "'" if "'" in value else '"'
-        items = next(csv.reader([value], quotechar=quote, skipinitialspace=True))
+        items = (_unquoted(found.group().strip()) for found in _ITEM.finditer(value))
     else:
         items = (str(part) for part in value)
     return tuple(item.strip() for item in items if item.strip())
 
 
+def _unquoted(item: str) -> str:
+    """An item without the quotes it stands in; a quote inside is written twice."""
+    if len(item) > 1 and item[0] in "'\"" and item[-1] == item[0]:
+        return item[1:-1].replace(item[0] * 2, item[0])
+    return item
+
+
+# An item of a list in text: quoted, each in its own way, or up to the next comma.
+_ITEM = re.compile(r"""\s*(?:"(?:[^"]|"")*"|'(?:[^']|'')*')\s*(?=,|$)|[^,]+""")
+
+
 def _all_of(predicates: Iterable[Column]) -> Column:
     return reduce(lambda left, right: left & right, predicates, F.lit(True))
 
@@ -61,8 +81,8 @@ class Conditions:
         return cls(
             start_date=_text(values.get("startDate")),
             end_date=_text(values.get("endDate")),
-            start_age=_number(values.get("startAge")),
-            end_age=_number(values.get("endAge")),
+            start_age=_whole("startAge", values.get("startAge")),
+            end_age=_whole("endAge", values.get("endAge")),
             professionals=_names(values.get("professionals")),
             raw_json=raw_json,
         )
