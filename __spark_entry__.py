@@ -61,8 +61,40 @@ def _filtered(
     )
 
 
-def _sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ses.session_rollup(_filtered(spark, sf_dir))
+def _parts(
+    spark: SparkSession, sf_dir: str, conditions: Conditions
+) -> tuple[DataFrame, DataFrame]:
+    """The actions in range and the matching users' ids, not joined yet."""
+    actions = shop.visit_actions(spark, sf_dir, conditions).where(conditions.on_actions())
+    return actions, act.matching_users(shop.user_info(spark, sf_dir), conditions)
+
+
+def _sessions(
+    spark: SparkSession, sf_dir: str, conditions: Conditions = EVERYTHING
+) -> DataFrame:
+    return ses.session_rollup(*_parts(spark, sf_dir, conditions))
+
+
+def _shuffled_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With more users than any planner would broadcast."""
+    actions, user_ids = _parts(spark, sf_dir, EVERYTHING)
+    return ses.session_rollup(actions, user_ids.hint("merge"))
+
+
+def _extract(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
+    sessions = _sessions(spark, sf_dir, DEFAULT)
+    return session_extract(_filtered(spark, sf_dir), RUN_ID, sessions, **options)
+
+
+def _many_sessions_per_category(actions: DataFrame) -> DataFrame:
+    """More per group than a window cuts in the map tasks by itself."""
+    counts = cat.category_session_counts(cat.clicks_in_categories(actions, _top(actions)))
+    return cat.top_sessions(counts, 2000)
+
+
+def _category_top10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    actions, user_ids = _parts(spark, sf_dir, DEFAULT)
+    return category_top(actions, RUN_ID, user_ids=user_ids)
 
 
 def _on_actions(build: Callable[[DataFrame], DataFrame]) -> Query:
@@ -73,8 +105,8 @@ def _on_users(build: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf_dir: build(shop.user_info(spark, sf_dir))
 
 
-def _on_filtered(build: Callable[[DataFrame], DataFrame]) -> Query:
-    return lambda spark, sf_dir: build(_filtered(spark, sf_dir))
+def _on_joined(build: Callable[[DataFrame], DataFrame]) -> Query:
+    return lambda spark, sf_dir: build(_filtered(spark, sf_dir, EVERYTHING))
 
 
 def _on_sessions(build: Callable[[DataFrame], DataFrame]) -> Query:
@@ -96,8 +128,10 @@ def _top(actions: DataFrame) -> DataFrame:
     return cat.top_categories(cat.category_counts(act.category_events(actions)))
 
 
-def _category_session_top10(actions: DataFrame) -> DataFrame:
-    return category_session_top(actions, _top(actions), RUN_ID)
+def _category_session_top10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    actions, user_ids = _parts(spark, sf_dir, DEFAULT)
+    top = cat.top_categories(cat.category_counts_of_users(actions, user_ids))
+    return category_session_top(actions, top, RUN_ID, user_ids=user_ids)
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -125,7 +159,7 @@ def queries() -> dict[str, Query]:
             lambda u: u.where(Conditions(professionals=TWO_PROFESSIONS).on_users())
         ),
         "join_actions_users": lambda spark, sf_dir: _filtered(spark, sf_dir, EVERYTHING),
-        "filter_composed": _on_filtered(lambda a: a),
+        "filter_composed": _filtered,
         "filter_composed_profession": lambda spark, sf_dir: _filtered(
             spark,
             sf_dir,
@@ -144,10 +178,11 @@ def queries() -> dict[str, Query]:
         "explode_categories": _on_actions(act.category_events),
         # Sessions
         "session_rollup": _on_sessions(lambda s: s),
+        "session_rollup_shuffled": _shuffled_rollup,
         "session_count": _on_sessions(
             lambda s: s.agg(F.count(F.lit(1)).alias("session_count"))
         ),
-        "session_time_bounds": _on_filtered(
+        "session_time_bounds": _on_joined(
             lambda a: ses.session_bounds(a).select(
                 "session_id",
                 (epoch_seconds(F.col("first_at")) * 1000).alias("first_ms"),
@@ -164,8 +199,10 @@ def queries() -> dict[str, Query]:
         ),
         "session_day_hour": _on_sessions(lambda s: s.select("session_id", "day_hour")),
         "session_bucket_counts": _on_sessions(ses.session_buckets),
-        "session_stats": _on_sessions(lambda s: session_stats(s, DEFAULT, RUN_ID)),
-        "session_action_lists": _on_filtered(
+        "session_stats": lambda spark, sf_dir: session_stats(
+            _sessions(spark, sf_dir, DEFAULT), DEFAULT, RUN_ID
+        ),
+        "session_action_lists": _on_joined(
             lambda a: ses.session_info(a).select(
                 "session_id",
                 "search_keywords",
@@ -174,30 +211,37 @@ def queries() -> dict[str, Query]:
                 "pay_product_ids",
             )
         ),
-        "session_info": _on_filtered(ses.session_info),
+        "session_info": _on_joined(ses.session_info),
         "sessions_per_hour": _on_sessions(ses.sessions_per_hour),
         # Sampling
         "hour_quota": _on_sessions(
             lambda s: smp.hour_quota(smp.hour_hash_histogram(s)).drop("cutoff_bits")
         ),
         "uniform_sample": _on_sessions(lambda s: smp.uniform_sample(s, "session_id", 100)),
-        "session_extract": _on_filtered(lambda a: session_extract(a, RUN_ID)),
-        "session_extract_small": _on_filtered(
-            lambda a: session_extract(a, RUN_ID, sample_size=200, seed=7)
+        "session_extract": lambda spark, sf_dir: session_extract(
+            _filtered(spark, sf_dir), RUN_ID
+        ),
+        "session_extract_small": lambda spark, sf_dir: _extract(
+            spark, sf_dir, sample_size=200, seed=7
+        ),
+        "session_extract_given": _extract,
+        "session_extract_exact": lambda spark, sf_dir: _extract(
+            spark, sf_dir, allocation=smp.EXACT
         ),
         # Categories
-        "category_action_counts": _on_filtered(
+        "category_action_counts": _on_joined(
             lambda a: cat.category_action_counts(act.category_events(a))
         ),
-        "category_pivot": _on_filtered(lambda a: cat.category_counts(act.category_events(a))),
-        "category_top10": _on_filtered(lambda a: category_top(a, RUN_ID)),
-        "filter_top_category_clicks": _on_filtered(
+        "category_pivot": _on_joined(lambda a: cat.category_counts(act.category_events(a))),
+        "category_top10": _category_top10,
+        "filter_top_category_clicks": _on_joined(
             lambda a: cat.clicks_in_categories(a, _top(a))
         ),
-        "category_session_counts": _on_filtered(
+        "category_session_counts": _on_joined(
             lambda a: cat.category_session_counts(cat.clicks_in_categories(a, _top(a)))
         ),
-        "category_session_top10": _on_filtered(_category_session_top10),
+        "category_session_top10": _category_session_top10,
+        "category_top_sessions_large": _on_joined(_many_sessions_per_category),
     }
 
 
@@ -234,7 +278,7 @@ WITH raw AS (
   FROM customer
 ), kept AS (
   SELECT v.* FROM user_visit_action v JOIN user_info u ON v.user_id = u.user_id
-  WHERE v.date BETWEEN '2024-01-05' AND '2024-01-20' AND u.age BETWEEN 20 AND 50
+  {where}
 ), timed AS (
   SELECT *, CAST(epoch(strptime(action_time, '%Y-%m-%d %H:%M:%S')) AS BIGINT) * 1000 AS ms
   FROM kept
@@ -297,13 +341,28 @@ WITH raw AS (
 )
 """
 
-_EXTRACT = """
+_ROUNDED_QUOTAS = """
 , quotas AS (
   SELECT day_hour, least(
     CAST(floor(CAST(session_count AS DOUBLE) / total * {size}.0::DOUBLE + 0.5) AS BIGINT),
     session_count) AS quota
   FROM hours
-), ranked AS (
+)"""
+
+_EXACT_QUOTAS = """
+, floors AS (
+  SELECT day_hour, least({size}, total) AS size,
+         session_count * least({size}, total) // total AS low,
+         session_count * least({size}, total) % total AS remainder
+  FROM hours
+), quotas AS (
+  SELECT day_hour, low + CASE WHEN row_number() OVER (ORDER BY remainder DESC, day_hour)
+           <= size - sum(low) OVER () THEN 1 ELSE 0 END AS quota
+  FROM floors
+)"""
+
+_EXTRACT = """
+, ranked AS (
   SELECT s.*, row_number() OVER (
     PARTITION BY day_hour ORDER BY md5(session_id || ':{seed}'), session_id) AS place
   FROM sessions s
@@ -343,9 +402,23 @@ FROM nation JOIN region ON n_regionkey = r_regionkey
 """
 
 
-def _sql(select: str, base: str = "kept") -> str:
+_DEFAULT_WHERE = """
+  WHERE v.date BETWEEN '2024-01-05' AND '2024-01-20' AND u.age BETWEEN 20 AND 50
+"""
+
+
+def _sql(select: str, base: str = "kept", where: str = _DEFAULT_WHERE) -> str:
     tables = _TABLES.replace("{listed_from}", base).replace("{touched_from}", base)
-    return tables + select
+    return tables.replace("{where}", where) + select
+
+
+def _extract_sql(size: int, seed: int, quotas: str = _ROUNDED_QUOTAS) -> str:
+    return _sql((quotas + _EXTRACT).format(run=RUN_ID, size=size, seed=seed))
+
+
+def _all_sql(select: str) -> str:
+    """Over the actions of all users that there are."""
+    return _sql(select, where="")
 
 
 def oracle_sql() -> dict[str, str]:
@@ -388,29 +461,30 @@ def oracle_sql() -> dict[str, str]:
         ),
         "classify_product_action": _sql("SELECT * FROM listed", every),
         "explode_categories": _sql("SELECT * FROM events_by_category", every),
-        "session_rollup": _sql("SELECT * FROM sessions"),
-        "session_count": _sql("SELECT count(DISTINCT session_id) AS session_count FROM kept"),
-        "session_time_bounds": _sql(
+        "session_rollup": _all_sql("SELECT * FROM sessions"),
+        "session_rollup_shuffled": _all_sql("SELECT * FROM sessions"),
+        "session_count": _all_sql("SELECT count(DISTINCT session_id) AS session_count FROM kept"),
+        "session_time_bounds": _all_sql(
             """SELECT session_id, min(ms) AS first_ms, max(ms) AS last_ms
             FROM timed GROUP BY session_id"""
         ),
-        "session_visit_length": _sql("SELECT session_id, visit_length FROM sessions"),
-        "session_step_length": _sql(
+        "session_visit_length": _all_sql("SELECT session_id, visit_length FROM sessions"),
+        "session_step_length": _all_sql(
             "SELECT session_id, count(*) AS step_length FROM kept GROUP BY session_id"
         ),
-        "session_visit_bucket": _sql(
+        "session_visit_bucket": _all_sql(
             """SELECT session_id, CASE WHEN visit_length <= 10000 THEN 'le' ELSE 'gt' END AS bucket
             FROM sessions"""
         ),
-        "session_step_bucket": _sql(
+        "session_step_bucket": _all_sql(
             """SELECT session_id, CASE WHEN step_length <= 5 THEN 'le' ELSE 'gt' END AS bucket
             FROM sessions"""
         ),
-        "session_day_hour": _sql(
+        "session_day_hour": _all_sql(
             """SELECT session_id, strftime(min(strptime(action_time, '%Y-%m-%d %H:%M:%S')),
             '%Y-%m-%d %H') AS day_hour FROM kept GROUP BY session_id"""
         ),
-        "session_bucket_counts": _sql(
+        "session_bucket_counts": _all_sql(
             """SELECT count(*) AS session_count,
             count(*) FILTER (WHERE visit_length > 10000) AS visit_length_gt_10_count,
             count(*) FILTER (WHERE visit_length <= 10000) AS visit_length_le_10_count,
@@ -421,32 +495,35 @@ def oracle_sql() -> dict[str, str]:
         "session_stats": _sql(
             _STATS.replace("{run}", RUN_ID).replace("{conditions}", DEFAULT.to_json())
         ),
-        "session_action_lists": _sql("SELECT * FROM lists"),
-        "session_info": _sql("SELECT * FROM sessions JOIN lists USING (session_id)"),
-        "sessions_per_hour": _sql("SELECT day_hour, session_count FROM hours"),
-        "hour_quota": _sql(
+        "session_action_lists": _all_sql("SELECT * FROM lists"),
+        "session_info": _all_sql("SELECT * FROM sessions JOIN lists USING (session_id)"),
+        "sessions_per_hour": _all_sql("SELECT day_hour, session_count FROM hours"),
+        "hour_quota": _all_sql(
             """SELECT day_hour, session_count, least(session_count, CAST(floor(
             CAST(session_count AS DOUBLE) / total * 1000.0::DOUBLE + 0.5) AS BIGINT)) AS quota
             FROM hours"""
         ),
-        "uniform_sample": _sql(
+        "uniform_sample": _all_sql(
             """SELECT * FROM sessions
             ORDER BY md5(session_id || ':42'), session_id LIMIT 100"""
         ),
-        "session_extract": _sql(
-            _EXTRACT.format(run=RUN_ID, size=1000, seed=42)
-        ),
-        "session_extract_small": _sql(
-            _EXTRACT.format(run=RUN_ID, size=200, seed=7)
-        ),
-        "category_action_counts": _sql(
+        "session_extract": _extract_sql(1000, 42),
+        "session_extract_small": _extract_sql(200, 7),
+        "session_extract_given": _extract_sql(1000, 42),
+        "session_extract_exact": _extract_sql(1000, 42, _EXACT_QUOTAS),
+        "category_action_counts": _all_sql(
             """SELECT category_id, kind, count(*) AS action_count
             FROM events_by_category GROUP BY category_id, kind"""
         ),
-        "category_pivot": _sql("SELECT * FROM pivoted"),
+        "category_pivot": _all_sql("SELECT * FROM pivoted"),
         "category_top10": _sql(f"""SELECT '{RUN_ID}' AS "taskId", * FROM top10"""),
-        "filter_top_category_clicks": _sql("SELECT * FROM top_clicks"),
-        "category_session_counts": _sql("SELECT * FROM top_counts"),
+        "filter_top_category_clicks": _all_sql("SELECT * FROM top_clicks"),
+        "category_session_counts": _all_sql("SELECT * FROM top_counts"),
+        "category_top_sessions_large": _all_sql(
+            """SELECT * FROM top_counts
+            QUALIFY row_number() OVER (
+              PARTITION BY category_id ORDER BY click_count DESC, session_id) <= 2000"""
+        ),
         "category_session_top10": _sql(
             f"""SELECT '{RUN_ID}' AS "taskId", category_id AS "categoryId",
             session_id AS "sessionId", click_count AS "clickCount"

@@ -16,8 +16,11 @@ from footfall.functions.times import (
     action_moment,
     day_hour,
     epoch_seconds,
+    is_unreadable,
     moment_text,
+    readable_moment,
     seconds_between,
+    unreadable_error,
 )
 
 __all__ = [
@@ -33,12 +36,15 @@ __all__ = [
     "is_click",
     "is_order",
     "is_pay",
+    "is_unreadable",
     "moment_text",
     "percent",
     "product_kind",
     "product_value",
     "proportional_quota",
+    "readable_moment",
     "sample_hash",
     "seconds_between",
     "split_ids",
+    "unreadable_error",
 ]

@@ -8,17 +8,36 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+# A date and all three time fields, padded or not; what follows is ignored.
+_MOMENT = r"^\s*([0-9]{4}-[0-9]{1,2}-[0-9]{1,2} [0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2})"
 # Length of "yyyy-MM-dd HH:mm:ss".
 _SECOND_TEXT = 19
 
 
-def action_moment(time_text: Column) -> Column:
-    """A time text as a zone-free timestamp; what follows the seconds is ignored.
+def readable_moment(time_text: Column) -> Column:
+    """A time text as a zone-free timestamp; NULL if it lacks a field or is no time.
 
-    The plain cast is the fast parser, and min and max over the result stay in
-    the hash aggregate, which text would not.
+    Padded text goes straight to the cast, the fast parser, and min and max over
+    the result stay in the hash aggregate, which text would not.
     """
-    return F.substring(time_text, 1, _SECOND_TEXT).cast("timestamp_ntz")
+    padded = F.substring(time_text, 1, _SECOND_TEXT)
+    is_padded = padded.like("____-__-__ __:__:__")
+    text = F.when(is_padded, padded).otherwise(F.regexp_extract(time_text, _MOMENT, 1))
+    return text.try_cast("timestamp_ntz")
+
+
+def is_unreadable(time_text: Column, moment: Column) -> Column:
+    return time_text.isNotNull() & moment.isNull()
+
+
+def unreadable_error() -> Column:
+    return F.raise_error(F.lit("[CAST_INVALID_INPUT] action_time is not yyyy-MM-dd HH:mm:ss"))
+
+
+def action_moment(time_text: Column) -> Column:
+    """``readable_moment``, raising where the text is no time."""
+    moment = readable_moment(time_text)
+    return F.when(is_unreadable(time_text, moment), unreadable_error()).otherwise(moment)
 
 
 def seconds_between(later: Column, earlier: Column) -> Column:

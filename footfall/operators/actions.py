@@ -33,13 +33,14 @@ def filtered_actions(
     return actions_of_users(actions, matching_users(users, conditions), conditions)
 
 
-def category_events(actions: DataFrame) -> DataFrame:
-    """One row per (action, category): ``session_id, kind, category_id``.
+def category_events(actions: DataFrame, *others: str) -> DataFrame:
+    """One row per (action, category): ``session_id, kind, category_id`` and ``others``.
 
     A list that names a category twice counts it twice. Actions without a kind
     are dropped by a filter of its own, which moves below a join.
     """
     return actions.where(category_kind().isNotNull()).select(
+        *others,
         "session_id",
         category_kind().alias("kind"),
         F.explode(category_ids()).alias("category_id"),

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from footfall.functions import is_click
+from footfall.operators.actions import category_events
+
 TOP_N = 10
 
-# Spark's default for spark.sql.optimizer.windowGroupLimitThreshold.
-_MAP_SIDE_CUT = 1000
+_MAP_SIDE_CUT = "spark.sql.optimizer.windowGroupLimitThreshold"
 _SLICES = 64
 
 
@@ -28,6 +30,31 @@ def category_counts(events: DataFrame) -> DataFrame:
     )
 
 
+def category_counts_of_users(actions: DataFrame, user_ids: DataFrame) -> DataFrame:
+    """The wide form over the given users' actions.
+
+    Counted per user, category and kind first, so that the join moves counts and
+    neither actions nor id lists. A user listed twice counts twice.
+    """
+    per_user = (
+        category_events(actions, "user_id")
+        .groupBy("user_id", "category_id", "kind")
+        .agg(F.count(F.lit(1)).alias("actions"))
+    )
+    return (
+        per_user.join(user_ids, "user_id")
+        .groupBy("category_id")
+        .agg(
+            *[
+                F.sum(F.when(F.col("kind") == kind, F.col("actions")).otherwise(0)).alias(
+                    f"{kind}_count"
+                )
+                for kind in ("click", "order", "pay")
+            ]
+        )
+    )
+
+
 def top_categories(counts: DataFrame, n: int = TOP_N) -> DataFrame:
     """The n hottest by clicks, orders, payments; ties go by id."""
     return counts.orderBy(
@@ -35,16 +62,20 @@ def top_categories(counts: DataFrame, n: int = TOP_N) -> DataFrame:
     ).limit(n)
 
 
-def clicks_in_categories(actions: DataFrame, top: DataFrame) -> DataFrame:
-    """``category_id, session_id`` of the actions that clicked a listed category.
+def clicks_in_categories(actions: DataFrame, top: DataFrame, *others: str) -> DataFrame:
+    """``category_id, session_id`` and ``others`` of the clicks on a listed category.
 
     Written as IN over a subquery, the semi-join moves below any join the
     actions come from, which then carries no other rows. It needs no hint: the
     planner knows a limited list's size, and broadcasts it if that is small.
+    What is no click is filtered at the files. Listed ids compare as numbers; one
+    that no number prints as cannot have been clicked.
     """
-    clicked = F.col("click_category_id").cast("string")
-    return actions.where(clicked.isin(top.select("category_id"))).select(
-        clicked.alias("category_id"), "session_id"
+    number = F.col("category_id").try_cast("bigint")
+    listed = top.where(number.cast("string") == F.col("category_id")).select(number.alias("id"))
+    clicked = F.col("click_category_id")
+    return actions.where(is_click() & clicked.isin(listed)).select(
+        clicked.cast("string").alias("category_id"), "session_id", *others
     )
 
 
@@ -54,14 +85,33 @@ def category_session_counts(clicks: DataFrame) -> DataFrame:
     )
 
 
+def category_session_counts_of_users(
+    actions: DataFrame, top: DataFrame, user_ids: DataFrame
+) -> DataFrame:
+    """Clicks per listed category and session of the given users.
+
+    Counted per user first, so that the join moves one row a session and category.
+    """
+    per_user = (
+        clicks_in_categories(actions, top, "user_id")
+        .groupBy("user_id", "category_id", "session_id")
+        .agg(F.count(F.lit(1)).alias("clicks"))
+    )
+    return (
+        per_user.join(user_ids, "user_id")
+        .groupBy("category_id", "session_id")
+        .agg(F.sum("clicks").alias("click_count"))
+    )
+
+
 def top_per_group(df: DataFrame, group: str, order: list[Column], n: int) -> DataFrame:
     """The first n rows of each group.
 
     The literal bound lets Spark cut every group to n rows inside each map
     task, so a hot group sends n rows per task, not all it has. Above the bound
-    Spark does that for, groups are cut in slices first, each a task of its own.
+    the session does that for, groups are cut in slices first, each a task of its own.
     """
-    if n > _MAP_SIDE_CUT:
+    if n > int(df.sparkSession.conf.get(_MAP_SIDE_CUT, "1000")):
         sliced = df.withColumn("slice", F.pmod(F.xxhash64(*df.columns), F.lit(_SLICES)))
         df = _first_rows(sliced, [group, "slice"], order, n).drop("slice")
     return _first_rows(df, [group], order, n)

@@ -7,9 +7,13 @@ from pyspark.sql import Column, DataFrame, functions as F
 from footfall.functions import (
     action_moment,
     day_hour,
+    epoch_seconds,
+    is_unreadable,
     moment_text,
     percent,
+    readable_moment,
     seconds_between,
+    unreadable_error,
 )
 from footfall.operators.actions import product_events
 
@@ -24,25 +28,25 @@ _LISTS = {
     "pay": "pay_product_ids",
 }
 
-# Length of "yyyy-MM-dd HH:mm".
-_MINUTE_TEXT = 16
-
 
 def session_bounds(actions: DataFrame, *by: str) -> DataFrame:
-    """``session_id, first_at, last_at, step_length``; the times are zone-free.
+    """``session_id, first_at, last_at, step_length, unreadable``; the times are zone-free.
 
     ``by`` names further columns to keep apart, see ``merge_bounds``. Everything
     combines map-side, so even a session with a large share of all rows
-    shuffles one row per task.
+    shuffles one row per task. Unreadable times are only counted here: they may
+    be those of a user that is not asked for.
     """
-    at = action_moment(F.col("action_time"))
+    at = readable_moment(F.col("action_time"))
+    no_time = is_unreadable(F.col("action_time"), F.col("at"))
     return (
-        actions.select(*by, "session_id", at.alias("at"))
+        actions.select(*by, "session_id", "action_time", at.alias("at"))
         .groupBy(*by, "session_id")
         .agg(
             F.min("at").alias("first_at"),
             F.max("at").alias("last_at"),
             F.count(F.lit(1)).alias("step_length"),
+            F.count_if(no_time).alias("unreadable"),
         )
     )
 
@@ -53,30 +57,28 @@ def merge_bounds(parts: DataFrame, *others: Column) -> DataFrame:
         F.min("first_at").alias("first_at"),
         F.max("last_at").alias("last_at"),
         F.sum("step_length").alias("step_length"),
+        F.sum("unreadable").alias("unreadable"),
         *others,
     )
 
 
-def session_rollup(actions: DataFrame) -> DataFrame:
+def session_rollup(actions: DataFrame, user_ids: DataFrame | None = None) -> DataFrame:
     """``session_id, start_time, day_hour, visit_length, step_length``.
 
-    Lengths are in milliseconds and in rows.
-    """
-    return _with_times(session_bounds(actions))
-
-
-def session_rollup_of_users(actions: DataFrame, user_ids: DataFrame) -> DataFrame:
-    """The roll-up of the given users' actions, for ids too many to broadcast.
-
-    Rows are combined per user and session before the join, so what the join
-    shuffles is about one row per session instead of one per action.
+    Lengths are in milliseconds and in rows. With ``user_ids``, only those users'
+    actions count: rows are combined per user and session before that join, so
+    what it moves is about one row per session instead of one per action. Only
+    times of users that are left raise an error if they are unreadable.
     """
+    if user_ids is None:
+        return _with_times(session_bounds(actions))
     per_user = session_bounds(actions, "user_id").join(user_ids, "user_id")
     return _with_times(merge_bounds(per_user))
 
 
 def _with_times(bounds: DataFrame, *others: Column) -> DataFrame:
-    start_time = moment_text(F.col("first_at"))
+    first_at = F.when(F.col("unreadable") > 0, unreadable_error()).otherwise(F.col("first_at"))
+    start_time = moment_text(first_at)
     seconds = seconds_between(F.col("last_at"), F.col("first_at"))
     return bounds.select(
         "session_id",
@@ -103,13 +105,14 @@ def session_info(actions: DataFrame) -> DataFrame:
     after, so sorting a very long session is spread over many tasks and only
     the finished text, which has to fit one row anyway, meets in one.
     """
-    entry = F.when(F.col("kind").isNotNull(), F.struct("action_time", "value", "kind"))
+    entry = F.when(F.col("kind").isNotNull(), F.struct("at", "value", "kind"))
     minutes = (
         product_events(actions)
+        .withColumn("at", action_moment(F.col("action_time")))
         .select(
             "session_id",
-            F.substring("action_time", 1, _MINUTE_TEXT).alias("minute"),
-            action_moment(F.col("action_time")).alias("at"),
+            F.floor(epoch_seconds(F.col("at")) / 60).alias("minute"),
+            "at",
             entry.alias("entry"),
         )
         .groupBy("session_id", "minute")
@@ -117,6 +120,7 @@ def session_info(actions: DataFrame) -> DataFrame:
             F.min("at").alias("first_at"),
             F.max("at").alias("last_at"),
             F.count(F.lit(1)).alias("step_length"),
+            F.lit(0).cast("long").alias("unreadable"),
             F.sort_array(F.collect_list("entry")).alias("entries"),
         )
     )

@@ -9,12 +9,14 @@ from footfall.operators.actions import category_events
 from footfall.operators.categories import (
     TOP_N,
     category_counts,
+    category_counts_of_users,
     category_session_counts,
+    category_session_counts_of_users,
     clicks_in_categories,
     top_categories,
     top_sessions,
 )
-from footfall.operators.sampling import SAMPLE_SIZE, SEED, stratified_sessions
+from footfall.operators.sampling import ROUNDED, SAMPLE_SIZE, SEED, stratified_sessions
 from footfall.operators.sessions import session_buckets, session_ratios
 from footfall.sources.sinks import stamp_run
 
@@ -34,9 +36,13 @@ def session_extract(
     sessions: DataFrame | None = None,
     sample_size: int = SAMPLE_SIZE,
     seed: int = SEED,
+    allocation: str = ROUNDED,
 ) -> DataFrame:
-    """About ``sample_size`` sessions, spread over start hours as all of them are."""
-    sample = stratified_sessions(actions, sessions, sample_size, seed)
+    """About ``sample_size`` sessions, spread over start hours as all of them are.
+
+    ``allocation`` is that of ``hour_quota``.
+    """
+    sample = stratified_sessions(actions, sessions, sample_size, seed, allocation)
     return stamp_run(
         sample.select(
             F.col("session_id").alias("sessionId"),
@@ -52,17 +58,33 @@ def session_extract(
     )
 
 
-def category_top(actions: DataFrame, run_id: str, n: int = TOP_N) -> DataFrame:
-    """The n hottest categories with their clicks, orders and payments."""
-    return stamp_run(top_categories(category_counts(category_events(actions)), n), run_id)
+def category_top(
+    actions: DataFrame, run_id: str, n: int = TOP_N, user_ids: DataFrame | None = None
+) -> DataFrame:
+    """The n hottest categories with their clicks, orders and payments.
+
+    With ``user_ids``, of those users' actions, which are joined after counting.
+    """
+    if user_ids is None:
+        counts = category_counts(category_events(actions))
+    else:
+        counts = category_counts_of_users(actions, user_ids)
+    return stamp_run(top_categories(counts, n), run_id)
 
 
 def category_session_top(
-    actions: DataFrame, top: DataFrame, run_id: str, n: int = TOP_N
+    actions: DataFrame,
+    top: DataFrame,
+    run_id: str,
+    n: int = TOP_N,
+    user_ids: DataFrame | None = None,
 ) -> DataFrame:
-    """The n most active sessions in each category of ``top``."""
-    clicks = clicks_in_categories(actions, top)
-    best = top_sessions(category_session_counts(clicks), n)
+    """The n most active sessions in each category of ``top``; ``user_ids`` as above."""
+    if user_ids is None:
+        counts = category_session_counts(clicks_in_categories(actions, top))
+    else:
+        counts = category_session_counts_of_users(actions, top, user_ids)
+    best = top_sessions(counts, n)
     return stamp_run(
         best.select(
             F.col("category_id").alias("categoryId"),

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from footfall.conditions import Conditions
 from footfall.operators.actions import actions_of_users, matching_users
 from footfall.operators.categories import TOP_N
-from footfall.operators.sampling import SAMPLE_SIZE, SEED
-from footfall.operators.sessions import session_rollup, session_rollup_of_users
+from footfall.operators.sampling import ROUNDED, SAMPLE_SIZE, SEED
+from footfall.operators.sessions import session_rollup
 from footfall.plans.reports import (
     category_session_top,
     category_top,
@@ -20,10 +20,6 @@ from footfall.plans.reports import (
 from footfall.plans.scratch import Scratch
 from footfall.sources.sinks import Sink
 
-# User ids are broadcast up to this many; at about 32 bytes each in the hash
-# table that is 128 MB per executor.
-BROADCAST_USERS = 4_000_000
-
 
 def run_all(
     actions: DataFrame,
@@ -35,40 +31,43 @@ def run_all(
     top_n: int = TOP_N,
     sessions_per_category: int = TOP_N,
     seed: int = SEED,
-    broadcast_users: int = BROADCAST_USERS,
+    allocation: str = ROUNDED,
 ) -> str:
     """Compute and deliver all reports in order; returns the run's id.
 
     What several reports need is written once: the ids of the matching users,
     the session roll-up (statistics and sample) and the top categories (their
     report and the sessions within them). The filtered actions themselves are
-    as large as the input, so each report scans just the columns it reads.
+    as large as the input, so each report scans just the columns it reads. All
+    but the sample's lists count per user before the user join; how that join
+    runs is left to the planner, which knows the written ids' size.
     """
     run_id = run_id or str(uuid.uuid4())
     scratch = Scratch(actions.sparkSession, run_id)
     try:
         user_ids = scratch.keep(matching_users(users, conditions), "users")
-        few_users = user_ids.count() <= broadcast_users
-        if few_users:
-            user_ids = F.broadcast(user_ids)
-        kept = actions_of_users(actions, user_ids, conditions)
+        in_range = actions.where(conditions.on_actions())
 
-        if few_users:
-            sessions = session_rollup(kept)
-        else:
-            in_range = actions.where(conditions.on_actions())
-            sessions = session_rollup_of_users(in_range, user_ids)
-        sessions = scratch.keep(sessions, "sessions")
+        sessions = scratch.keep(session_rollup(in_range, user_ids), "sessions")
         sink(session_stats(sessions, conditions, run_id), "session_stat_info")
         sink(
-            session_extract(kept, run_id, sessions, sample_size, seed),
+            session_extract(
+                actions_of_users(actions, user_ids, conditions),
+                run_id,
+                sessions,
+                sample_size,
+                seed,
+                allocation,
+            ),
             "random_session_info",
         )
 
-        top = scratch.keep(category_top(kept, run_id, top_n), "top_categories")
+        top = scratch.keep(
+            category_top(in_range, run_id, top_n, user_ids), "top_categories"
+        )
         sink(top, "category_top10")
         sink(
-            category_session_top(kept, top, run_id, sessions_per_category),
+            category_session_top(in_range, top, run_id, sessions_per_category, user_ids),
             "category_top10_session_count",
         )
     finally:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,15 +10,15 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_folder(spark: SparkSession) -> str:
     """The checkpoint folder the session names.
 
-    Only a local session may go without; it has no other machine to share with.
+    Only a local session may go without; it then writes below its warehouse.
     """
     folder = (
         spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     )
     if folder:
         return folder.rstrip("/")
-    if spark.conf.get("spark.master", "").startswith("local"):
-        return tempfile.mkdtemp(prefix="footfall-")
+    if spark.conf.get("spark.master", "").startswith("local["):
+        return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
     raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
 
 

@@ -18,7 +18,9 @@ from footfall.functions import (
 from footfall.operators.actions import category_events, filtered_actions, product_events
 from footfall.operators.categories import (
     category_counts,
+    category_counts_of_users,
     category_session_counts,
+    category_session_counts_of_users,
     clicks_in_categories,
     top_categories,
     top_sessions,
@@ -29,7 +31,6 @@ from footfall.operators.sessions import (
     session_info,
     session_ratios,
     session_rollup,
-    session_rollup_of_users,
 )
 from footfall.schema import USER_VISIT_ACTION, conform
 
@@ -146,7 +147,7 @@ def test_both_rollups_agree(spark):
         spark, [(1, 30, "a"), (2, 30, "a"), (2, 30, "b"), (3, 30, "a")]
     ).select("user_id")
     plain = session_rollup(actions.join(user_ids, "user_id"))
-    combined = session_rollup_of_users(actions, user_ids)
+    combined = session_rollup(actions, user_ids)
     assert combined.columns == plain.columns
     assert rows(combined) == rows(plain)
 
@@ -400,3 +401,88 @@ def test_conform_names_what_is_missing(spark):
 def test_uniform_sample_larger_than_the_table(spark):
     frame = spark.createDataFrame([("a",), ("b",)], "session_id string")
     assert uniform_sample(frame, "session_id", 10).count() == 2
+
+
+# Times, conditions and lists as they come
+
+
+@pytest.mark.parametrize("text", ["2018", "2018-11-26", "2018-11-26 09", "2018-11-26 09:59", "09:59:01", ""])
+@pytest.mark.parametrize("read", [session_rollup, session_info])
+def test_time_without_all_fields_raises(spark, text, read):
+    frame = actions_frame(spark, [{**click("a", 1, NOON, 1), "action_time": text}])
+    with pytest.raises(Exception, match="action_time is not"):
+        read(frame).collect()
+
+
+def test_unpadded_times_sort_as_times(spark):
+    times = ["2018-11-26 10:05:03", "2018-11-26 9:05:03", "2018-11-26 9:05:2", "2018-11-26 9:59:59 x"]
+    words = ["late", "early", "first", "then"]
+    frame = actions_frame(spark, [search("a", 1, t, w) for t, w in zip(times, words)])
+    info = session_info(frame).first()
+    assert info.search_keywords == "first,early,then,late"
+    assert (info.start_time, info.visit_length) == ("2018-11-26 09:05:02", 3_601_000)
+
+
+@pytest.mark.parametrize("threshold", ["-1", "10MB"])
+def test_only_times_of_asked_users_can_raise(spark, threshold):
+    bad = {**click("a", 1, NOON, 1), "action_time": "garbage"}
+    frame = actions_frame(spark, [bad, click("b", 2, NOON, 1)])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        ids = users_frame(spark, [(2, 30, "a")]).select("user_id")
+        assert [r.session_id for r in session_rollup(frame, ids).collect()] == ["b"]
+        ids = users_frame(spark, [(1, 30, "a")]).select("user_id")
+        with pytest.raises(Exception, match="action_time is not"):
+            session_rollup(frame, ids).collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize(
+    "text, names",
+    [
+        ("\"farmer's aide\",\"teacher\"", ("farmer's aide", "teacher")),
+        ("'a', \"b\", c", ("a", "b", "c")),
+        ("farmer's aide,teacher", ("farmer's aide", "teacher")),
+        ('"a ""b""",\'c\'', ('a "b"', "c")),
+        ('"a, b"', ("a, b",)),
+        ("a,,b", ("a", "b")),
+    ],
+)
+def test_each_profession_has_its_own_quotes(text, names):
+    assert Conditions.from_dict({"professionals": text}).professionals == names
+
+
+def test_ages_are_whole_numbers():
+    assert Conditions.from_json('{"startAge": 20.0, "endAge": "50.0"}') == Conditions(
+        start_age=20, end_age=50, raw_json='{"startAge": 20.0, "endAge": "50.0"}'
+    )
+    for value in (20.5, "x", "nan", "inf"):
+        with pytest.raises(ValueError, match="startAge"):
+            Conditions.from_dict({"startAge": value})
+
+
+def test_counts_of_users_are_those_of_the_join(spark):
+    """Users listed twice count twice, unknown ones not at all."""
+    actions = actions_frame(
+        spark,
+        [click("s", u, NOON, c) for u in (1, 2, 3) for c in (5, 5, 6)]
+        + [order("t", 2, NOON, "5,6,5"), pay("t", 1, NOON, "6")],
+    )
+    users = users_frame(spark, [(1, 30, "a"), (2, 30, "a"), (2, 30, "b")]).select("user_id")
+    joined = actions.join(users, "user_id")
+    counts = category_counts(category_events(joined))
+    assert rows(category_counts_of_users(actions, users)) == rows(counts)
+    top = top_categories(counts)
+    sessions = category_session_counts(clicks_in_categories(joined, top))
+    assert rows(category_session_counts_of_users(actions, top, users)) == rows(sessions)
+
+
+def test_listed_text_that_is_no_click(spark):
+    """An id list can name what no click can: other spellings, and the mark of no click."""
+    actions = actions_frame(
+        spark, [order("a", 1, NOON, "-1,007,x"), click("b", 1, NOON, 7), action("c", 1, NOON)]
+    )
+    top = top_categories(category_counts(category_events(actions)))
+    assert top.count() == 4
+    assert rows(clicks_in_categories(actions, top)) == [("7", "b")]

@@ -5,6 +5,7 @@ import pytest
 import __spark_entry__ as contract
 from footfall.operators.actions import filtered_actions
 from footfall.operators.sampling import (
+    EXACT,
     hour_hash_histogram,
     hour_quota,
     stratified_sessions,
@@ -93,3 +94,17 @@ def test_ratio_pairs_sum_to_a_hundred(spark):
     stats = contract.queries()["session_stats"](spark, SF_DIR).first()
     assert abs(stats.visit_length_gt_10_ratio + stats.visit_length_le_10_ratio - 100) <= 0.1
     assert abs(stats.step_length_gt_5_ratio + stats.step_length_le_5_ratio - 100) <= 0.1
+
+
+def test_exact_allocation_over_many_hours(spark):
+    """Three thousand equally busy hours: each rounds to nothing, or the target is met."""
+    sessions = spark.range(0, 30_000).selectExpr(
+        "concat('s', id) AS session_id", "concat('hour ', id % 3000) AS day_hour"
+    )
+    histogram = hour_hash_histogram(sessions)
+    assert hour_quota(histogram).agg(F.sum("quota")).first()[0] == 0
+    exact = hour_quota(histogram, allocation=EXACT)
+    assert exact.agg(F.sum("quota"), F.max("quota"), F.count("cutoff_bits")).first() == (1000, 1, 1000)
+    assert hour_quota(histogram, 50_000, EXACT).agg(F.sum("quota")).first()[0] == 30_000
+    with pytest.raises(ValueError, match="allocation"):
+        hour_quota(histogram, allocation="other")

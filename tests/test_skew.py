@@ -123,8 +123,8 @@ ANSWERS = {
 }
 
 
-@pytest.mark.parametrize("broadcast_users", [0, 10_000])
-def test_run_on_skewed_actions(spark, folder, duck, broadcast_users):
+@pytest.mark.parametrize("threshold", ["1KB", "10MB"])
+def test_run_on_skewed_actions(spark, folder, duck, threshold):
     delivered = {}
 
     def sink(frame, table):
@@ -132,8 +132,8 @@ def test_run_on_skewed_actions(spark, folder, duck, broadcast_users):
         delivered[table] = sorted(tuple(row) for row in frame.drop(*stamps).collect())
 
     settings = {
-        "spark.sql.autoBroadcastJoinThreshold": "1KB",
-        "spark.sql.adaptive.autoBroadcastJoinThreshold": "1KB",
+        "spark.sql.autoBroadcastJoinThreshold": threshold,
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": threshold,
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "128KB",
     }
@@ -145,7 +145,6 @@ def test_run_on_skewed_actions(spark, folder, duck, broadcast_users):
             read_parquet(spark, f"{folder}/users", USER_INFO),
             CONDITIONS,
             sink,
-            broadcast_users=broadcast_users,
         )
     finally:
         for key in settings:

@@ -99,21 +99,21 @@ def test_category_session_top(kept):
     assert rows(best) == TOP_SESSIONS
 
 
-@pytest.mark.parametrize("broadcast_users", [0, 1000])
-def test_run_all(spark, broadcast_users):
+@pytest.mark.parametrize("threshold", ["-1", "10MB"])
+def test_run_all(spark, threshold):
     delivered = {}
+    name = "spark.sql.autoBroadcastJoinThreshold"
 
     def sink(frame, table):
         delivered[table] = rows(frame)
 
-    run_id = run_all(
-        worked_actions(spark),
-        worked_users(spark),
-        CONDITIONS,
-        sink,
-        run_id=f"r{broadcast_users}",
-        broadcast_users=broadcast_users,
-    )
+    spark.conf.set(name, threshold)
+    try:
+        run_id = run_all(
+            worked_actions(spark), worked_users(spark), CONDITIONS, sink, run_id=f"r{threshold}"
+        )
+    finally:
+        spark.conf.unset(name)
     expected = {
         "session_stat_info": STATS,
         "random_session_info": [("r", name, *SESSIONS[name]) for name in sorted(SESSIONS)],
