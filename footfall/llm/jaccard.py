@@ -9,8 +9,8 @@ First, all documents take their smallest hashes as a prefix, an eighth longer th
 the least, and keep it if enough of it occurs in any other document. The few that
 remain are ordered anew, rarest shingle first. Each gets its own l: of some lengths
 the one with the smallest estimated cost, which is the postings read plus the
-candidates to verify. A pair is verified if its prefixes share the smaller l of its
-two documents.
+candidates to verify. A pair is verified if it shares the smaller l of its two
+documents' in the prefixes that go with their two sizes.
 
 Copies are one class from the start. Classes with a shingle in common are first
 compared with the most common one among them, its anchor, and only pairs that this
@@ -23,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from footfall.llm import counting
 from footfall.llm.textbytes import mix, shingle_hashes, word_hashes
@@ -31,7 +31,7 @@ from footfall.plans.scratch import Scratch
 
 SHINGLE = 5
 PERCENT = 80  # least similarity
-CHUNK = 8 << 20  # bytes of text in a chunk, about
+CHUNK = 4 << 20  # bytes of text in a chunk, about
 LONGER = 8  # the first prefix is longer by one shingle for so many
 _LEVELS = (0, 1 / 32, 1 / 8, 1 / 2)  # shares of a set by which its prefix may be longer
 _VERIFY = 50.0  # verifying a candidate costs as much as reading so many postings
@@ -42,6 +42,11 @@ def _need(n, percent: int):
     return (percent * n + 99) // 100
 
 
+def _overlap(n, m, percent: int):
+    """Shared shingles that similar sets of ``n`` and ``m`` have at least."""
+    return (percent * (n + m) + 99 + percent) // (100 + percent)
+
+
 def _sets(column: pa.Array, size: int) -> Iterator[np.ndarray]:
     """Every row's distinct shingles, sorted."""
     words, bounds = word_hashes(column)
@@ -125,12 +130,13 @@ def _adapted(classes: pa.Table, counts: pa.Table, percent: int) -> pa.Table:
     """Each class's chosen prefix, rarest shingle first; classes that cannot link go.
 
     Shingles of no other class stand first in the order, so they take up places of
-    the prefix and are not listed.
+    the prefix and are not listed. ``most`` is the size of the largest set that can
+    be similar, as at most the other shingles are shared.
     """
     sets = [np.frombuffer(s, np.uint64) for s in classes.column("shingles").to_pylist()]
     keys, _ = counting.counted(np.concatenate(sets))
     found = counting.answered(counts, 1)
-    out: dict[str, list] = {"cls": [], "n": [], "ell": [], "common": [], "listed": [], "shingles": []}
+    out: dict[str, list] = {"cls": [], "n": [], "ell": [], "alone": [], "most": [], "common": [], "listed": [], "shingles": []}
     for cls, own in zip(classes.column("cls").to_pylist(), sets):
         n = len(own)
         need = _need(n, percent)
@@ -139,27 +145,29 @@ def _adapted(classes: pa.Table, counts: pa.Table, percent: int) -> pa.Table:
         if n - alone < need:
             continue
         order = np.lexsort((own, often))[alone:]
-        read = np.cumsum(often[order])  # postings up to here
+        read = np.concatenate([[0], np.cumsum(often[order])])  # postings up to here
         best = None
         for share in _LEVELS:
             ell = min(1 + int(n * share), need)
-            length = n - need + ell - alone
-            # Each candidate shows at least ell of the postings.
-            cost = read[length - 1] * (1 + _VERIFY / ell)
+            # Of a set of the same size, each candidate shows at least ell of the postings.
+            length = n - _overlap(n, n, percent) + ell - alone
+            cost = read[max(length, 0)] * (1 + _VERIFY / ell)
             if best is None or cost < best[0]:
-                best = cost, ell, length
+                best = cost, ell, n - need + ell - alone
         out["cls"].append(cls)
         out["n"].append(n)
         out["ell"].append(best[1])
+        out["alone"].append(alone)
+        out["most"].append((100 + percent) * (n - alone) // percent - n)
         out["common"].append(float(often.mean()))
         out["listed"].append(own[order[: best[2]]].view(np.int64))
         out["shingles"].append(own.tobytes())
-    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.list_(pa.int64()), pa.binary())
+    kinds = (*[pa.int64()] * 5, pa.float64(), pa.list_(pa.int64()), pa.binary())
     return pa.table({name: pa.array(v, kind) for (name, v), kind in zip(out.items(), kinds)})
 
 
 def _classes(members: DataFrame, percent: int) -> DataFrame:
-    """(cls, n, ell, common, listed, shingles) of every class that may be linked."""
+    """(cls, n, ell, alone, most, common, listed, shingles) of every class that may be linked."""
     sets = members.where(F.col("shingles").isNotNull())
     total = sets.agg(F.sum(F.octet_length("shingles"))).first()[0]
     chunks = 1 + int(total or 0) // CHUNK
@@ -176,7 +184,7 @@ def _classes(members: DataFrame, percent: int) -> DataFrame:
         .cogroup(back.groupBy("chunk"))
         .applyInArrow(
             lambda classes, own: _adapted(classes, own, percent),
-            "cls long, n long, ell long, common double, listed array<bigint>, shingles binary",
+            "cls long, n long, ell long, alone long, most long, common double, listed array<bigint>, shingles binary",
         )
     )
 
@@ -206,20 +214,21 @@ def _verified(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def _fits(n, m, percent: int):
-    """Whether sets of these sizes can be similar at all."""
-    return F.least(n, m) * 100 >= F.greatest(n, m) * percent
+def _fits(a: str, b: str) -> Column:
+    """Whether neither set is larger than the other's largest partner."""
+    return (F.col(f"{a}.n") <= F.col(f"{b}.most")) & (F.col(f"{b}.n") <= F.col(f"{a}.most"))
 
 
-def _with_anchors(postings: DataFrame, percent: int) -> DataFrame:
+def _with_anchors(postings: DataFrame) -> DataFrame:
     """Each class with the most common class of every list that it is in."""
     anchor = postings.groupBy("token").agg(
-        F.max(F.struct("common", F.col("cls").alias("b"), F.col("n").alias("m"))).alias("top")
+        F.max(F.struct("common", "cls", "n", "most")).alias("top")
     )
     return (
-        postings.join(anchor, "token")
-        .where((F.col("cls") != F.col("top.b")) & _fits(F.col("n"), F.col("top.m"), percent))
-        .select(F.col("cls").alias("a"), F.col("top.b").alias("b"))
+        postings.alias("own")
+        .join(anchor, "token")
+        .where((F.col("cls") != F.col("top.cls")) & _fits("own", "top"))
+        .select(F.col("cls").alias("a"), F.col("top.cls").alias("b"))
         .distinct()
     )
 
@@ -228,10 +237,11 @@ def _unconnected(postings: DataFrame, labels: DataFrame, percent: int) -> DataFr
     """Pairs of different components with enough matches in their prefixes.
 
     In every list, the component with the most classes is left to the others: only
-    classes outside of it look for partners.
+    classes outside of it look for partners. A shingle counts if its places are
+    within the prefixes that the two sizes ask for.
     """
     labelled = postings.join(labels, postings["cls"] == labels["node"], "left").select(
-        "token", "cls", "n", "ell", F.coalesce("label", "cls").alias("label")
+        "token", "cls", "n", "ell", "most", "place", F.coalesce("label", "cls").alias("label")
     )
     by_label = labelled.groupBy("token", "label").agg(F.count(F.lit(1)).alias("many"))
     mixed = (
@@ -240,24 +250,27 @@ def _unconnected(postings: DataFrame, labels: DataFrame, percent: int) -> DataFr
         .where(F.col("labels") > 1)
         .select("token", F.col("main.label").alias("main"))
     )
-    lists = labelled.join(mixed, "token")
-    probe = lists.where(F.col("label") != F.col("main")).select(
-        "token",
-        F.col("cls").alias("a"),
-        F.col("n").alias("a_n"),
-        F.col("ell").alias("a_ell"),
-        F.col("label").alias("a_label"),
+    lists = labelled.join(mixed, "token").withColumn("is_main", F.col("label") == F.col("main"))
+    a, b = lists.where(~F.col("is_main")).alias("a"), lists.alias("b")
+    ell = F.least("a.ell", "b.ell")
+    both = F.expr(f"({percent} * (a.n + b.n) + {99 + percent}) div {100 + percent}")  # as _overlap
+    in_prefixes = (F.col("a.place") <= F.col("a.n") - both + ell) & (
+        F.col("b.place") <= F.col("b.n") - both + ell
     )
-    partner = lists.select("token", "cls", "n", "ell", "label", (F.col("label") == F.col("main")).alias("is_main"))
     return (
-        probe.join(partner, "token")
+        a.join(b, F.col("a.token") == F.col("b.token"))
         .where(
-            (F.col("a_label") != F.col("label"))
-            & (F.col("is_main") | (F.col("a") < F.col("cls")))
-            & _fits(F.col("a_n"), F.col("n"), percent)
+            (F.col("a.label") != F.col("b.label"))
+            & (F.col("b.is_main") | (F.col("a.cls") < F.col("b.cls")))
+            & _fits("a", "b")
+            & in_prefixes
+        )
+        .groupBy(
+            F.least("a.cls", "b.cls").alias("a"),
+            F.greatest("a.cls", "b.cls").alias("b"),
+            ell.alias("ell"),
         )
-        .groupBy(F.least("a", "cls").alias("a"), F.greatest("a", "cls").alias("b"))
-        .agg(F.count(F.lit(1)).alias("matches"), F.max(F.least("a_ell", "ell")).alias("ell"))
+        .agg(F.count(F.lit(1)).alias("matches"))
         .where(F.col("matches") >= F.col("ell"))
     )
 
@@ -312,8 +325,10 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
     kept = Scratch(spark, "jaccard")
     members = kept.keep(_members(docs, size, percent), "members")
     classes = kept.keep(_classes(members, percent), "classes")
-    postings = classes.select("cls", "n", "ell", "common", F.explode("listed").alias("token"))
-    links = kept.keep(_verified(_with_anchors(postings, percent), classes, percent), "anchored")
+    postings = classes.select(
+        "cls", "n", "ell", "alone", "most", "common", F.posexplode("listed").alias("at", "token")
+    ).withColumn("place", F.col("alone") + F.col("at") + 1)
+    links = kept.keep(_verified(_with_anchors(postings), classes, percent), "anchored")
     labels = components(links, kept, "first")
     more = _verified(_unconnected(postings, labels, percent), classes, percent)
     links = links.unionByName(kept.keep(more, "found"))
