@@ -32,7 +32,7 @@ _BLOCKS = _PARAGRAPHS | frozenset(
 )
 # An open element that ends when one of these begins, and what its search stops at.
 _IMPLIED = {
-    "p": (_BLOCKS - frozenset("html body li dd dt tr caption thead tbody tfoot legend summary".split()), frozenset(["button", "td", "th", "caption", "table", "li", "dd", "dt", "div", "body"])),
+    "p": (_BLOCKS - frozenset("html body li dd dt tr caption thead tbody tfoot legend summary".split()), frozenset(["button", "td", "th", "caption", "table"])),
     "li": (frozenset(["li"]), frozenset(["ul", "ol", "menu"])),
     "dt": (frozenset(["dt", "dd"]), frozenset(["dl"])),
     "dd": (frozenset(["dt", "dd"]), frozenset(["dl"])),
@@ -93,7 +93,7 @@ def _imply_ends(stack: list[Element], tag: str) -> None:
             if stack[i].tag == open_tag:
                 del stack[i:]
                 break
-            if stack[i].tag in scope:
+            if stack[i].tag in scope or stack[i].tag == "template":
                 break
 
 

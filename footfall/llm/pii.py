@@ -117,7 +117,8 @@ def _same_length_forms() -> dict[str, str]:
     return table
 
 
-_HIDDEN = "​‌‍⁠﻿­"
+# Zero-width characters.
+_HIDDEN = "\u200b\u200c\u200d\u2060\ufeff\u00ad"
 _NUMBER = "(?:" + "|".join(_DIGIT_WORDS) + ")"
 _REWRITE = re.compile(
     rf"""
@@ -125,6 +126,7 @@ _REWRITE = re.compile(
     | (?P<at>\s{{0,3}}[\[({{<]\s{{0,3}}at\s{{0,3}}[\])}}>]\s{{0,3}}
         | (?<=[a-z0-9])\s{{1,3}}at\s{{1,3}}(?=[a-z0-9-]{{1,63}}
             (?:\s{{1,3}}dot\s{{1,3}}|\s{{0,3}}[\[({{<]\s{{0,3}}dot\s{{0,3}}[\])}}>])))
+    | (?P<weak>(?<=[a-z0-9])\s{{1,3}}at\s{{1,3}}(?=[a-z0-9-]{{1,63}}\.[a-z]{{2}}))
     | (?P<dot>\s{{0,3}}[\[({{<]\s{{0,3}}(?:dot|\.)\s{{0,3}}[\])}}>]\s{{0,3}}
         | (?<=[a-z0-9])\s{{1,3}}dot\s{{1,3}}(?=[a-z0-9]))
     | (?P<run>\b(?:plus\s{{1,3}})?{_NUMBER}\b
@@ -136,6 +138,9 @@ _REWRITE = re.compile(
 _RUN_PART = re.compile(rf"plus|\+|dot|point|dash|{_NUMBER}|[0-9]+", re.I | re.A)
 _RUN_SIGNS = {"plus": "+", "+": "+", "dot": ".", "point": ".", "dash": "-"}
 _BRACKETED = re.compile(r"[\[({<]\s{0,3}(?:at\b|\.)", re.I)
+# After a bare "at" before a plain domain, only a name like an account's counts.
+_BARE_AT = re.compile(r"at\s{1,3}[a-z0-9-]{1,63}\.[a-z]{2}")
+_ACCOUNT = re.compile(r"[0-9._%+-]")
 
 
 def _may_be_rewritten(text: str) -> bool:
@@ -145,6 +150,8 @@ def _may_be_rewritten(text: str) -> bool:
     lower = text.lower()
     if "dot" in lower or any(c in text for c in "[({<") and _BRACKETED.search(text):
         return True
+    if _BARE_AT.search(lower):
+        return True
     words = lower.replace("-", " ").replace(",", " ").split()
     return not _DIGIT_WORDS.keys().isdisjoint(words)
 
@@ -162,6 +169,7 @@ class Normalised:
             spots = [i for i, c in enumerate(source) if c in swaps]
             source = "".join([swaps.get(c, c) for c in source])
         self.spots = spots  # swapped one for one, so at the same place
+        self.weak: set[int] = set()  # where @ stands for a bare "at"
         self.starts: list[int] = []
         self.sources: list[tuple[int, int]] = []
         self.changed: list[bool] = []
@@ -188,7 +196,9 @@ class Normalised:
                     a, b = m.start() + part.start(), m.start() + part.end()
                     put(sign or word, a, b, sign is not None)
             elif m.lastgroup != "hidden":
-                put("@" if m.lastgroup == "at" else ".", *m.span(), True)
+                if m.lastgroup == "weak":
+                    self.weak.add(length)
+                put("." if m.lastgroup == "dot" else "@", *m.span(), True)
             else:
                 put("", *m.span(), True)
         put(source[at:], at, len(source), False)
@@ -221,6 +231,9 @@ def make_finder() -> Callable[[str], list[Span]]:
         copy = Normalised(text, swaps)
         if not copy.same:
             for kind, a, b in plain_spans(copy.text):
+                at = copy.text.find("@", a, b)
+                if kind == "email" and at in copy.weak and not _ACCOUNT.search(copy.text[a:at]):
+                    continue
                 start, stop, disguised = copy.back(a, b)
                 if disguised and (kind, start, stop) not in plain:
                     spans.add((kind, start, stop, False))
