@@ -1,0 +1,101 @@
+"""Language-model scores against a dictionary-based model."""
+
+import re
+from collections import Counter
+from math import isclose, log10
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from footfall.llm import lm
+from footfall.llm.queries import QUERIES
+
+LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
+DDL = "doc_id long, text string, train boolean, n_known string"
+MASS = lm.MASS
+
+
+def tokens(text):
+    return [*re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(LOWER)), "</s>"]
+
+
+def model(docs):
+    one, two, starts = Counter(), Counter(), 0
+    for _, text, train, *_ in docs:
+        if train:
+            own = tokens(text)
+            one.update(own)
+            two.update(zip(["<s>", *own], own))
+            starts += 1
+    n, v = sum(one.values()), len(one)
+
+    def low(w):
+        return (one[w] + 1) / (n + v + 1)
+
+    def high(u, w):
+        context = starts if u == "<s>" else one[u]
+        return (two[u, w] + MASS * low(w)) / (context + MASS)
+
+    return one, n, low, high
+
+
+def brute(docs):
+    one, n, low, high = model(docs)
+    for doc_id, text, *_ in docs:
+        own = tokens(text)
+        yield (
+            doc_id, len(own), sum(one[w] > 0 for w in own), n,
+            sum(log10(low(w)) for w in own), sum(log10(high(u, w)) for u, w in zip(["<s>", *own], own)),
+        )
+
+
+def same(found, expected):
+    found, expected = (sorted(x, key=lambda r: str(r[:4]) + f"{r[5]:.6f}") for x in (found, expected))
+    assert len(found) == len(expected)
+    for a, b in zip(found, expected):
+        assert a[:4] == b[:4]
+        assert isclose(a[4], b[4], rel_tol=1e-9, abs_tol=1e-9) and isclose(a[5], b[5], rel_tol=1e-9, abs_tol=1e-9)
+
+
+def scored(spark, docs, **options):
+    frame = lm.lm_scores(spark.createDataFrame(docs, DDL), F.col("train"), **options)
+    columns = ("doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+    return [tuple(r) for r in frame.select(*columns).collect()]
+
+
+@pytest.mark.parametrize("chunk", [40, 1 << 20])
+def test_against_a_dictionary(spark, chunk):
+    docs = [
+        (1, "the cat sat on the mat", True, ""), (2, "The cat  ate\nthe rat", True, ""),
+        (3, "the dog sat on a cat", False, ""), (4, "", True, ""), (5, None, False, None),
+        (6, "the the the the", True, ""), (6, "the the the the", True, ""), (None, "unknown words only", False, ""),
+        (7, "x " * 500, True, ""), (8, "sat", None, ""),
+    ]
+    same(scored(spark, docs, chunk=chunk), brute(docs))
+
+
+def test_nothing_to_learn_from(spark):
+    docs = [(1, "a b", False, ""), (2, None, False, "")]
+    same(scored(spark, docs), brute(docs))
+    assert scored(spark, []) == []
+
+
+def test_probabilities_sum_to_one():
+    """Over all known words, the unknown one and every state."""
+    counts = np.array([5, 3, 1, 0])
+    root = np.log10((counts + 1) / (counts.sum() + 3 + 1))
+    words = len(counts)
+    start = words + 1
+    arcs = {1 * words + 1: 2, 1 * words + 0: 3, 2 * words + 2: 3, 3 * words + 0: 1, start * words + 0: 2}
+    machine = lm.Automaton(root, counts, 2, np.array(list(arcs)), np.array(list(arcs.values())))
+    for before in ([], [0], [1], [2], [3]):
+        ahead = machine.score(before)
+        assert isclose(sum(10 ** (machine.score([*before, w]) - ahead) for w in range(words)), 1)
+
+
+def test_given_table(spark):
+    rows = QUERIES["op6_lm_scoring"](spark, "/root/testdata/sf0.001").collect()
+    held = [r for r in rows if r.held_out]
+    assert held and sum(r.score for r in held) > sum(r.base_score for r in held)
+    assert all(r.train_tokens == sum(x.n_tokens for x in rows if not x.held_out) for r in rows[:3])

@@ -1,0 +1,62 @@
+"""The factorisation machine: its identity, its learning, its edges."""
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from footfall.llm import quality
+from footfall.llm.queries import QUERIES
+
+
+def test_linear_time_identity():
+    rng = np.random.default_rng(1)
+    model = quality.FactorisationMachine(
+        0.3, rng.normal(size=quality.INPUTS), rng.normal(size=(quality.INPUTS, quality.FACTORS))
+    )
+    texts = pa.array(["some words and some more words!", "", None, "ONE two 3"])
+    row, which, value = quality.inputs(texts)
+    raw, _ = model.raw(row, which, value, len(texts))
+    for i in range(len(texts)):
+        x = [(w, v) for r, w, v in zip(row, which, value) if r == i]
+        expected = model.bias + sum(model.weight[w] * v for w, v in x)
+        for a in range(len(x)):
+            for b in range(a):
+                expected += model.factors[x[a][0]] @ model.factors[x[b][0]] * x[a][1] * x[b][1]
+        assert raw[i] == pytest.approx(expected)
+
+
+def test_inputs_do_not_depend_on_the_batch():
+    texts = ["a b a c!", None, "", "x" * 5000, "É è 12 12 12"]
+    together = quality.inputs(pa.array(texts))
+    for i, text in enumerate(texts):
+        own = quality.inputs(pa.array([text], pa.string()))
+        mine = together[0] == i
+        assert own[1].tolist() == together[1][mine].tolist()
+        assert own[2].tolist() == pytest.approx(together[2][mine].tolist())
+
+
+def test_learns_held_out_labels(spark):
+    folder = "/root/testdata/sf0.01"
+    found = QUERIES["op8_quality"](spark, folder)
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    rows = found.where("held_out").join(labels, "doc_id").select("quality", "score", "predicted").collect()
+    assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.7) for r in rows)
+    assert np.mean([r.predicted == r.quality for r in rows]) >= 0.9
+    good, bad = ([r.score for r in rows if r.quality == q] for q in (1, 0))
+    assert np.mean([[g > b for g in good] for b in bad]) >= 0.95
+
+
+def test_edges(spark):
+    docs = [(1, "good text", "q"), (1, "good text", "q"), (None, "t", "q"), (2, None, None), (3, "", "")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string, quality_score string")
+    labels = spark.createDataFrame(
+        [(1, 1), (1, None), (2, 0), (3, 0), (None, 1), (9, 1)], "doc_id long, label int"
+    )
+    model = quality.fit_quality(frame, labels)
+    scored = quality.with_quality(frame, model)
+    assert scored.columns == ["doc_id", "text", "quality_score"]
+    rows = scored.collect()
+    assert len(rows) == 5 and all(0 <= r.quality_score <= 1 for r in rows)
+    empty = quality.fit_quality(frame, labels.limit(0))
+    assert {r.quality_score for r in quality.with_quality(frame, empty).collect()} == {0.5}
+    assert quality.with_quality(frame.limit(0), model).collect() == []

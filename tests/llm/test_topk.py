@@ -1,0 +1,76 @@
+"""Exact top-k against sorting all scores."""
+
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from footfall.llm import topk
+
+DDL = "vec_id long, embedding array<float>, score string, rank string"
+
+
+def brute(rows, k):
+    usable = [
+        (i, [int(np.floor(256 * float(np.float32(x)))) for x in v])
+        for i, v, *_ in rows
+        if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)
+    ]
+    out = []
+    for q, v in {(i, tuple(v)) for i, v in usable if i % 50 == 0}:
+        scores = sorted(
+            (-sum(a * b for a, b in zip(v, w)), i) for i, w in usable if i != q and len(w) == len(v)
+        )
+        out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(scores[:k])]
+    return sorted(out)
+
+
+def found(spark, rows, k):
+    frame = topk.top_k(spark.createDataFrame(rows, DDL).repartition(3), F.col("vec_id") % 50 == 0, k)
+    assert frame.dtypes == [("query_id", "bigint"), ("rank", "int"), ("vec_id", "bigint"), ("score", "bigint")]
+    return sorted(map(tuple, frame.collect()))
+
+
+@pytest.mark.parametrize("block", [20, 4096])
+def test_against_sorting(spark, monkeypatch, block):
+    monkeypatch.setattr(topk, "BLOCK", block)
+    monkeypatch.setattr(topk, "QUERY_BLOCK", 3)
+    rng = random.Random(4)
+    rows = [(i, [rng.choice([-1.0, -0.5, 0.0, 0.25, 1.0]) for _ in range(6)], "s", "r") for i in range(260)]
+    nan, inf = float("nan"), float("inf")
+    rows += [(300, [1.0, 2.0], "", ""), (301, [3.0, 4.0], "", ""), (350, [], "", ""), (351, [], "", "")]
+    rows += [(400, None, "", ""), (401, [None] * 6, "", ""), (402, [nan] * 6, "", ""), (450, [inf] * 6, "", "")]
+    rows += [(None, [1.0] * 6, None, None), (7, rows[7][1], "", ""), (7, rows[7][1], "", ""), (50, rows[50][1], "", "")]
+    rows += [(8, [0.125] * 6, "", "")]
+    assert found(spark, rows, 5) == brute(rows, 5)
+
+
+def test_few_and_no_rows(spark):
+    rows = [(0, [1.0, 1.0], "", ""), (1, [1.0, 0.0], "", "")]
+    assert found(spark, rows, 5) == [(0, 1, 1, 65536)]
+    assert found(spark, rows[:1], 5) == []
+    assert found(spark, [], 5) == []
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_lists_agree_with_all_products(seed):
+    rng = np.random.default_rng(seed)
+    n, dims, m, k = [(500, 16, 20, 5), (300, 1, 9, 3), (40, 8, 40, 50)][seed % 3]
+    vectors = rng.integers(-200, 200, (n, dims)) * (1 if seed < 3 else 1 << 40)
+    ids, query_ids = rng.permutation(n), np.arange(m)
+    queries = rng.integers(-200, 200, (m, dims))
+    which, at, score = topk.best_by_lists(ids, vectors, query_ids, queries, k)
+    for q in range(m):
+        all_scores = (vectors @ queries[q]).tolist()
+        expected = sorted((-s, i) for s, i in zip(all_scores, ids.tolist()) if i != q)[:k]
+        assert list(zip((-score[which == q]).tolist(), ids[at[which == q]].tolist())) == expected
+
+
+def test_reading_stops_early():
+    """With one outstanding candidate, later entries are never read for it to win."""
+    rng = np.random.default_rng(0)
+    vectors = rng.integers(-5, 5, (4000, 4))
+    vectors[17] = 1000
+    which, at, score = topk.best_by_lists(np.arange(4000), vectors, np.array([-1]), np.ones((1, 4), int), 1)
+    assert at.tolist() == [17] and score.tolist() == [4000]
