@@ -34,6 +34,21 @@ def _large(raw: bytes) -> np.ndarray:
     return np.frombuffer(raw, f"<i{raw[0]}", offset=1).astype(np.int64)
 
 
+def _packed(keys: np.ndarray) -> bytes:
+    """Sorted keys as differences, each in as few bytes as the largest needs."""
+    steps = np.diff(keys, prepend=np.uint64(0))
+    width = max(1, (int(steps.max()).bit_length() + 7) // 8)
+    raw = steps.astype("<u8").view(np.uint8).reshape(-1, 8)
+    return bytes([width]) + raw[:, :width].tobytes()
+
+
+def _unpacked(raw: bytes) -> np.ndarray:
+    parts = np.frombuffer(raw, np.uint8, offset=1).reshape(-1, raw[0])
+    steps = np.zeros((len(parts), 8), np.uint8)
+    steps[:, : raw[0]] = parts
+    return np.cumsum(steps.reshape(-1).view("<u8"), dtype=np.uint64)
+
+
 def ask(
     chunk: int, buckets: int, parts: Iterable[tuple[int, np.ndarray, np.ndarray]]
 ) -> pa.Table:
@@ -45,7 +60,9 @@ def ask(
         cuts = np.concatenate([[0], np.searchsorted(keys, edges), [len(keys)]])
         for bucket in np.flatnonzero(np.diff(cuts)).tolist():
             own = slice(cuts[bucket], cuts[bucket + 1])
-            rows.append((bucket, chunk, n, keys[own].tobytes(), _small(counts[own])))
+            # Less its range's begin, a key takes fewer bytes.
+            near = keys[own] - np.uint64(bucket * width)
+            rows.append((bucket, chunk, n, _packed(near), _small(counts[own])))
     columns = list(zip(*rows)) or [()] * 5
     kinds = (pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary())
     names = ("bucket", "chunk", "n", "keys", "counts")
@@ -54,7 +71,7 @@ def ask(
 
 def _merged(table: pa.Table) -> tuple[np.ndarray, list[np.ndarray]]:
     """The summed counts of a bucket's distinct keys, and where each row's keys are in them."""
-    keys = [np.frombuffer(k.as_py(), np.uint64) for k in table.column("keys")]
+    keys = [_unpacked(k.as_py()) for k in table.column("keys")]
     kind = np.repeat(np.asarray(table.column("n")), [len(k) for k in keys]).astype(np.uint64)
     # Kinds are few, and keys are hashes already: a shifted copy keeps them apart.
     apart = np.concatenate(keys) ^ (kind * np.uint64(0xD6E8FEB86659FD93))

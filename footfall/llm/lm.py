@@ -156,7 +156,7 @@ def lm_scores(docs: DataFrame, training: Column, chunk: int = CHUNK) -> DataFram
     starts = int(size[1] or 0)
     def unigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in row_groups(batch, "text", chunk):
+            for part in row_groups(batch, "text", 4 * chunk):
                 yield from _asked(pa.Table.from_batches([part]), chunks, (1,)).to_batches()
 
     found = counting.totals(dealt.mapInArrow(unigrams, counting.ASKED))
