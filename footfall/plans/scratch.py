@@ -17,8 +17,8 @@ def shared_folder(spark: SparkSession) -> str:
     )
     if folder:
         return folder.rstrip("/")
-    if spark.conf.get("spark.master", "").startswith("local["):
-        return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+    if spark.conf.get("spark.master", "").partition("[")[0] == "local":
+        return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/footfall-scratch"
     raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
 
 

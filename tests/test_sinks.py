@@ -5,6 +5,8 @@ No database is started: the JDBC test looks at what Spark's writer is told.
 
 from pathlib import Path
 
+from types import SimpleNamespace
+
 import pytest
 from builders import rows, users_frame
 from pyspark.sql import DataFrameWriter
@@ -153,3 +155,24 @@ def test_cluster_without_a_shared_folder_is_an_error():
 
 def test_conditions_text_is_json():
     assert Conditions(professionals=("学生",)).to_json() == '{"professionals": ["学生"]}'
+
+
+@pytest.mark.parametrize(
+    "conf, folder",
+    [
+        ({"spark.checkpoint.dir": "hdfs://x/c/", "spark.master": "yarn"}, "hdfs://x/c"),
+        ({"spark.checkpoint.dir": "file:///mnt/c", "spark.master": "spark://h:1"}, "file:///mnt/c"),
+        ({"spark.master": "local[4]", "spark.sql.warehouse.dir": "/w"}, "/w/footfall-scratch"),
+        ({"spark.master": "local-cluster[2,1,1024]", "spark.sql.warehouse.dir": "/w"}, None),
+        ({"spark.master": "yarn", "spark.sql.warehouse.dir": "/w"}, None),
+    ],
+)
+def test_shared_folder(conf, folder):
+    session = SimpleNamespace(
+        conf=conf, sparkContext=SimpleNamespace(getCheckpointDir=lambda: None)
+    )
+    if folder is None:
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            shared_folder(session)
+    else:
+        assert shared_folder(session) == folder
