@@ -1,9 +1,7 @@
 """The stages of the pipeline, each on what the one before kept."""
 
-import re
 
 import corpus_pipeline
-import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
