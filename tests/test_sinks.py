@@ -4,7 +4,6 @@ No database is started: the JDBC test looks at what Spark's writer is told.
 """
 
 from pathlib import Path
-
 from types import SimpleNamespace
 
 import pytest
