@@ -29,7 +29,7 @@ from footfall.llm.textbytes import mix, powers, string_bytes
 LENGTH = 1024
 GRAIN = 8  # lengths in a class differ by less than this
 _GAP = 1e-3  # the linear program may use this share of sequences more than it must
-_TOGETHER = 1 << 22  # bytes of text that are encoded together
+_TOGETHER = 1 << 20  # bytes of text that are encoded together
 _ANY_BYTE = mix(np.arange(1, 257, dtype=np.uint64))
 _WHITE = [c.encode() for c in map(chr, range(0x80, 0x3001)) if c.isspace()]
 _SALTS = 32  # groups that the rests of one length are ranked in, at least
@@ -41,7 +41,7 @@ class _Ids:
 
     The vocabulary's splitting rule always begins a new piece before a space that
     something else than white space follows. So texts are cut there, and a piece
-    that repeats among some megabytes of text is encoded once.
+    that repeats among a megabyte of text is encoded once.
     """
 
     def __init__(self, vocabulary: str | None) -> None:
