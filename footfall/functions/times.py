@@ -10,20 +10,22 @@ from pyspark.sql import Column, functions as F
 
 # A date and all three time fields, padded or not; what follows is ignored.
 _MOMENT = r"^\s*([0-9]{4}-[0-9]{1,2}-[0-9]{1,2} [0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2})"
-# Length of "yyyy-MM-dd HH:mm:ss".
+# Length of "yyyy-MM-dd HH:mm:ss", and where its second colon stands.
 _SECOND_TEXT = 19
+_SECOND_COLON = 17
 
 
 def readable_moment(time_text: Column) -> Column:
     """A time text as a zone-free timestamp; NULL if it lacks a field or is no time.
 
     Padded text goes straight to the cast, the fast parser, and min and max over
-    the result stay in the hash aggregate, which text would not.
+    the result stay in the hash aggregate, which text would not. Its second colon
+    is looked at because the cast would fill in missing fields.
     """
-    padded = F.substring(time_text, 1, _SECOND_TEXT)
-    is_padded = padded.like("____-__-__ __:__:__")
-    text = F.when(is_padded, padded).otherwise(F.regexp_extract(time_text, _MOMENT, 1))
-    return text.try_cast("timestamp_ntz")
+    has_seconds = F.substring(time_text, _SECOND_COLON, 1) == ":"
+    padded = F.when(has_seconds, F.substring(time_text, 1, _SECOND_TEXT))
+    other = F.regexp_extract(time_text, _MOMENT, 1)
+    return F.coalesce(padded.try_cast("timestamp_ntz"), other.try_cast("timestamp_ntz"))
 
 
 def is_unreadable(time_text: Column, moment: Column) -> Column:
