@@ -87,36 +87,40 @@ def _survivors(texts: pa.Table, counts: pa.Table, size: int, percent: int) -> pa
         # A similar set may be smaller, and its prefix then asks for less.
         enough = shared >= 1 + _need(len(own), percent) // LONGER
         kept.append(own.tobytes() if len(own) and enough else None)
-    return pa.table(
-        {
-            "doc_id": texts.column("doc_id"),
-            "n_shingles": pa.array([len(own) for own in sets], pa.int64()),
-            "cls": pa.array([_class_of(own) if len(own) else None for own in sets], pa.int64()),
-            "shingles": pa.array(kept, pa.binary()),
-        }
-    )
+    out = {
+        "n_shingles": pa.array([len(own) for own in sets], pa.int64()),
+        "cls": pa.array([_class_of(own) if len(own) else None for own in sets], pa.int64()),
+        "shingles": pa.array(kept, pa.binary()),
+    }
+    rows = texts.drop_columns(["text", "chunk"])
+    for name, values in out.items():
+        rows = rows.append_column(name, values)
+    return rows
 
 
 def _members(docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """(doc_id, n_shingles, cls, shingles); shingles only where a link is possible."""
+    """``docs`` with n_shingles, cls and shingles for its text; shingles only where a link is possible."""
     text = F.coalesce("text", F.lit(""))
     total = docs.agg(F.sum(F.octet_length(text) + 20)).first()[0]
     chunks = 1 + int(total or 0) // CHUNK
+    own = [f for f in docs.schema if f.name != "text"]
     dealt = docs.select(
-        "doc_id", text.alias("text"), F.pmod(F.xxhash64("doc_id", text), F.lit(chunks)).alias("chunk")
+        *[f.name for f in own],
+        text.alias("text"),
+        F.pmod(F.xxhash64("doc_id", text), F.lit(chunks)).alias("chunk"),
     )
     back = counting.answers(
         dealt.groupBy("chunk").applyInArrow(
             lambda t: _ask_prefixes(t, chunks, size, percent), counting.ASKED
         )
     )
-    kind = docs.schema["doc_id"].dataType.simpleString()
+    fields = [f"{f.name} {f.dataType.simpleString()}" for f in own]
     return (
         dealt.groupBy("chunk")
         .cogroup(back.groupBy("chunk"))
         .applyInArrow(
             lambda texts, own: _survivors(texts, own, size, percent),
-            f"doc_id {kind}, n_shingles long, cls long, shingles binary",
+            ", ".join([*fields, "n_shingles long, cls long, shingles binary"]),
         )
     )
 
@@ -311,15 +315,11 @@ def components(edges: DataFrame, kept: Scratch, name: str) -> DataFrame:
             return labels
 
 
-def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """For each document: doc_id, n_shingles, and component_id.
+def _grouped(docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """``docs`` without text and with n_shingles, component_id and first.
 
-    Two documents link if the similarity of their shingle sets is at least
-    ``percent``; component_id is the smallest doc_id that links lead to. Copies are
-    linked. A null or empty text, or one without words, has no shingle and no link;
-    fewer words than a shingle has are one shingle. Documents may share an id, and
-    rows may repeat: every row is a document. A null doc_id gets the id of others it
-    is linked with, else null. Other columns take no part.
+    ``first`` is the first row of those that links lead to, by doc_id, null ids
+    last, then by the other columns; a row without links has neither.
     """
     spark = docs.sparkSession
     kept = Scratch(spark, "jaccard")
@@ -333,30 +333,73 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
     more = _verified(_unconnected(postings, labels, percent), classes, percent)
     links = links.unionByName(kept.keep(more, "found"))
     labels = components(links, kept, "all")
+    own = ["doc_id", *[c for c in docs.columns if c not in ("doc_id", "text")]]
     ids = (
         members.where(F.col("cls").isNotNull())
         .groupBy("cls")
-        .agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("rows"))
+        .agg(
+            F.min("doc_id").alias("first_id"),
+            F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), *own)).alias("first"),
+            F.count(F.lit(1)).alias("rows"),
+        )
     )
     ids = ids.join(labels, ids["cls"] == labels["node"], "left").withColumn(
         "label", F.coalesce("label", "cls")
     )
     groups = ids.groupBy("label").agg(
-        F.min("first_id").alias("component_id"), F.sum("rows").alias("documents")
+        F.min("first_id").alias("component_id"),
+        F.min("first").alias("first"),
+        F.sum("rows").alias("documents"),
     )
     named = (
-        ids.join(groups, "label").where(F.col("documents") > 1).select("cls", "component_id")
+        ids.select("cls", "label")
+        .join(groups, "label")
+        .where(F.col("documents") > 1)
+        .select("cls", "component_id", "first")
     )
-    return members.join(named, "cls", "left").select(
+    return members.join(named, "cls", "left").select(*own, "n_shingles", "component_id", "first")
+
+
+def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """For each document: doc_id, n_shingles, and component_id.
+
+    Two documents link if the similarity of their shingle sets is at least
+    ``percent``; component_id is the smallest doc_id that links lead to. Copies are
+    linked. A null or empty text, or one without words, has no shingle and no link;
+    fewer words than a shingle has are one shingle. Documents may share an id, and
+    rows may repeat: every row is a document. A null doc_id gets the id of others it
+    is linked with, else null. Other columns take no part.
+    """
+    return _grouped(docs.select("doc_id", "text"), size, percent).select(
         "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")
     )
 
 
 def one_of_each(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """The documents whose id is their component's smallest, all columns kept.
+    """One document of each component, and those without links; all columns kept.
 
-    Rows alike in id and text stay once.
+    The one with the smallest doc_id stays; among those with the same id, or if all
+    are null, the one with the smallest hash. Documents may share an id: each is
+    judged by its own text. Rows alike in id and text stay once.
     """
-    found = near_duplicates(docs.select("doc_id", "text"), size, percent)
-    others = found.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
-    return docs.join(others, "doc_id", "left_anti").dropDuplicates(["doc_id", "text"]).select(docs.columns)
+    name = "row"
+    while name in docs.columns:
+        name += "_"
+    own_id = F.col("doc_id").cast("string")
+    # The id's length first, so that no other id and text give the same.
+    row = F.md5(
+        F.concat_ws(
+            ":",
+            F.coalesce(F.octet_length(own_id), F.lit(-1)).cast("string"),
+            F.coalesce(own_id, F.lit("")),
+            F.coalesce("text", F.lit("")),
+        )
+    )
+    found = _grouped(docs.select("doc_id", "text", F.unhex(row).alias("row")), size, percent)
+    others = found.where(F.col("row") != F.col("first.row")).select(F.col("row").alias(name)).distinct()
+    return (
+        docs.withColumn(name, F.unhex(row))
+        .join(others, name, "left_anti")
+        .dropDuplicates([name, "doc_id", "text"])  # by the hash, so as the join deals them out
+        .select(docs.columns)
+    )

@@ -102,6 +102,21 @@ def test_one_of_each(spark):
     assert sorted(map(tuple, kept.collect()), key=str) == sorted([docs[1], docs[2], docs[4]], key=str)
 
 
+def test_one_of_each_goes_by_row(spark):
+    """Shared and null ids: a clean document stays, and one of each group."""
+    near = lambda p: [" ".join(f"{p}{i}" for i in range(50)) + end for end in ("", " x", " y")]
+    a, b, c = near("a"), near("b"), near("c")
+    clean = [(5, "unique text of its own", "", ""), (3, "another clean one", "", ""), (None, "lone", "", "")]
+    docs = [(3, a[0], "", ""), (5, a[1], "", "")]  # 3 stays, 5 is clean elsewhere
+    docs += [(None, t, "", "") for t in b]  # all ids null
+    docs += [(7, t, "", "") for t in c] + [(8, c[0], "", ""), (None, c[0], "", "")]  # the smallest id shared
+    kept = [tuple(r) for r in jaccard.one_of_each(spark.createDataFrame(docs + clean, DDL).repartition(3)).collect()]
+    assert set(clean) <= set(kept) and docs[0] in kept and len(kept) == len(clean) + 3
+    assert sorted(r[0] or 0 for r in kept if r not in clean) == [0, 3, 7]
+    frame = spark.createDataFrame([(*d, 1) for d in docs], DDL + ", row int")
+    assert jaccard.one_of_each(frame).columns == frame.columns
+
+
 @pytest.mark.parametrize("n", range(1, 60))
 def test_need(n):
     """No smaller overlap reaches the threshold with any size of the other set."""
