@@ -54,15 +54,17 @@ for _open, (_begins, _) in _IMPLIED.items():
     for _tag in _begins:
         _ENDS[_tag] = (*_ENDS.get(_tag, ()), _open)
 
+# An attribute as HTML reads it: a quote begins a value only after "=", and a name may begin with "=".
+_WHITE = r"[ \t\n\r\f]"
+_VALUE = rf"{_WHITE}*+={_WHITE}*+(?:\"([^\"]*+)(?:\"|\Z)|'([^']*+)(?:'|\Z)|([^ \t\n\r\f>\"'][^ \t\n\r\f>]*+)|)"
+_ATTRIBUTE = re.compile(rf"([^ \t\n\r\f/>][^ \t\n\r\f/>=]*+)(?:{_VALUE})?+")
 _MARKUP = re.compile(
     r"<!--(?:>|->|.*?(?:--!?>|\Z))"
-    r"|<(?P<end>/?)(?P<tag>[A-Za-z][^\s/>\x00]*)(?P<attrs>(?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*+)(?:>|\Z)"
+    r"|<(?P<end>/?)(?P<tag>[A-Za-z][^\s/>\x00]*)"
+    rf"(?P<attrs>(?:[ \t\n\r\f/]++|{re.sub(r'[(](?=[^?])', '(?:', _ATTRIBUTE.pattern)})*+)(?:>|\Z)"
     r"|<[!?/][^>]*(?:>|\Z)",
     re.S,
 )
-_ATTRIBUTE = re.compile(
-    r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+)))?", re.S
-)
 _UNSEEN = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))", re.I)
 _SPACE = re.compile(r"[ \t\n\r\f]+")
 MOST_DEPTH = 256  # elements nested deeper are put into their ancestor of this depth

@@ -36,6 +36,11 @@ CASES = {
     "entities": ("<p>a &amp; b &lt;c&gt; &#233;", "a & b <c> é"),
     "not a tag": ("a < b and c <3 d", "a < b and c <3 d"),
     "open quote": ("<a href=\"x>y", ""),
+    "stray quote": ("<p class=\"x\"\">Hello world</p><p>more", "Hello world\n\nmore"),
+    "quote in a value": ("<p title=it's>Hello</p><p class=a\"b hidden>z<p>more", "Hello\n\nmore"),
+    "quote in a name": ("<p a' \"b = '>' =\"c>d", "d"),
+    "quoted values": ("<p a = \"x>y\" b='>'c=\"'>\">d<p hidden =''>z", "d"),
+    "no value": ("<p a=>b<p a= >c", "b\n\nc"),
     "open comment": ("a<!-- b", "a"),
     "unknown end": ("a</b></p>c", "ac"),
     "select": ("a<select><option>x<option>y</select>b", "ab"),
