@@ -44,10 +44,11 @@ _IMPLIED = {
     "thead": (frozenset(["tbody", "tfoot"]), frozenset(["table"])),
     "tbody": (frozenset(["tbody", "tfoot"]), frozenset(["table"])),
     "caption": (frozenset(["thead", "tbody", "tfoot", "tr", "colgroup"]), frozenset(["table"])),
-    "head": (_BLOCKS - frozenset(["html"]), frozenset()),
     "rp": (frozenset(["rt", "rp"]), frozenset(["ruby"])),
     "rt": (frozenset(["rt", "rp"]), frozenset(["ruby"])),
 }
+# Start tags that leave an open head open; any other, and text, ends it.
+_IN_HEAD = frozenset("title meta link script style base noscript noframes template".split())
 # By what begins: the open elements that it may end.
 _ENDS: dict[str, tuple[str, ...]] = {}
 for _open, (_begins, _) in _IMPLIED.items():
@@ -107,7 +108,10 @@ def tree(page: str) -> Element:
         m = _MARKUP.search(page, at)
         text = page[at : m.start() if m else len(page)]
         if text:
-            stack[-1].children.append(html.unescape(text))
+            text = html.unescape(text)
+            if stack[-1].tag == "head" and text.strip(" \t\n\r\f"):
+                stack.pop()
+            stack[-1].children.append(text)
         if not m:
             break
         at = m.end()
@@ -116,6 +120,8 @@ def tree(page: str) -> Element:
             continue
         if m["end"]:
             if tag == "br":
+                if stack[-1].tag == "head":
+                    stack.pop()
                 stack[-1].children.append(Element("br", {}))
                 continue
             stop = frozenset(["table"]) if tag not in ("table", "body", "html") else frozenset()
@@ -126,6 +132,8 @@ def tree(page: str) -> Element:
                 if stack[i].tag in stop:
                     break
             continue
+        if stack[-1].tag == "head" and tag not in _IN_HEAD:
+            stack.pop()
         _imply_ends(stack, tag)
         element = Element(tag, _attributes(m["attrs"]) if m["attrs"].strip(" /\n\t") else {})
         stack[-1].children.append(element)

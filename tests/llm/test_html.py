@@ -14,6 +14,15 @@ CASES = {
         "ab",
     ),
     "head": ("<html><head><title>T</title><style>p{}</style><body>B", "B"),
+    "head ended by text": ("<html><head><title>T</title>Hello <b>world</b><br>more", "Hello world\nmore"),
+    "head ended by an inline tag": ("<head>\n<meta charset=x><style>s</style> <a href=x>go</a> on</head>!", "go on!"),
+    "head ended by a void tag": ("<head><title>T</title><img alt='a cat'><input type=submit value=ok></head>x", "a catokx"),
+    "head ended by a character": ("<head><!-- c --> &nbsp;a", "\xa0a"),
+    "head stays open": (
+        "<head><noscript><div><img alt=n>no</div></noscript> <template><p>t</p>u</template>\n"
+        "<script>s</script><link rel=x><base href=y></p><noframes>f</noframes><title>T</title></head><p>B",
+        "B",
+    ),
     "implied head": ("<title>T</title><p>B", "B"),
     "lists": (
         "<ul><li>a<li>b<ol start=3><li>c<li>d</ol><li>e</ul>",
