@@ -123,7 +123,7 @@ _NUMBER = "(?:" + "|".join(_DIGIT_WORDS) + ")"
 _REWRITE = re.compile(
     rf"""
       (?P<hidden>[{_HIDDEN}]+)
-    | (?P<at>\s{{0,3}}[\[({{<]\s{{0,3}}at\s{{0,3}}[\])}}>]\s{{0,3}}
+    | (?P<at>\s{{0,3}}[\[({{<]\s{{0,3}}(?:at|@)\s{{0,3}}[\])}}>]\s{{0,3}}
         | (?<=[a-z0-9])\s{{1,3}}at\s{{1,3}}(?=[a-z0-9-]{{1,63}}
             (?:\s{{1,3}}dot\s{{1,3}}|\s{{0,3}}[\[({{<]\s{{0,3}}dot\s{{0,3}}[\])}}>])))
     | (?P<weak>(?<=[a-z0-9])\s{{1,3}}at\s{{1,3}}(?=[a-z0-9-]{{1,63}}\.[a-z]{{2}}))
@@ -137,10 +137,17 @@ _REWRITE = re.compile(
 )
 _RUN_PART = re.compile(rf"plus|\+|dot|point|dash|{_NUMBER}|[0-9]+", re.I | re.A)
 _RUN_SIGNS = {"plus": "+", "+": "+", "dot": ".", "point": ".", "dash": "-"}
-_BRACKETED = re.compile(r"[\[({<]\s{0,3}(?:at\b|\.)", re.I)
-# After a bare "at" before a plain domain, only a name like an account's counts.
+_BRACKETED = re.compile(r"[\[({<]\s{0,3}(?:at\b|@|\.)", re.I)
+# After a bare "at" before a plain domain, only a name like an account's counts, or
+# one of letters behind a word for writing to somebody.
 _BARE_AT = re.compile(r"at\s{1,3}[a-z0-9-]{1,63}\.[a-z]{2}")
 _ACCOUNT = re.compile(r"[0-9._%+-]")
+_WRITE_TO = re.compile(
+    r"\b(?:(?:e-?mail|mail|mailbox|address)(?:\s{1,3}address)?(?:\s{0,3}[:=]|\s{1,3}is\b)"
+    r"|mailto:|contact:?|(?:write|mail|e-?mail)\s{1,3}to)\s{0,3}\Z",
+    re.I | re.A,
+)
+_SOMEBODY = frozenset("me us him her it them you is to are was be or and not only here there".split())
 
 
 def _may_be_rewritten(text: str) -> bool:
@@ -222,6 +229,14 @@ class Normalised:
         return start, stop, swapped or any(self.changed[i : j + 1])
 
 
+def _is_account(text: str, a: int, at: int) -> bool:
+    """Whether ``text[a:at]``, before a bare "at", is meant as an address."""
+    name = text[a:at]
+    if _ACCOUNT.search(name):
+        return True
+    return name.lower() not in _SOMEBODY and bool(_WRITE_TO.search(text[max(0, a - 40) : a]))
+
+
 def make_finder() -> Callable[[str], list[Span]]:
     swaps = _same_length_forms()
 
@@ -232,7 +247,7 @@ def make_finder() -> Callable[[str], list[Span]]:
         if not copy.same:
             for kind, a, b in plain_spans(copy.text):
                 at = copy.text.find("@", a, b)
-                if kind == "email" and at in copy.weak and not _ACCOUNT.search(copy.text[a:at]):
+                if kind == "email" and at in copy.weak and not _is_account(copy.text, a, at):
                     continue
                 start, stop, disguised = copy.back(a, b)
                 if disguised and (kind, start, stop) not in plain:

@@ -60,6 +60,12 @@ def test_plain_numbers():
 DISGUISED = [
     ("mail john.x [at] example [dot] com now", "email", "john.x [at] example [dot] com"),
     ("mail john (AT) example (DOT) co (dot) uk.", "email", "john (AT) example (DOT) co (dot) uk"),
+    ("write john[@]example[.]com now", "email", "john[@]example[.]com"),
+    ("john (@) example.com", "email", "john (@) example.com"),
+    ("john{ @ }example.com", "email", "john{ @ }example.com"),
+    ("e-mail: alice at gmail.com", "email", "alice at gmail.com"),
+    ("please contact alice at gmail.com today", "email", "alice at gmail.com"),
+    ("my email address is alice at gmail.com", "email", "alice at gmail.com"),
     ("john at example dot com", "email", "john at example dot com"),
     ("ask john.x at example.com today", "email", "john.x at example.com"),
     ("jоhn@exаmple.com", "email", "jоhn@exаmple.com"),
@@ -84,6 +90,7 @@ def test_disguises(text, kind, piece):
     "text",
     [
         "we met at noon in a polka dot dress", "one two three go", "at example dot", "Он пришёл в 10.30",
+        "write to me at example.com", "email us at example.com", "mails arrive at example.com", "a (@) b", "[@]",
         "look at example.com", "we met at noon.Then", "look (at) this", "version 1.2.3", "a [dot] in brackets", "zero one", "", " ", "x" * 100_000,
     ],
 )
