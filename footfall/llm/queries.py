@@ -15,6 +15,7 @@ from footfall.llm import (
     packing,
     pii,
     quality,
+    resampling,
     secret_scan,
     spans,
     topk,
@@ -125,6 +126,20 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(vectors, F.col("vec_id") % 50 == 0, 5)
 
 
+def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = resampling.importance_ranks(
+        _table(spark, sf_dir, "documents"),
+        _table(spark, sf_dir, "benchmark"),
+        Scratch(spark, "op11"),
+        orders=(1, 1),
+        buckets=10000,
+        percent=10,
+        least_words=20,
+        seed=2024,
+    )
+    return ranks.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 QUERIES: dict[str, Query] = {
     "op1_decontamination": op1_decontamination,
     "op2_html_extraction": op2_html_extraction,
@@ -136,6 +151,7 @@ QUERIES: dict[str, Query] = {
     "op8_quality": op8_quality,
     "op9_language_id": op9_language_id,
     "op10_topk": op10_topk,
+    "op11_resampling": op11_resampling,
 }
 
 _WORDS = (
@@ -143,6 +159,20 @@ _WORDS = (
     " 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 )
 
+# crc32 of a string ``s``, bit by bit for the 256 bytes and then by byte: a CTE "crc_bytes"
+# and an expression over it.
+_CRC_BYTES = """crc_bytes AS MATERIALIZED (
+          SELECT list(list_reduce(range(8), lambda c, k:
+            CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i) ORDER BY i) AS crcs
+          FROM range(256) AS bytes(i))"""
+
+
+def _crc32(s: str) -> str:
+    every = f"list_transform(range(strlen({s})), lambda i: ('0x' || hex({s})[2 * i + 1:2 * i + 2])::BIGINT)"
+    step = "lambda c, b: xor(c >> 8, crcs[(xor(c, b) & 255) + 1])"
+    return f"xor(list_reduce({every}, {step}, 4294967295), 4294967295)"
+
+
 ORACLE_SQL: dict[str, str] = {
     "op1_decontamination": f"""
         WITH texts AS MATERIALIZED (
@@ -180,4 +210,35 @@ ORACLE_SQL: dict[str, str] = {
         SELECT query_id, CAST(row_number() OVER w AS INTEGER) AS rank, vec_id, score FROM pairs
         WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
         QUALIFY row_number() OVER w <= 5""",
+    "op11_resampling": f"""
+        WITH {_CRC_BYTES},
+        texts AS MATERIALIZED (
+          SELECT row_number() OVER () AS row, doc_id, {_WORDS} AS w FROM documents),
+        items AS (SELECT {_WORDS} AS w FROM benchmark),
+        feature AS (SELECT row, unnest(w) AS word FROM texts),
+        wanted AS (SELECT unnest(w) AS word FROM items),
+        vocabulary AS (SELECT word FROM feature UNION SELECT word FROM wanted),
+        buckets AS MATERIALIZED (
+          SELECT word, {_crc32("word")} % 10000 AS bucket FROM vocabulary, crc_bytes),
+        have AS (SELECT bucket, count(*) AS s FROM feature JOIN buckets USING (word) GROUP BY bucket),
+        want AS (SELECT bucket, count(*) AS t FROM wanted JOIN buckets USING (word) GROUP BY bucket),
+        sums AS (SELECT (SELECT count(*) FROM feature) AS all_s, (SELECT count(*) FROM wanted) AS all_t),
+        gains AS (
+          SELECT bucket, floor(1000 * ln(
+            (coalesce(t, 0) + 1)::DOUBLE * (all_s + 10000)::DOUBLE
+            / ((s + 1)::DOUBLE * (all_t + 10000)::DOUBLE)))::BIGINT AS gain
+          FROM have LEFT JOIN want USING (bucket), sums),
+        weights AS (
+          SELECT row, floor(sum(gain)::DOUBLE / count(*))::BIGINT AS weight
+          FROM feature JOIN buckets USING (word) JOIN gains USING (bucket) GROUP BY row),
+        scored AS (
+          SELECT row, doc_id, len(w)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+            coalesce(weight, 0)::BIGINT + floor(-1000 * ln(-ln(
+              (('0x' || sha256('2024:' || doc_id)[1:8])::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score
+          FROM texts LEFT JOIN weights USING (row)),
+        drawn AS (
+          SELECT row, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, count(*) OVER () AS n
+          FROM scored WHERE n_features >= 20)
+        SELECT doc_id, n_features, weight, score, CASE WHEN rank <= 10 * n // 100 THEN rank END AS rank
+        FROM scored LEFT JOIN drawn USING (row)""",
 }

@@ -5,7 +5,7 @@ import pytest
 
 from footfall.llm.queries import ORACLE_SQL, QUERIES
 
-TABLES = ("documents", "benchmark", "embeddings")
+TABLES = ("documents", "benchmark", "embeddings", "conversations")
 
 
 @pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
@@ -26,4 +26,4 @@ def test_query_matches_sql(spark, name, sf):
 
 def test_registered():
     numbers = sorted(int(name[2:].split("_")[0]) for name in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))

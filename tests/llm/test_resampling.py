@@ -1,0 +1,121 @@
+"""Importance resampling against plain Python."""
+
+import hashlib
+import math
+import random
+import re
+from collections import Counter
+from zlib import crc32
+
+import pyarrow as pa
+import pytest
+
+from footfall.llm import resampling
+from footfall.plans.scratch import Scratch
+
+DDL = "doc_id long, text string, score string, rank string, WEIGHT string"
+
+
+def words(text):
+    lowered = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lowered)
+
+
+def grams(text, orders):
+    own = words(text)
+    return [
+        " ".join(own[i : i + n])
+        for n in range(orders[0], orders[1] + 1)
+        for i in range(len(own) - n + 1)
+    ]
+
+
+def brute(docs, items, orders, buckets, percent, least):
+    def bucket(g):
+        return crc32(g.encode()) % buckets
+
+    have = Counter(bucket(g) for _, t, *_ in docs for g in grams(t, orders))
+    want = Counter(bucket(g) for t in items for g in grams(t, orders))
+    s_all, t_all = sum(have.values()), sum(want.values())
+    out = []
+    for i, t, *_ in docs:
+        own = [
+            math.floor(1000 * math.log(
+                (want[b] + 1.0) * (s_all + buckets) / ((have[b] + 1.0) * (t_all + buckets))
+            ))
+            for b in map(bucket, grams(t, orders))
+        ]
+        weight = sum(own) // len(own) if own else 0
+        h = int(hashlib.sha256(f"2024:{'' if i is None else i}".encode()).hexdigest()[:8], 16)
+        score = weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 2**32)))
+        out.append([i, len(own), weight, score, len(words(t)) >= least])
+    order = sorted(
+        (r for r in out if r[4]), key=lambda r: (-r[3], r[0] is None, r[0] or 0, r[1])
+    )
+    drawn = order[: percent * len(order) // 100]
+    ranks = {id(r): n + 1 for n, r in enumerate(drawn)}
+    return sorted((tuple([*r[:4], ranks.get(id(r))]) for r in out), key=str)
+
+
+def found(spark, docs, items, **options):
+    frame = resampling.importance_ranks(
+        spark.createDataFrame(docs, DDL).repartition(3),
+        spark.createDataFrame([(t,) for t in items], "text string"),
+        Scratch(spark, "test"),
+        **options,
+    )
+    picked = frame.select("doc_id", "n_features", "weight", "score", "rank")
+    return sorted(map(tuple, picked.collect()), key=str), frame
+
+
+def made(seed, n):
+    rng = random.Random(seed)
+    some = ["Ab", "ab", "é", "x1", "naïve", "日本", "q", "zz"]
+    gaps = [" ", "\n", "-", "_", ", ", "\n\n", "İ"]
+    rows = []
+    for i in range(n):
+        text = "".join(rng.choice(some) + rng.choice(gaps) for _ in range(rng.randrange(40)))
+        rows.append((i, text, "s", "r", "w"))
+    return rows
+
+
+@pytest.mark.parametrize("orders", [(1, 1), (1, 3), (2, 2)])
+def test_against_plain_python(spark, monkeypatch, orders):
+    monkeypatch.setattr(resampling, "_WORDS", 7)
+    docs = made(1, 150)
+    # Nulls, empty texts, repeated rows, an id with two texts, ids missing.
+    docs += [(500, None, *"srw"), (501, "", *"srw"), (502, " . ", None, None, None), docs[3], docs[3]]
+    docs += [(7, docs[9][1], *"srw"), (None, docs[9][1], *"srw"), (None, None, *"srw")]
+    items = ["ab é x1 ab", None, "", "日本 zz"]
+    ours, _ = found(spark, docs, items, orders=orders, buckets=97, percent=35, least_words=5)
+    assert ours == brute(docs, items, orders, 97, 35, 5)
+
+
+def test_many_ranges_of_ranks(spark):
+    docs = made(2, 400) + [(9, "ab ab", *"srw")] * 60
+    ours, frame = found(spark, docs, ["q zz"], orders=(1, 1), buckets=11, percent=100, least_words=0)
+    assert ours == brute(docs, ["q zz"], (1, 1), 11, 100, 0)
+    assert sorted(r[4] for r in ours) == list(range(1, 461))
+    rows = spark.createDataFrame(docs, DDL)
+    assert resampling.drawn(rows, frame).count() == 460
+    assert resampling.drawn(rows, frame).columns == rows.columns
+
+
+def test_no_rows(spark):
+    assert found(spark, [], ["a"])[0] == []
+    docs = [(1, "a b c", *"srw"), (2, None, *"srw")]
+    ours, frame = found(spark, docs, [], least_words=1, percent=10)
+    assert [r[4] for r in ours] == [None, None]  # a tenth of one document is none
+    assert resampling.drawn(spark.createDataFrame(docs, DDL), frame).count() == 0
+
+
+def test_words_do_not_cross_texts():
+    texts = pa.array(["a b", None, "", "c", "d e f"])
+    pairs = [(r, b) for rows, found, _ in resampling.features(texts, (2, 2), 1 << 32) for r, b in zip(rows, found)]
+    assert pairs == [(0, crc32(b"a b")), (4, crc32(b"d e")), (4, crc32(b"e f"))]
+
+
+def test_a_very_long_text():
+    text = "word " * 300_000
+    total = sum(len(found) for _, found, _ in resampling.features(pa.array([text]), (1, 2), 10))
+    assert total == 599_999
