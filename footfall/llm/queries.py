@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from footfall.llm import (
+    conversations,
     decontaminate,
     html_text,
     jaccard,
@@ -18,6 +19,7 @@ from footfall.llm import (
     resampling,
     secret_scan,
     spans,
+    substrings,
     topk,
 )
 from footfall.plans.scratch import Scratch
@@ -140,6 +142,43 @@ def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranks.select("doc_id", "n_features", "weight", "score", "rank")
 
 
+def _damaged(rows: DataFrame) -> DataFrame:
+    """Conversations with rows dropped, emptied, cut, repeated or given another role."""
+    conv_id, turn = (F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn"))
+    role, text = (F.coalesce(c, F.lit(" ")) for c in ("role", "text"))
+    damage = F.crc32(F.concat(conv_id, F.lit(":"), turn)) % 20
+    copies = F.when(damage == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    new_text = F.when(damage == 1, "").when(damage == 2, F.regexp_replace(text, "[.!?]", ""))
+    return rows.where(damage != 0).select(
+        "conv_id",
+        "turn",
+        F.when(damage == 4, "user").otherwise(role).alias("role"),
+        new_text.otherwise(text).alias("text"),
+        F.explode(copies).alias("copy"),
+    )
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "conversations")
+    found = conversations.repairs(_damaged(rows)).withColumnRenamed("conv_id", "_conv")
+    every = rows.select("conv_id").distinct()
+    joined = every.join(found, F.col("conv_id").eqNullSafe(F.col("_conv")), "left")
+    numbers = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return joined.select(
+        "conv_id",
+        *[F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in numbers],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
+
+
+def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substrings.without_repeats(docs, Scratch(spark, "op13"), span=50).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256")
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_decontamination": op1_decontamination,
     "op2_html_extraction": op2_html_extraction,
@@ -152,6 +191,8 @@ QUERIES: dict[str, Query] = {
     "op9_language_id": op9_language_id,
     "op10_topk": op10_topk,
     "op11_resampling": op11_resampling,
+    "op12_conversation_repair": op12_conversation_repair,
+    "op13_substring_dedup": op13_substring_dedup,
 }
 
 _WORDS = (
@@ -173,6 +214,37 @@ def _crc32(s: str) -> str:
     return f"xor(list_reduce({every}, {step}, 4294967295), 4294967295)"
 
 
+
+def _edit(state: str, cost: int | str, letter: str, line: str = "''") -> str:
+    """A state after one more edit, as (cost, audit, repaired lines)."""
+    return f"{{'c': {state}.c + {cost}, 'a': {state}.a || '{letter}', 't': {state}.t || {line}}}"
+
+
+def _inserted(state: str, role: str) -> str:
+    return _edit(state, 2, "I", f"chr(10) || '{role}:'")
+
+
+def _row_kept(state: str, role: str) -> str:
+    """A row stays, or becomes one of ``role``; never where the row has to go."""
+    keep = _edit(state, "extra", "K", "chr(10) || role || ':' || text")
+    change = _edit(state, "2 + extra", "R", f"chr(10) || '{role}:' || text")
+    return f"CASE WHEN initial = '{role[0]}' THEN least({keep}, {change}) ELSE {change} END"
+
+
+# The cheapest states before a row, insertions included, and the row's own choices.
+_BEFORE_ROW = f"""
+          SELECT conv_id, p, s0, s1, least(x2, {_inserted("s3", "user")}) AS s2,
+            least(s3, {_inserted("x2", "assistant")}) AS s3
+          FROM (SELECT *, least(s2, {_inserted("s0", "user")}, {_inserted("s1", "user")}) AS x2
+                FROM walk)"""
+_ROW_CHOICES = f"""
+          {_edit("s0", 3, "D")} AS s0,
+          least({_edit("s1", 3, "D")}, CASE WHEN initial = 's'
+            THEN {_edit("s0", "extra", "K", "chr(10) || role || ':' || text")} ELSE never END) AS s1,
+          least({_edit("s2", 3, "D")}, {_row_kept("s0", "user")}, {_row_kept("s1", "user")},
+            {_row_kept("s3", "user")}) AS s2,
+          least({_edit("s3", 3, "D")}, {_row_kept("s2", "assistant")}) AS s3"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_decontamination": f"""
         WITH texts AS MATERIALIZED (
@@ -241,4 +313,76 @@ ORACLE_SQL: dict[str, str] = {
           FROM scored WHERE n_features >= 20)
         SELECT doc_id, n_features, weight, score, CASE WHEN rank <= 10 * n // 100 THEN rank END AS rank
         FROM scored LEFT JOIN drawn USING (row)""",
+    "op13_substring_dedup": r"""
+        WITH texts AS MATERIALIZED (
+          SELECT row_number() OVER () AS row, doc_id,
+            regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        windows AS MATERIALIZED (
+          SELECT row, doc_id, p, md5(array_to_string(w[p:p + 49], ' ')) AS win
+          FROM (SELECT row, doc_id, w, unnest(range(1, len(w) - 48)) AS p FROM texts)),
+        firsts AS (SELECT win, min(doc_id) AS low FROM windows GROUP BY win),
+        gone AS MATERIALIZED (
+          SELECT DISTINCT row, unnest(range(p, p + 50)) AS q
+          FROM windows JOIN firsts USING (win) WHERE doc_id > low),
+        each AS (SELECT row, unnest(w) AS word, generate_subscripts(w, 1) AS q FROM texts),
+        kept AS (
+          SELECT row, string_agg(word, ' ' ORDER BY q) AS words
+          FROM each ANTI JOIN gone USING (row, q) GROUP BY row),
+        counts AS (SELECT row, count(*) AS n FROM gone GROUP BY row)
+        SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed,
+          sha256(coalesce(words, '')) AS kept_sha256
+        FROM texts LEFT JOIN kept USING (row) LEFT JOIN counts USING (row)""",
+    "op12_conversation_repair": rf"""
+        WITH RECURSIVE {_CRC_BYTES},
+        known AS (
+          SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+            coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS key
+          FROM conversations),
+        dealt AS (SELECT known.*, {_crc32("key")} % 20 AS d FROM known, crc_bytes),
+        damaged AS (
+          SELECT conv_id, turn, CASE d WHEN 4 THEN 'user' ELSE role END AS role,
+            CASE d WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+            unnest(CASE d WHEN 3 THEN [1, 2] ELSE [1] END) AS copy
+          FROM dealt WHERE d <> 0),
+        placed AS MATERIALIZED (
+          SELECT conv_id, turn, role, text, role[1:1] AS initial,
+            row_number() OVER (PARTITION BY conv_id
+              ORDER BY turn NULLS FIRST, md5(length(role) || ':' || role || text)) AS p,
+            regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) AS last
+          FROM damaged),
+        judged AS MATERIALIZED (
+          SELECT *, lag(initial) OVER (PARTITION BY conv_id ORDER BY p) || initial AS pair,
+            CASE WHEN last = '' THEN 'blank' WHEN nth > 1 THEN 'duplicate'
+                 WHEN last NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+            CASE WHEN last = '' OR nth > 1 THEN 1000000000
+                 WHEN last NOT IN ('.', '!', '?') THEN 1 ELSE 0 END::BIGINT AS extra,
+            {{'c': 1000000000::BIGINT, 'a': '', 't': ''}} AS never
+          FROM (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY p) AS nth
+                FROM placed)),
+        counted AS (
+          SELECT conv_id, count(*) AS n,
+            coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+            count(*) FILTER (WHERE fault = 'blank') AS blank,
+            count(*) FILTER (WHERE fault = 'duplicate') AS duplicate,
+            count(*) FILTER (WHERE fault = 'truncated') AS truncated,
+            count(*) FILTER (WHERE pair NOT IN ('su', 'ua', 'au')) AS illegal
+          FROM judged GROUP BY conv_id),
+        walk AS (
+          SELECT conv_id, 0::BIGINT AS p, {{'c': 0::BIGINT, 'a': '', 't': ''}} AS s0,
+            {{'c': 1000000000::BIGINT, 'a': '', 't': ''}} AS s1,
+            {{'c': 1000000000::BIGINT, 'a': '', 't': ''}} AS s2,
+            {{'c': 1000000000::BIGINT, 'a': '', 't': ''}} AS s3
+          FROM counted
+          UNION ALL
+          SELECT b.conv_id, j.p, {_ROW_CHOICES}
+          FROM ({_BEFORE_ROW}) b JOIN judged j
+            ON j.conv_id IS NOT DISTINCT FROM b.conv_id AND j.p = b.p + 1),
+        ends AS (SELECT conv_id, p, least(s0, s3) AS best FROM ({_BEFORE_ROW}))
+        SELECT every.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank,
+          coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+          coalesce(illegal, 0)::BIGINT AS illegal, coalesce(best.c, 0)::BIGINT AS cost,
+          coalesce(best.a, '') AS audit, sha256(coalesce(best.t[2:], '')) AS repaired_sha256
+        FROM (SELECT DISTINCT conv_id FROM conversations) every
+        LEFT JOIN counted ON every.conv_id IS NOT DISTINCT FROM counted.conv_id
+        LEFT JOIN ends ON every.conv_id IS NOT DISTINCT FROM ends.conv_id AND ends.p = n""",
 }

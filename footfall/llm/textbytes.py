@@ -26,15 +26,16 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _byte_values() -> np.ndarray:
+def _byte_values(fold: bool) -> np.ndarray:
     values = mix(np.arange(1, 257, dtype=np.uint64) * _MULTIPLIER)
-    values[ord("A") : ord("Z") + 1] = values[ord("a") : ord("z") + 1]
+    if fold:
+        values[ord("A") : ord("Z") + 1] = values[ord("a") : ord("z") + 1]
     values[list(SPACES)] = 0
     return values
 
 
-_VALUES = _byte_values()
-_IN_WORD = _VALUES != 0
+_VALUES = {fold: _byte_values(fold) for fold in (True, False)}
+_IN_WORD = _VALUES[True] != 0
 
 
 _POWERS = [np.ones(1, np.uint64)]
@@ -62,7 +63,9 @@ def string_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return (np.frombuffer(data, np.uint8) if data else np.zeros(0, np.uint8)), offsets
 
 
-def _hash_piece(data: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _hash_piece(
+    data: np.ndarray, begins: np.ndarray, byte_values: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words in ``data``, where no word goes over a position in ``begins``."""
     inside = _IN_WORD[data]
     first = inside.copy()
@@ -74,7 +77,7 @@ def _hash_piece(data: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.nd
         return np.zeros(0, np.uint64), starts
     spans = np.diff(starts, append=len(data))
     within = np.arange(starts[0], len(data)) - np.repeat(starts, spans)
-    values = _VALUES[data[starts[0] :]] * powers(int(spans.max()))[within]
+    values = byte_values[data[starts[0] :]] * powers(int(spans.max()))[within]
     return mix(np.add.reduceat(values, starts - starts[0])), starts
 
 
@@ -95,16 +98,16 @@ def _pieces(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int]]:
         at = stop
 
 
-def word_hashes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(column: pa.Array, fold: bool = True) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of every row's words, and where each row's begin among them.
 
-    Words are what stands between the bytes in SPACES; A-Z count as a-z.
+    Words are what stands between the bytes in SPACES; A-Z count as a-z if ``fold``.
     """
     data, offsets = string_bytes(column)
     hashes, places = [], []
     for at, stop in _pieces(data, offsets):
         rows = offsets[np.searchsorted(offsets, at) : np.searchsorted(offsets, stop)]
-        found, starts = _hash_piece(data[at:stop], rows - at)
+        found, starts = _hash_piece(data[at:stop], rows - at, _VALUES[fold])
         hashes.append(found)
         places.append(starts + at)
     if not hashes:
