@@ -45,6 +45,15 @@ def _names(value: object) -> tuple[str, ...]:
     return tuple(item.strip() for item in items if item.strip())
 
 
+def _pages(key: str, value: object) -> tuple[int, ...]:
+    """A list of page numbers, or comma-separated text."""
+    if _blank(value):
+        return ()
+    items = value.split(",") if isinstance(value, str) else value
+    pages = (_whole(key, item) for item in items)
+    return tuple(page for page in pages if page is not None)
+
+
 def _unquoted(item: str) -> str:
     """An item without the quotes it stands in; a quote inside is written twice."""
     if len(item) > 1 and item[0] in "'\"" and item[-1] == item[0]:
@@ -64,7 +73,8 @@ def _all_of(predicates: Iterable[Column]) -> Column:
 class Conditions:
     """Date bounds on actions; age bounds and professions on their users.
 
-    Bounds are inclusive. Whatever is ``None`` or empty does not filter.
+    Bounds are inclusive. Whatever is ``None`` or empty does not filter. ``page_flow``
+    filters nothing: it names the pages whose conversion a run reports, if any.
     ``raw_json`` keeps the caller's text, unread keys included, so that the
     statistics row can carry it unchanged.
     """
@@ -75,6 +85,7 @@ class Conditions:
     end_age: int | None = None
     professionals: tuple[str, ...] = ()
     raw_json: str | None = None
+    page_flow: tuple[int, ...] = ()
 
     @classmethod
     def from_dict(cls, values: Mapping[str, object], raw_json: str | None = None) -> Conditions:
@@ -85,6 +96,7 @@ class Conditions:
             end_age=_whole("endAge", values.get("endAge")),
             professionals=_names(values.get("professionals")),
             raw_json=raw_json,
+            page_flow=_pages("targetPageFlow", values.get("targetPageFlow")),
         )
 
     @classmethod
@@ -100,6 +112,7 @@ class Conditions:
             "startAge": self.start_age,
             "endAge": self.end_age,
             "professionals": list(self.professionals) or None,
+            "targetPageFlow": list(self.page_flow) or None,
         }
         return json.dumps(
             {key: value for key, value in values.items() if value is not None},

@@ -36,11 +36,20 @@ def category_counts_of_users(actions: DataFrame, user_ids: DataFrame) -> DataFra
     Counted per user, category and kind first, so that the join moves counts and
     neither actions nor id lists. A user listed twice counts twice.
     """
-    per_user = (
-        category_events(actions, "user_id")
-        .groupBy("user_id", "category_id", "kind")
-        .agg(F.count(F.lit(1)).alias("actions"))
+    return merged_category_counts(
+        category_user_counts(category_events(actions, "user_id")), user_ids
+    )
+
+
+def category_user_counts(events: DataFrame, *by: str) -> DataFrame:
+    """``actions`` of each user, category and kind; ``by`` names further columns to keep apart."""
+    return events.groupBy(*by, "user_id", "category_id", "kind").agg(
+        F.count(F.lit(1)).alias("actions")
     )
+
+
+def merged_category_counts(per_user: DataFrame, user_ids: DataFrame) -> DataFrame:
+    """The wide form from users' counts, of the given users only."""
     return (
         per_user.join(user_ids, "user_id")
         .groupBy("category_id")

@@ -72,8 +72,12 @@ def session_rollup(actions: DataFrame, user_ids: DataFrame | None = None) -> Dat
     """
     if user_ids is None:
         return _with_times(session_bounds(actions))
-    per_user = session_bounds(actions, "user_id").join(user_ids, "user_id")
-    return _with_times(merge_bounds(per_user))
+    return merged_rollup(session_bounds(actions, "user_id"), user_ids)
+
+
+def merged_rollup(parts: DataFrame, user_ids: DataFrame) -> DataFrame:
+    """The roll-up from bounds of users' parts of sessions, of the given users only."""
+    return _with_times(merge_bounds(parts.join(user_ids, "user_id")))
 
 
 def _with_times(bounds: DataFrame, *others: Column) -> DataFrame:

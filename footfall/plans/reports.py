@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, functions as F
 
 from footfall.conditions import Conditions
@@ -16,6 +18,7 @@ from footfall.operators.categories import (
     top_categories,
     top_sessions,
 )
+from footfall.operators.pages import page_conversions
 from footfall.operators.sampling import ROUNDED, SAMPLE_SIZE, SEED, stratified_sessions
 from footfall.operators.sessions import session_buckets, session_ratios
 from footfall.sources.sinks import stamp_run
@@ -93,3 +96,8 @@ def category_session_top(
         ),
         run_id,
     )
+
+
+def page_conversion(actions: DataFrame, flow: Sequence[int], run_id: str) -> DataFrame:
+    """How many of each page's views in ``flow`` lead straight to the next page."""
+    return stamp_run(page_conversions(actions, flow), run_id)

@@ -1,19 +1,22 @@
-"""One run: filter once, compute the four reports, deliver each as it is done."""
+"""One run: filter once, compute the reports, deliver each as it is done."""
 
 from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from footfall.conditions import Conditions
 from footfall.operators.actions import actions_of_users, matching_users
 from footfall.operators.categories import TOP_N
+from footfall.operators.membership import MOST_BYTES, filter_length, id_filter, may_be_in
 from footfall.operators.sampling import ROUNDED, SAMPLE_SIZE, SEED
 from footfall.operators.sessions import session_rollup
+from footfall.plans.manifest import Manifest, Unrecorded, written
 from footfall.plans.reports import (
     category_session_top,
     category_top,
+    page_conversion,
     session_extract,
     session_stats,
 )
@@ -21,6 +24,21 @@ from footfall.plans.scratch import Scratch
 from footfall.sources.sinks import Sink
 
 
+def maybe_of_users(
+    actions: DataFrame, user_ids: DataFrame, tables: Scratch, most_bytes: int = MOST_BYTES
+) -> DataFrame:
+    """Actions without most of those that none of ``user_ids``, a written table, did.
+
+    It saves counting and shuffling them; the user join still decides. With more ids
+    than a filter of ``most_bytes`` can tell apart, all actions go on.
+    """
+    length = filter_length(user_ids.count(), most_bytes=most_bytes)
+    if length is None:
+        return actions
+    words = written(tables, lambda: id_filter(user_ids, "user_id", length), "user_filter")
+    return actions.where(may_be_in(words.scalar(), F.col("user_id")))
+
+
 def run_all(
     actions: DataFrame,
     users: DataFrame,
@@ -32,44 +50,103 @@ def run_all(
     sessions_per_category: int = TOP_N,
     seed: int = SEED,
     allocation: str = ROUNDED,
+    resumable: bool = False,
 ) -> str:
     """Compute and deliver all reports in order; returns the run's id.
 
-    What several reports need is written once: the ids of the matching users,
-    the session roll-up (statistics and sample) and the top categories (their
+    What several reports need is written once: the ids of the matching users, a filter
+    over them, the session roll-up (statistics and sample) and the top categories (their
     report and the sessions within them). The filtered actions themselves are
     as large as the input, so each report scans just the columns it reads. All
-    but the sample's lists count per user before the user join; how that join
+    but the sample's lists count per user before the user join, and before that the
+    filter drops nearly all actions of other users at the scan; how the join
     runs is left to the planner, which knows the written ids' size.
+
+    A ``resumable`` run needs a ``run_id``. If it fails, a second call with that id and
+    the same settings and inputs delivers only what the first did not, and computes
+    nothing again that the first had written. After the last delivery such calls do
+    nothing. A sink that fails halfway is called again with the same rows: sinks that
+    know a run's rows (``append_table``, ``folder_sink``) then deliver each once.
     """
+    if resumable and not run_id:
+        raise ValueError("a resumable run needs a run id")
     run_id = run_id or str(uuid.uuid4())
-    scratch = Scratch(actions.sparkSession, run_id)
+    spark = actions.sparkSession
+    if resumable:
+        options = (sample_size, top_n, sessions_per_category, seed, allocation)
+        run = Manifest(spark, run_id, {"conditions": conditions, "options": options})
+    else:
+        run = Unrecorded(spark, run_id)
+    reports = Reports(actions, users, conditions, run.tables, run_id)
+    steps = {
+        "session_stat_info": reports.stats,
+        "random_session_info": lambda: reports.extract(sample_size, seed, allocation),
+        "category_top10": lambda: reports.top(top_n),
+        "category_top10_session_count": lambda: reports.top_sessions(top_n, sessions_per_category),
+    }
+    if conditions.page_flow:
+        steps["page_convert_rate"] = reports.pages
     try:
-        user_ids = scratch.keep(matching_users(users, conditions), "users")
-        in_range = actions.where(conditions.on_actions())
-
-        sessions = scratch.keep(session_rollup(in_range, user_ids), "sessions")
-        sink(session_stats(sessions, conditions, run_id), "session_stat_info")
-        sink(
-            session_extract(
-                actions_of_users(actions, user_ids, conditions),
-                run_id,
-                sessions,
-                sample_size,
-                seed,
-                allocation,
-            ),
-            "random_session_info",
+        for table, build in steps.items():
+            run.deliver(build, sink, table)
+    except BaseException:
+        if not resumable:
+            run.finish()
+        raise
+    run.finish()
+    return run_id
+
+
+class Reports:
+    """A run's reports, and what they share: written when the first one asks for it."""
+
+    def __init__(
+        self,
+        actions: DataFrame,
+        users: DataFrame,
+        conditions: Conditions,
+        tables: Scratch,
+        run_id: str,
+    ) -> None:
+        self._actions, self._users, self._conditions = actions, users, conditions
+        self._tables, self._run_id = tables, run_id
+
+    def _user_ids(self) -> DataFrame:
+        ids = lambda: matching_users(self._users, self._conditions)
+        return written(self._tables, ids, "users")
+
+    def _counted(self) -> DataFrame:
+        """Actions in range, nearly all of them of the matching users."""
+        in_range = self._actions.where(self._conditions.on_actions())
+        return maybe_of_users(in_range, self._user_ids(), self._tables)
+
+    def _sessions(self) -> DataFrame:
+        return written(
+            self._tables, lambda: session_rollup(self._counted(), self._user_ids()), "sessions"
         )
 
-        top = scratch.keep(
-            category_top(in_range, run_id, top_n, user_ids), "top_categories"
+    def _top(self, n: int) -> DataFrame:
+        return written(
+            self._tables,
+            lambda: category_top(self._counted(), self._run_id, n, self._user_ids()),
+            "top_categories",
         )
-        sink(top, "category_top10")
-        sink(
-            category_session_top(in_range, top, run_id, sessions_per_category, user_ids),
-            "category_top10_session_count",
+
+    def stats(self) -> DataFrame:
+        return session_stats(self._sessions(), self._conditions, self._run_id)
+
+    def extract(self, size: int, seed: int, allocation: str) -> DataFrame:
+        kept = actions_of_users(self._counted(), self._user_ids(), self._conditions)
+        return session_extract(kept, self._run_id, self._sessions(), size, seed, allocation)
+
+    def top(self, n: int) -> DataFrame:
+        return self._top(n)
+
+    def top_sessions(self, n: int, per_category: int) -> DataFrame:
+        return category_session_top(
+            self._counted(), self._top(n), self._run_id, per_category, self._user_ids()
         )
-    finally:
-        scratch.drop()
-    return run_id
+
+    def pages(self) -> DataFrame:
+        kept = actions_of_users(self._counted(), self._user_ids(), self._conditions)
+        return page_conversion(kept, self._conditions.page_flow, self._run_id)

@@ -26,19 +26,42 @@ class Scratch:
     """Tables written once and read back, so that lost executors cost no rerun.
 
     Being files, they also tell the planner their true size. The folder is new
-    each time, even for a run id used before, and ``drop`` deletes only that.
+    each time, even for a run id used before, unless the caller names one and wants
+    to ``reuse`` what an earlier call finished there. ``drop`` deletes only that folder.
     """
 
-    def __init__(self, spark: SparkSession, run_id: str) -> None:
+    def __init__(
+        self, spark: SparkSession, run_id: str, folder: str | None = None, reuse: bool = False
+    ) -> None:
         self._spark = spark
-        self.folder = f"{shared_folder(spark)}/footfall-{run_id}-{uuid.uuid4().hex}"
+        self._reuse = reuse
+        self._kept: dict[str, DataFrame] = {}
+        self.folder = folder or f"{shared_folder(spark)}/footfall-{run_id}-{uuid.uuid4().hex}"
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.folder}/{name}"
-        df.write.parquet(path)
-        return self._spark.read.schema(df.schema).parquet(path)
+        df.write.mode("overwrite" if self._reuse else "errorifexists").parquet(path)
+        self._kept[name] = self._spark.read.schema(df.schema).parquet(path)
+        return self._kept[name]
+
+    def existing(self, name: str) -> DataFrame | None:
+        """The table if it was kept here, or written to its end by an earlier call to reuse."""
+        path = f"{self.folder}/{name}"
+        if name not in self._kept and self._reuse:
+            if self._files().exists(self._path(f"{path}/_SUCCESS")):
+                self._kept[name] = self._spark.read.parquet(path)
+        return self._kept.get(name)
+
+    def part(self, name: str) -> Scratch:
+        """Tables in a folder of their own within this one, which can be dropped alone."""
+        return Scratch(self._spark, name, f"{self.folder}/{name}-{uuid.uuid4().hex}")
 
     def drop(self) -> None:
-        sc = self._spark.sparkContext
-        path = sc._jvm.org.apache.hadoop.fs.Path(self.folder)
-        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+        self._files().delete(self._path(self.folder), True)
+
+    def _path(self, path: str):
+        return self._spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+
+    def _files(self):
+        conf = self._spark.sparkContext._jsc.hadoopConfiguration()
+        return self._path(self.folder).getFileSystem(conf)

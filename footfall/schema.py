@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import (
+    DataType,
     DoubleType,
     IntegerType,
     LongType,
@@ -86,6 +87,15 @@ CATEGORY_TOP10_SESSION_COUNT = _struct(
     ("sessionId", StringType()),
     ("clickCount", LongType()),
 )
+PAGE_CONVERT_RATE = _struct(
+    ("taskId", StringType()),
+    ("step", IntegerType()),
+    ("from_page", LongType()),
+    ("to_page", LongType()),
+    ("views", LongType()),
+    ("conversions", LongType()),
+    ("conversion_rate", DoubleType()),
+)
 
 
 def conform(df: DataFrame, schema: StructType) -> DataFrame:
@@ -93,11 +103,7 @@ def conform(df: DataFrame, schema: StructType) -> DataFrame:
 
     Extra columns are dropped; a missing one is an error.
     """
-    present = {name.lower() for name in df.columns}
-    missing = [f.name for f in schema if f.name.lower() not in present]
-    if missing:
-        raise ValueError(f"input lacks column(s): {', '.join(missing)}")
-    types = {field.name: field.dataType for field in df.schema}
+    types = columns_of(df, schema)
     return df.select(
         [
             f.name
@@ -106,3 +112,12 @@ def conform(df: DataFrame, schema: StructType) -> DataFrame:
             for f in schema
         ]
     )
+
+
+def columns_of(df: DataFrame, schema: StructType) -> dict[str, DataType]:
+    """The types of the frame's columns by name; an error if it lacks one of the schema."""
+    present = {name.lower() for name in df.columns}
+    missing = [f.name for f in schema if f.name.lower() not in present]
+    if missing:
+        raise ValueError(f"input lacks column(s): {', '.join(missing)}")
+    return {field.name: field.dataType for field in df.schema}

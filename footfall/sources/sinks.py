@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 Sink = Callable[[DataFrame, str], None]
 
 RUN_ID = "taskId"
+_STAMPS = (RUN_ID, "task_id")
 
 
 def stamp_run(df: DataFrame, run_id: str, column: str = RUN_ID) -> DataFrame:
@@ -46,5 +47,18 @@ def jdbc_sink(options: Mapping[str, str], **settings: int) -> Sink:
 
 
 def append_table(df: DataFrame, table: str) -> None:
-    """Append to a catalog table."""
+    """Append to a catalog table; rows of a run that are in it already stay as they are.
+
+    So a run that is delivered again after a failure has every row once. Frames without
+    a run's stamp are appended whole.
+    """
+    stamp = next((c for c in df.columns[:1] if c in _STAMPS), None)
+    if stamp is not None and df.sparkSession.catalog.tableExists(table):
+        there = df.sparkSession.table(table).select(*df.columns)
+        df = df.exceptAll(there.where(F.col(stamp).isin(df.select(stamp))))
     df.write.mode("append").saveAsTable(table)
+
+
+def folder_sink(folder: str) -> Sink:
+    """Each result table as Parquet files in a folder of its own, in place of earlier ones."""
+    return lambda df, table: df.write.mode("overwrite").parquet(f"{folder}/{table}")
