@@ -178,15 +178,21 @@ def repeats(docs: DataFrame, scratch: Scratch, span: int = SPAN, size: int = SIZ
     )
     found = scratch.keep(_occurrences(texts, span, size), "paths")
     low, high = F.min("doc_id").alias("low"), F.max("doc_id").alias("high")
-    # Edges of one document only are most of all; they go first.
-    shared = found.groupBy("edge").agg(low, high).where("low < high").select("edge")
+    # Edges of one document only are most of all; they go first. What rows are joined to
+    # is written before, so that a join of rows with one very common edge can be split.
+    shared = scratch.keep(
+        found.groupBy("edge").agg(low, high).where("low < high").select("edge"), "edges"
+    )
     occurring = scratch.keep(found.join(shared, "edge", "left_semi"), "shared")
-    paths = occurring.groupBy("edge", "path").agg(low, high)
-    branches = paths.groupBy("edge").agg(F.count(F.lit(1)).alias("branches"))
-    known = (
+    paths = scratch.keep(occurring.groupBy("edge", "path").agg(low, high), "distinct")
+    branches = scratch.keep(
+        paths.groupBy("edge").agg(F.count(F.lit(1)).alias("branches")), "branches"
+    )
+    known = scratch.keep(
         paths.join(branches, "edge")
         .where("low < high OR branches > 1")
-        .select("edge", "path", "low", "branches")
+        .select("edge", "path", "low", "branches"),
+        "known",
     )
     placed = scratch.keep(occurring.join(known, ["edge", "path"]), "placed")
     whole = placed.where("doc_id > low").select(
@@ -198,7 +204,9 @@ def repeats(docs: DataFrame, scratch: Scratch, span: int = SPAN, size: int = SIZ
         .agg(F.collect_list(F.struct("edge", "first", "many")).alias("checked"))
     )
     windows = scratch.keep(_windows(texts.join(checked, ["doc_id", "text_hash"]), span), "windows")
-    smallest = windows.groupBy("edge", "win").agg(low, high).where("low < high").drop("high")
+    smallest = scratch.keep(
+        windows.groupBy("edge", "win").agg(low, high).where("low < high").drop("high"), "smallest"
+    )
     single = (
         windows.join(smallest, ["edge", "win"])
         .where("doc_id > low")
