@@ -15,6 +15,8 @@ length class, and one row a pattern and class.
 
 from __future__ import annotations
 
+import json
+import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -41,11 +43,15 @@ class _Ids:
 
     The vocabulary's splitting rule always begins a new piece before a space that
     something else than white space follows. So texts are cut there, and a piece
-    that repeats among a megabyte of text is encoded once.
+    that repeats among a megabyte of text is encoded once. Before that, texts are
+    split at the strings of the vocabulary's added tokens, which have ids of their own.
     """
 
-    def __init__(self, vocabulary: str | None) -> None:
+    def __init__(self, vocabulary: str | None, added: dict[bytes, int] | None = None) -> None:
         self._encoder = load_encoder(vocabulary)
+        self._added = added_tokens(vocabulary) if added is None else added
+        longest_first = sorted(self._added, key=len, reverse=True)
+        self._any_added = re.compile(b"|".join(map(re.escape, longest_first)))
         self._size = np.zeros(self._encoder.n_vocab, np.int64)
         for value in self._encoder.token_byte_values():
             self._size[self._encoder.encode_single_token(value)] = len(value)
@@ -58,14 +64,32 @@ class _Ids:
         data, offsets = string_bytes(column)
         for first, last in _row_ranges(offsets):
             if offsets[last] - offsets[first] <= 2 * _TOGETHER:
-                yield from self._rows(data[offsets[first] : offsets[last]], offsets[first : last + 1])
+                yield from self._split_rows(data[offsets[first] : offsets[last]], offsets[first : last + 1])
             else:  # one long text, some of it at a time
                 yield b"".join(
                     found
                     for at, stop in _slices(data, int(offsets[first]), int(offsets[last]))
-                    for found in self._rows(data[at:stop], np.array([at, stop]))
+                    for found in self._split_rows(data[at:stop], np.array([at, stop]))
                 )
 
+    def _split_rows(self, data: np.ndarray, offsets: np.ndarray) -> Iterator[bytes]:
+        """``_rows`` of what is between added tokens, and the tokens' ids."""
+        raw = data.tobytes()
+        if not any(content in raw for content in self._added):
+            yield from self._rows(data, offsets)
+            return
+        edges, known, lasts = [0], [], []
+        for a, b in zip((offsets - offsets[0]).tolist(), (offsets[1:] - offsets[0]).tolist()):
+            for m in self._any_added.finditer(raw, a, b):
+                edges += m.span()
+                known += [None, np.array([self._added[m.group()]], "<u4").tobytes()]
+            edges.append(b)
+            known.append(None)
+            lasts.append(len(known))
+        found = [own or ids for own, ids in zip(known, self._rows(data, np.array(edges)))]
+        for a, b in zip([0, *lasts], lasts):
+            yield b"".join(found[a:b])
+
     def _rows(self, data: np.ndarray, offsets: np.ndarray) -> Iterator[bytes]:
         offsets = offsets - offsets[0]
         begins = offsets[:-1][np.diff(offsets) > 0]
@@ -107,6 +131,23 @@ class _Ids:
             yield out[a:b].tobytes()
 
 
+def added_tokens(vocabulary: str | None) -> dict[bytes, int]:
+    """The strings with ids of their own that the public 50k vocabulary's tokenizer file lists.
+
+    A rank file that a caller names has none.
+    """
+    if vocabulary is not None:
+        return {}
+    import public_tokenizers
+
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
+        listed = json.load(file)["added_tokens"]
+    # Such as take in white space around them, or hold some, would need other cuts.
+    if any(t["lstrip"] or t["rstrip"] or t["single_word"] or t["content"].split() != [t["content"]] for t in listed):
+        raise ValueError("added tokens with white space or word bounds are not supported")
+    return {t["content"].encode(): t["id"] for t in listed}
+
+
 def _piece_starts(data: np.ndarray) -> np.ndarray:
     """Where a space is that no white space follows, nor the end."""
     spaces = np.flatnonzero(data == 0x20)
@@ -150,8 +191,8 @@ def _slices(data: np.ndarray, at: int, end: int) -> Iterator[tuple[int, int]]:
 def tokenised(docs: DataFrame, vocabulary: str | None = None, length: int = LENGTH) -> DataFrame:
     """For each document its id, number of ids and the checksums of its cuts of ``length``.
 
-    A null text counts as empty. Every document ends with id 0. Strings that look
-    like special tokens are ordinary text.
+    A null text counts as empty. Every document ends with id 0. The strings of added
+    tokens, such as an end of text, get the ids that the tokenizer gives them.
     """
     width = 4 * length
 

@@ -16,15 +16,14 @@ public_tokenizers = pytest.importorskip("public_tokenizers")
 
 ODD = [
     "", "a  b", "a \n b", "x\n \ny ", " lead", " ", "\n", "a b ", "tab\t x", "é à  ", "<|endoftext|> a",
+    "hello <|endoftext|> world", "<|endoftext|><|endoftext|>", "x<|endoftext|>y <|endof", "text|> <|endoftext", "|>",
     "I'm we'll  it's  x 　y", None, "z \x1c \x85 a   ", "日本 語  ", "a\xa0 b \xa0c", "😀 😀😀",
 ]
 
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    found = tokenizers.Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    found.encode_special_tokens = True
-    return found
+    return tokenizers.Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def ids_of(tokenizer, text):
