@@ -17,7 +17,7 @@ from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame
 
-from footfall.llm.spans import Span, in_order, with_spans
+from footfall.llm.spans import Span, in_order, with_masked, with_spans
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -138,6 +138,9 @@ _REWRITE = re.compile(
 _RUN_PART = re.compile(rf"plus|\+|dot|point|dash|{_NUMBER}|[0-9]+", re.I | re.A)
 _RUN_SIGNS = {"plus": "+", "+": "+", "dot": ".", "point": ".", "dash": "-"}
 _BRACKETED = re.compile(r"[\[({<]\s{0,3}(?:at\b|@|\.)", re.I)
+# A run of digits only, behind its plus; and what any other run has.
+_PLUS_DIGITS = re.compile(r"(?:plus\s{1,3}|\+)[0-9]+[\s,-]", re.I | re.A)
+_NUMBER_WORD = re.compile(rf"\b{_NUMBER}\b", re.I | re.A)
 # After a bare "at" before a plain domain, only a name like an account's counts, or
 # one of letters behind a word for writing to somebody.
 _BARE_AT = re.compile(r"at\s{1,3}[a-z0-9-]{1,63}\.[a-z]{2}")
@@ -159,8 +162,9 @@ def _may_be_rewritten(text: str) -> bool:
         return True
     if _BARE_AT.search(lower):
         return True
-    words = lower.replace("-", " ").replace(",", " ").split()
-    return not _DIGIT_WORDS.keys().isdisjoint(words)
+    if ("+" in text or "plus" in lower) and _PLUS_DIGITS.search(text):
+        return True
+    return any(word in lower for word in _DIGIT_WORDS) and bool(_NUMBER_WORD.search(text))
 
 
 class Normalised:
@@ -265,3 +269,8 @@ def find_personal_data(docs: DataFrame) -> DataFrame:
     stay, repeated rows too; a column named ``pii`` is replaced.
     """
     return with_spans(docs, "pii", make_finder)
+
+
+def mask_personal_data(docs: DataFrame) -> DataFrame:
+    """``docs`` with every span that ``find_personal_data`` finds masked in ``text``, in one pass."""
+    return with_masked(docs, make_finder)

@@ -12,6 +12,10 @@ from collections.abc import Callable, Iterable, Iterator, Sequence
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from footfall.llm.textbytes import row_groups
+
+_GROUP = 1 << 20  # bytes of text looked at together
+
 Span = tuple[str, int, int, bool]
 
 _TYPE = pa.list_(
@@ -40,19 +44,29 @@ def with_spans(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         finder = make_finder()
         for batch in batches:
-            found = [
-                [dict(zip(("kind", "start", "end", "base"), s)) for s in finder(text.as_py())]
-                if text.is_valid
-                else []
-                for text in batch.column("text")
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(found, _TYPE)], names=[*batch.schema.names, name]
-            )
+            for part in row_groups(batch, "text", _GROUP):
+                found = _found(part.column("text"), finder)
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns, found], names=[*part.schema.names, name]
+                )
 
     return docs.mapInArrow(run, ", ".join([*fields, f"`{name}` {_DDL}"]))
 
 
+def _found(texts: pa.Array, finder: Callable[[str], list[Span]]) -> pa.Array:
+    """The spans of each text; columns of plain values take little room while they grow."""
+    ends = [0]
+    fields: tuple[list, ...] = ([], [], [], [])
+    for text in texts:
+        for span in finder(text.as_py()) if text.is_valid else ():
+            for values, value in zip(fields, span):
+                values.append(value)
+        ends.append(len(fields[0]))
+    parts = [pa.array(values, field.type) for values, field in zip(fields, _TYPE.value_type)]
+    spans = pa.StructArray.from_arrays(parts, fields=list(_TYPE.value_type))
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), spans)
+
+
 def listed(spans: Column) -> Column:
     """``kind:start:end`` of every span, comma-joined."""
     return F.array_join(
@@ -69,33 +83,31 @@ def count_base(spans: Column, kind: str) -> Column:
     return F.size(own).cast("long")
 
 
-def mask(text: str, spans: Iterable[dict]) -> str:
+def mask(text: str, spans: Iterable[Span]) -> str:
     """``text`` with every stretch that spans cover replaced by its first span's ``<KIND>``."""
     out, at = [], 0
-    for s in sorted(spans, key=lambda s: (s["start"], -s["end"])):
-        if s["start"] >= at:
-            out += [text[at : s["start"]], f"<{s['kind'].upper()}>"]
-        at = max(at, s["end"])
+    for kind, start, end, _ in sorted(spans, key=lambda s: (s[1], -s[2])):
+        if start >= at:
+            out += [text[at:start], f"<{kind.upper()}>"]
+        at = max(at, end)
     return "".join([*out, text[at:]])
 
 
-def masked(docs: DataFrame, name: str) -> DataFrame:
-    """``docs`` with the spans of column ``name`` masked in ``text``, without that column."""
-    kept = [c for c in docs.columns if c != name]
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != name]
+def with_masked(docs: DataFrame, make_finder: Callable[[], Callable[[str], list[Span]]]) -> DataFrame:
+    """``docs`` with what the finder finds masked in ``text``; nulls, rows and columns stay."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        finder = make_finder()
         for batch in batches:
-            texts = [
-                mask(t.as_py(), s.as_py()) if t.is_valid and len(s) else t.as_py()
-                for t, s in zip(batch.column("text"), batch.column(name))
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(texts, batch.column("text").type) if c == "text" else batch.column(c)
-                    for c in kept
-                ],
-                names=kept,
-            )
+            at = batch.schema.get_field_index("text")
+            for part in row_groups(batch, "text", _GROUP):
+                texts = []
+                for value in part.column("text"):
+                    text = value.as_py()
+                    spans = finder(text) if text else ()
+                    texts.append(mask(text, spans) if spans else text)
+                new = pa.array(texts, batch.schema.field("text").type)
+                yield part.set_column(at, "text", new)
 
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema]
     return docs.mapInArrow(run, ", ".join(fields))

@@ -108,12 +108,34 @@ def test_frame_and_mask(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, pii string")
     found = pii.find_personal_data(docs)
     assert found.columns == ["doc_id", "text", "pii"] and found.count() == 4
-    masked = spans.masked(found, "pii")
-    expected = [(1, "<EMAIL> and <PHONE>"), (2, None), (2, None), (None, "")]
+    masked = pii.mask_personal_data(docs)
+    assert masked.columns == docs.columns
+    expected = [(1, "<EMAIL> and <PHONE>", "p"), (2, None, None), (2, None, None), (None, "", "")]
     assert sorted(map(tuple, masked.collect()), key=str) == sorted(expected, key=str)
     assert pii.find_personal_data(spark.createDataFrame([], docs.schema)).collect() == []
 
 
 def test_mask_of_overlapping_spans():
-    found = [{"kind": "card", "start": 2, "end": 6}, {"kind": "phone", "start": 4, "end": 8}]
+    found = [("card", 2, 6, True), ("phone", 4, 8, False)]
     assert spans.mask("ab123456cd", found) == "ab<CARD>cd"
+
+
+PARTS = st.sampled_from(
+    "plus Plus + one two (one four) five. 49 30 123 45678 , - dot point dash at @ [at] (.) { . gmail.com bob é éone\u200b"
+    " \u00a0 Zero zero- ,nine stone plus+ <at> a1".split(" ")
+)
+
+
+@settings(max_examples=3000, deadline=None)
+@given(st.lists(st.tuples(PARTS, st.sampled_from(["", " ", "  ", "\n", ", ", "-"])), max_size=12))
+def test_no_rewriting_escapes_the_cheap_test(parts):
+    text = "".join(a + b for a, b in parts)
+    if pii._REWRITE.search(text):
+        assert pii._may_be_rewritten(text)
+
+
+@pytest.mark.parametrize("call", ["call plus 49 30 123 45678 now", "call +49, 30, 123, 45678 now"])
+def test_a_span_does_not_depend_on_other_words(call):
+    found = FIND(call)
+    assert [k for k, *_ in found] == ["phone"]
+    assert FIND(call + " a dot here") == found and FIND(call + " one") == found
