@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from footfall.llm import decontaminate, jaccard, language, packing, pii, spans
+from footfall.llm import decontaminate, jaccard, language, packing, pii
 from footfall.plans.scratch import Scratch
 
 
@@ -32,7 +32,7 @@ def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data become the name of their kind; n_chars follows the text."""
-    masked = spans.masked(pii.find_personal_data(docs), "pii")
+    masked = pii.mask_personal_data(docs)
     return masked.withColumn("n_chars", F.char_length("text").cast("long")).select(docs.columns)
 
 
