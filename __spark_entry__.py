@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-import importlib.util
 import os
 import sys
 from collections.abc import Callable
+from dataclasses import replace
+from functools import reduce
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -23,23 +24,31 @@ from footfall.operators import actions as act  # noqa: E402
 from footfall.operators import categories as cat  # noqa: E402
 from footfall.operators import sampling as smp  # noqa: E402
 from footfall.operators import sessions as ses  # noqa: E402
+from footfall.operators.day_states import DayStates  # noqa: E402
+from footfall.operators.session_parts import session_info_parts  # noqa: E402
 from footfall.plans import (  # noqa: E402
     category_session_top,
     category_top,
+    page_conversion,
+    run_all,
     session_extract,
     session_stats,
 )
+from footfall.plans.run import maybe_of_users  # noqa: E402
+from footfall.plans.scratch import Scratch  # noqa: E402
 from footfall.schema import USER_VISIT_ACTION, conform  # noqa: E402
 from footfall.sources import shop_tables as shop  # noqa: E402
-from footfall.sources.sinks import stamp_run  # noqa: E402
+from footfall.sources.days import read_days, write_days  # noqa: E402
+from footfall.sources.rejects import accepted, rejected  # noqa: E402
+from footfall.sources.sinks import folder_sink, stamp_run  # noqa: E402
 from footfall.sources.tables import preview  # noqa: E402
 
-if importlib.util.find_spec("footfall.llm"):
+try:  # the subpackage and its pipeline are optional
     import corpus_pipeline
     from footfall.llm.queries import ORACLE_SQL as LLM_SQL, QUERIES
 
     LLM_QUERIES = {**QUERIES, "pipeline": corpus_pipeline.run}
-else:  # the subpackage and its pipeline are optional
+except ImportError:
     LLM_SQL, LLM_QUERIES = {}, {}
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,6 +58,14 @@ SMOKE_DIR = "/root/testdata/sf0.001"
 EVERYTHING = Conditions()
 DEFAULT = shop.DEFAULT_CONDITIONS
 TWO_PROFESSIONS = ("AUTOMOBILE", "BUILDING")
+PAGE_FLOW = (1, 2, 3, 4, 5, 6, 7)
+RESULT_TABLES = (
+    "session_stat_info",
+    "random_session_info",
+    "category_top10",
+    "category_top10_session_count",
+    "page_convert_rate",
+)
 
 
 def _filtered(
@@ -134,6 +151,83 @@ def _category_session_top10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return category_session_top(actions, top, RUN_ID, user_ids=user_ids)
 
 
+def _filtered_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Most actions of other users dropped at the scan, by a filter over the ids."""
+    actions, user_ids = _parts(spark, sf_dir, DEFAULT)
+    tables = Scratch(spark, "filtered-rollup")
+    ids = tables.keep(user_ids, "users")
+    return ses.session_rollup(maybe_of_users(actions, ids, tables), ids)
+
+
+def _run_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All result tables of one run, one below the other, each with its own columns."""
+    folder = Scratch(spark, "run-all").folder
+    conditions = replace(DEFAULT, page_flow=PAGE_FLOW, raw_json=DEFAULT.to_json())
+    run_all(
+        shop.visit_actions(spark, sf_dir, conditions),
+        shop.user_info(spark, sf_dir),
+        conditions,
+        folder_sink(folder),
+        RUN_ID,
+    )
+    tables = [
+        spark.read.parquet(f"{folder}/{name}").withColumn("result_table", F.lit(name))
+        for name in RESULT_TABLES
+    ]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
+
+
+def _page_conversion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_conversion(_filtered(spark, sf_dir), PAGE_FLOW, RUN_ID)
+
+
+def _loose_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Actions as a careless writer leaves them: pages as text, errors without a number or a time."""
+    error = F.col("search_keyword").isNull() & (F.col("click_category_id") == -1)
+    odd = error & F.col("order_category_ids").isNull() & F.col("pay_category_ids").isNull()
+    actions = shop.visit_actions(spark, sf_dir)
+    bad_page = odd & (F.col("city_id") % 5 == 0)
+    bad_time = odd & (F.col("city_id") % 3 == 0)
+    page = F.when(bad_page, F.concat(F.lit("p"), "page_id")).otherwise(F.col("page_id").cast("string"))
+    time = F.when(bad_time, F.col("date")).otherwise(F.col("action_time"))
+    return actions.withColumns({"page_id": page, "action_time": time})
+
+
+def _rejected_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = rejected(_loose_actions(spark, sf_dir), USER_VISIT_ACTION)
+    as_came = F.from_json("row_json", "user_id long, session_id string, page_id string, action_time string")
+    return found.select("reason", as_came.alias("r")).select("reason", "r.*")
+
+
+def _accepted_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    actions = accepted(_loose_actions(spark, sf_dir), USER_VISIT_ACTION)
+    user_ids = act.matching_users(shop.user_info(spark, sf_dir), EVERYTHING)
+    return ses.session_buckets(ses.session_rollup(actions, user_ids))
+
+
+def _day_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The actions by day, read back for the default dates."""
+    path = f"{Scratch(spark, 'days').folder}/actions"
+    write_days(shop.visit_actions(spark, sf_dir), path)
+    return read_days(spark, path).where(DEFAULT.on_actions())
+
+
+def _day_states(spark: SparkSession, sf_dir: str) -> tuple[DayStates, DataFrame]:
+    states = DayStates(spark, Scratch(spark, "day-states").folder)
+    states.add(shop.visit_actions(spark, sf_dir))
+    return states, act.matching_users(shop.user_info(spark, sf_dir), DEFAULT)
+
+
+def _rollup_from_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    states, user_ids = _day_states(spark, sf_dir)
+    return states.sessions(DEFAULT, user_ids)
+
+
+def _counts_from_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    states, user_ids = _day_states(spark, sf_dir)
+    return states.category_counts(DEFAULT, user_ids)
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """The most active sessions within the hottest categories."""
     return queries()["category_session_top10"](spark, SMOKE_DIR)
@@ -150,6 +244,9 @@ def queries() -> dict[str, Query]:
         "conform_actions": _on_actions(_conform_actions),
         "preview_limit": _on_actions(lambda a: preview(a, 100, *a.columns)),
         "stamp_run": _on_users(lambda u: stamp_run(u, RUN_ID)),
+        "rejected_actions": _rejected_actions,
+        "accepted_session_buckets": _accepted_stats,
+        "day_layout": _day_layout,
         # Filters and the join
         "filter_date_range": lambda spark, sf_dir: shop.visit_actions(
             spark, sf_dir, DEFAULT
@@ -179,6 +276,8 @@ def queries() -> dict[str, Query]:
         # Sessions
         "session_rollup": _on_sessions(lambda s: s),
         "session_rollup_shuffled": _shuffled_rollup,
+        "session_rollup_filtered": _filtered_rollup,
+        "session_rollup_from_days": _rollup_from_days,
         "session_count": _on_sessions(
             lambda s: s.agg(F.count(F.lit(1)).alias("session_count"))
         ),
@@ -212,6 +311,8 @@ def queries() -> dict[str, Query]:
             )
         ),
         "session_info": _on_joined(ses.session_info),
+        "session_info_parts": _on_joined(lambda a: session_info_parts(a, 4)),
+        "page_conversion": _page_conversion,
         "sessions_per_hour": _on_sessions(ses.sessions_per_hour),
         # Sampling
         "hour_quota": _on_sessions(
@@ -233,6 +334,7 @@ def queries() -> dict[str, Query]:
             lambda a: cat.category_action_counts(act.category_events(a))
         ),
         "category_pivot": _on_joined(lambda a: cat.category_counts(act.category_events(a))),
+        "category_counts_from_days": _counts_from_days,
         "category_top10": _category_top10,
         "filter_top_category_clicks": _on_joined(
             lambda a: cat.clicks_in_categories(a, _top(a))
@@ -242,6 +344,8 @@ def queries() -> dict[str, Query]:
         ),
         "category_session_top10": _category_session_top10,
         "category_top_sessions_large": _on_joined(_many_sessions_per_category),
+        # Everything
+        "run_all": _run_all,
     }
 
 
@@ -392,6 +496,55 @@ SELECT '{run}' AS task_id, '{conditions}' AS condition_json, n AS session_count,
 FROM counted
 """
 
+_TOP_SESSIONS = f"""SELECT '{RUN_ID}' AS "taskId", category_id AS "categoryId",
+            session_id AS "sessionId", click_count AS "clickCount"
+            FROM top_counts
+            QUALIFY row_number() OVER (
+              PARTITION BY category_id ORDER BY click_count DESC, session_id) <= 10"""
+
+_CONVERSION = f"""
+, steps AS (
+  SELECT page_id, lead(page_id) OVER (
+    PARTITION BY session_id ORDER BY action_time, page_id) AS next_page FROM kept
+), flow AS (
+  SELECT unnest(range(1, {len(PAGE_FLOW)}))::INTEGER AS step
+), flow_pages AS (
+  SELECT step, ({list(PAGE_FLOW)})[step]::BIGINT AS from_page,
+         ({list(PAGE_FLOW)})[step + 1]::BIGINT AS to_page FROM flow
+), converted AS (
+  SELECT step, from_page, to_page, count(page_id) AS views,
+         count(*) FILTER (WHERE next_page = to_page) AS conversions
+  FROM flow_pages LEFT JOIN steps ON page_id = from_page GROUP BY step, from_page, to_page
+), conversion AS (
+  SELECT '{RUN_ID}' AS "taskId", step, from_page, to_page, views, conversions,
+         CASE WHEN views > 0 THEN floor(1000.0::DOUBLE * conversions / views + 0.5) / 10.0::DOUBLE END
+           AS conversion_rate
+  FROM converted
+)"""
+
+# The loose actions: which rows were spoilt, and how.
+_LOOSE = """
+, loose AS (
+  SELECT *, city_id % 5 = 0 AS bad_page, city_id % 3 = 0 AS bad_time,
+         search_keyword IS NULL AND click_category_id = -1 AND order_category_ids IS NULL
+           AND pay_category_ids IS NULL AS odd
+  FROM user_visit_action
+)"""
+
+# Each value's place in its list and the characters before it; parts begin at every fourth.
+_PARTS = """
+, valued AS (
+  SELECT session_id, kind, value,
+         row_number() OVER own - 1 AS entry, sum(length(value) + 1) OVER own - length(value) - 1 AS before
+  FROM listed WHERE kind IS NOT NULL
+  WINDOW own AS (PARTITION BY session_id, kind ORDER BY action_time, value
+                 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+), parts AS (
+  SELECT session_id, kind, before // 4 AS bin, min(entry) AS first_entry, count(*) AS entries,
+         string_agg(value, ',' ORDER BY entry) AS list_part
+  FROM valued GROUP BY session_id, kind, bin
+)"""
+
 _PRODUCTS = """
 SELECT p_partkey AS product_id, p_name AS product_name, p_type AS extend_info FROM part
 """
@@ -421,6 +574,28 @@ def _all_sql(select: str) -> str:
     return _sql(select, where="")
 
 
+def _run_all_sql() -> str:
+    """The result tables by name, each as a query over what comes before it."""
+    ctes = _ROUNDED_QUOTAS.format(size=1000) + _CONVERSION
+    extract = _EXTRACT.format(run=RUN_ID, size=1000, seed=42)
+    stats = _STATS.replace("{run}", RUN_ID).replace("{conditions}", DEFAULT.to_json())
+    selects = {
+        "session_stat_info": stats,
+        "random_session_info": extract,
+        "category_top10": f"""SELECT '{RUN_ID}' AS "taskId", * FROM top10""",
+        "category_top10_session_count": _TOP_SESSIONS,
+        "page_convert_rate": "SELECT * FROM conversion",
+    }
+    # The two that bring CTEs of their own put them before.
+    for name in ("session_stat_info", "random_session_info"):
+        head, _, tail = selects[name].partition("\n)\nSELECT")
+        ctes, selects[name] = ctes + head + "\n)", "SELECT" + tail
+    union = "\nUNION ALL BY NAME\n".join(
+        f"SELECT '{name}' AS result_table, * FROM ({select})" for name, select in selects.items()
+    )
+    return _sql(ctes + union)
+
+
 def oracle_sql() -> dict[str, str]:
     every = "user_visit_action"
     order = ", ".join(f"{f.name} NULLS FIRST" for f in USER_VISIT_ACTION)
@@ -497,6 +672,42 @@ def oracle_sql() -> dict[str, str]:
         ),
         "session_action_lists": _all_sql("SELECT * FROM lists"),
         "session_info": _all_sql("SELECT * FROM sessions JOIN lists USING (session_id)"),
+        "session_info_parts": _all_sql(
+            _PARTS
+            + """SELECT session_id, kind,
+            row_number() OVER (PARTITION BY session_id, kind ORDER BY bin) - 1 AS part,
+            first_entry, entries, list_part FROM parts"""
+        ),
+        "session_rollup_filtered": _sql("SELECT * FROM sessions"),
+        "session_rollup_from_days": _sql("SELECT * FROM sessions"),
+        "page_conversion": _sql(_CONVERSION + "SELECT * FROM conversion"),
+        "rejected_actions": _sql(
+            _LOOSE
+            + """SELECT concat_ws('; ', CASE WHEN bad_page THEN 'page_id is no bigint' END,
+              CASE WHEN bad_time THEN 'action_time is not yyyy-MM-dd HH:mm:ss' END) AS reason,
+            user_id, session_id,
+            CASE WHEN bad_page THEN 'p' ELSE '' END || page_id AS page_id,
+            CASE WHEN bad_time THEN date ELSE action_time END AS action_time
+            FROM loose WHERE odd AND (bad_page OR bad_time)"""
+        ),
+        "accepted_session_buckets": _sql(
+            _LOOSE
+            + """, good AS (
+              SELECT session_id, epoch(strptime(action_time, '%Y-%m-%d %H:%M:%S')) AS s
+              FROM loose JOIN user_info USING (user_id) WHERE NOT (odd AND (bad_page OR bad_time))
+            ), ends AS (
+              SELECT 1000 * (max(s) - min(s)) AS ms, count(*) AS n FROM good GROUP BY session_id)
+            SELECT count(*) AS session_count,
+              count(*) FILTER (WHERE ms > 10000) AS visit_length_gt_10_count,
+              count(*) FILTER (WHERE ms <= 10000) AS visit_length_le_10_count,
+              count(*) FILTER (WHERE n > 5) AS step_length_gt_5_count,
+              count(*) FILTER (WHERE n <= 5) AS step_length_le_5_count FROM ends"""
+        ),
+        "day_layout": _sql(
+            f"SELECT * FROM {every} WHERE date BETWEEN '2024-01-05' AND '2024-01-20'"
+        ),
+        "category_counts_from_days": _sql("SELECT * FROM pivoted"),
+        "run_all": _run_all_sql(),
         "sessions_per_hour": _all_sql("SELECT day_hour, session_count FROM hours"),
         "hour_quota": _all_sql(
             """SELECT day_hour, session_count, least(session_count, CAST(floor(
@@ -524,11 +735,5 @@ def oracle_sql() -> dict[str, str]:
             QUALIFY row_number() OVER (
               PARTITION BY category_id ORDER BY click_count DESC, session_id) <= 2000"""
         ),
-        "category_session_top10": _sql(
-            f"""SELECT '{RUN_ID}' AS "taskId", category_id AS "categoryId",
-            session_id AS "sessionId", click_count AS "clickCount"
-            FROM top_counts
-            QUALIFY row_number() OVER (
-              PARTITION BY category_id ORDER BY click_count DESC, session_id) <= 10"""
-        ),
+        "category_session_top10": _sql(_TOP_SESSIONS),
     }

@@ -56,21 +56,23 @@ def page_conversions(actions: DataFrame, flow: Sequence[int]) -> DataFrame:
     numbered from 1, and a flow may come to a page again; a flow of fewer than two pages
     has no steps.
     """
-    spark = actions.sparkSession
-    steps = [(i + 1, a, b) for i, (a, b) in enumerate(zip(flow, flow[1:]))]
-    wanted = spark.createDataFrame(steps, "step int, from_page long, to_page long")
-    sources = sorted({a for _, a, _ in steps})
+    pages = F.lit(list(flow)).cast("array<bigint>")
+    number = F.col("id").cast("int")
+    wanted = actions.sparkSession.range(max(len(flow) - 1, 0)).select(
+        (number + 1).alias("step"),
+        F.get(pages, number).alias("from_page"),
+        F.get(pages, number + 1).alias("to_page"),
+    )
     counts = (
         page_successors(actions)
-        .where(F.col("page_id").isin(sources))
+        .where(F.col("page_id").isin(list(flow[:-1])))
         .groupBy("page_id", "next_page_id")
         .agg(F.count(F.lit(1)).alias("actions"))
     )
-    follows = (F.col("page_id") == F.col("from_page")) & F.col("page_id").isNotNull()
+    seen = F.col("page_id") == F.col("from_page")
     converted = F.when(F.col("next_page_id") == F.col("to_page"), F.col("actions"))
     return (
-        F.broadcast(wanted)
-        .join(counts, follows, "left")
+        wanted.join(counts, seen, "left")
         .groupBy("step", "from_page", "to_page")
         .agg(
             F.coalesce(F.sum("actions"), F.lit(0)).cast("bigint").alias("views"),

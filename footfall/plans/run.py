@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -21,7 +22,11 @@ from footfall.plans.reports import (
     session_stats,
 )
 from footfall.plans.scratch import Scratch
-from footfall.sources.sinks import Sink
+from footfall.schema import USER_VISIT_ACTION
+from footfall.sources.rejects import REJECTED_ACTIONS, accepted, rejected
+from footfall.sources.sinks import Sink, stamp_run
+
+RAISE, DIVERT = "raise", "divert"
 
 
 def maybe_of_users(
@@ -51,6 +56,7 @@ def run_all(
     seed: int = SEED,
     allocation: str = ROUNDED,
     resumable: bool = False,
+    on_rejected: str = RAISE,
 ) -> str:
     """Compute and deliver all reports in order; returns the run's id.
 
@@ -67,18 +73,29 @@ def run_all(
     nothing again that the first had written. After the last delivery such calls do
     nothing. A sink that fails halfway is called again with the same rows: sinks that
     know a run's rows (``append_table``, ``folder_sink``) then deliver each once.
+
+    Actions that break the read contract raise an error; with ``on_rejected="divert"``
+    they are delivered first, as ``rejected_actions``, and the reports do without them.
+    ``actions`` may then be a table as it came, whose columns need not have their types.
     """
+    if on_rejected not in (RAISE, DIVERT):
+        raise ValueError(f"on_rejected is {RAISE} or {DIVERT}, not {on_rejected}")
     if resumable and not run_id:
         raise ValueError("a resumable run needs a run id")
     run_id = run_id or str(uuid.uuid4())
     spark = actions.sparkSession
     if resumable:
-        options = (sample_size, top_n, sessions_per_category, seed, allocation)
+        options = (sample_size, top_n, sessions_per_category, seed, allocation, on_rejected)
         run = Manifest(spark, run_id, {"conditions": conditions, "options": options})
     else:
         run = Unrecorded(spark, run_id)
+    steps: dict[str, Callable[[], DataFrame]] = {}
+    if on_rejected == DIVERT:
+        loose = actions
+        steps[REJECTED_ACTIONS] = lambda: stamp_run(rejected(loose, USER_VISIT_ACTION), run_id)
+        actions = accepted(loose, USER_VISIT_ACTION)
     reports = Reports(actions, users, conditions, run.tables, run_id)
-    steps = {
+    steps |= {
         "session_stat_info": reports.stats,
         "random_session_info": lambda: reports.extract(sample_size, seed, allocation),
         "category_top10": lambda: reports.top(top_n),

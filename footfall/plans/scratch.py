@@ -56,7 +56,13 @@ class Scratch:
         """Tables in a folder of their own within this one, which can be dropped alone."""
         return Scratch(self._spark, name, f"{self.folder}/{name}-{uuid.uuid4().hex}")
 
+    def forget(self, name: str) -> None:
+        """Drop one table."""
+        self._kept.pop(name, None)
+        self._files().delete(self._path(f"{self.folder}/{name}"), True)
+
     def drop(self) -> None:
+        self._kept.clear()
         self._files().delete(self._path(self.folder), True)
 
     def _path(self, path: str):

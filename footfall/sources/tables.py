@@ -59,14 +59,19 @@ def replace_table(
     if not spark.catalog.tableExists(name):
         # A table that was replaced and then dropped leaves what its readers may have needed.
         _drop_folders(spark, [first, home] if _has_folder(spark, home) else [])
-    elif spark.table(name).schema == _nullable(df.schema):
-        current = _location(spark, name)
-        aside = f"{home}/{uuid.uuid4().hex}"
-        df.write.parquet(aside)
+        df.write.saveAsTable(name)
+        return spark.table(name)
+    current = _location(spark, name)
+    aside = f"{home}/{uuid.uuid4().hex}"
+    df.write.parquet(aside)
+    if spark.table(name).schema == _nullable(df.schema):
         spark.sql(f"ALTER TABLE {name} SET LOCATION '{aside}'")
         _drop_folders(spark, _outdated(spark, first, home, {aside, current}))
         return spark.table(name)
-    df.write.mode("overwrite").saveAsTable(name)
+    spark.sql(f"DROP TABLE {name}")
+    _drop_folders(spark, [first])
+    spark.read.schema(df.schema).parquet(aside).write.saveAsTable(name)
+    _drop_folders(spark, [home])
     return spark.table(name)
 
 

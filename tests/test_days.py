@@ -1,0 +1,103 @@
+"""Actions by day: pruned reading, single days written again, and states that merge."""
+
+from pathlib import Path
+
+import pytest
+from builders import actions_frame, click, order, pay, rows, search, users_frame
+from test_plans import plan
+
+from footfall.conditions import Conditions
+from footfall.operators.categories import category_counts_of_users
+from footfall.operators.day_states import DayStates
+from footfall.operators.sessions import session_rollup
+from footfall.schema import USER_VISIT_ACTION
+from footfall.sources.days import read_days, write_days
+
+SEVEN = [f"2018-11-{d}" for d in range(20, 27)]
+
+
+def week(spark):
+    actions = []
+    for n, day in enumerate(SEVEN):
+        for i in range(12):
+            at = f"{day} {i + 8:02d}:00:{n:02d}"
+            actions.append(click(f"{day}-{i % 4}", i % 3, at, i % 5))
+            actions.append(order(f"{day}-{i % 4}", i % 3, at, f"{i % 5},{n}"))
+            actions.append(pay("all week", 1, at, "2"))
+        actions.append(search(f"over midnight {n}", 2, f"{day} 23:59:50", "k"))
+        if n < 6:
+            actions.append(click(f"over midnight {n}", 2, f"{SEVEN[n + 1]} 00:00:20", 3))
+    actions.append(click(None, 9, f"{SEVEN[0]} 10:00:00", 1))
+    return actions_frame(spark, actions)
+
+
+@pytest.fixture
+def users(spark):
+    return users_frame(spark, [(0, 30, "a"), (1, 30, "a"), (2, 30, "b"), (2, 30, "b")]).select("user_id")
+
+
+def files(folder):
+    return {p: p.stat().st_mtime_ns for p in Path(folder).rglob("*.parquet")}
+
+
+def test_days_are_chosen_before_files_are_opened(spark, tmp_path):
+    path = f"{tmp_path}/actions"
+    write_days(week(spark), path)
+    days = read_days(spark, path)
+    assert days.schema.names == USER_VISIT_ACTION.names
+    assert rows(days) == rows(week(spark))
+    kept = days.where(Conditions("2018-11-22", "2018-11-23").on_actions())
+    text = plan(kept)
+    assert "PartitionFilters: [isnotnull(date" in text and ">= 2018-11-22" in text
+    assert "number of partitions read: 2" in text or len({f.split("date=")[1][:10] for f in kept.inputFiles()}) == 7
+    assert kept.count() == week(spark).where("date BETWEEN '2018-11-22' AND '2018-11-23'").count()
+
+
+def test_a_day_written_again_leaves_the_others_alone(spark, tmp_path):
+    path = f"{tmp_path}/actions"
+    write_days(week(spark), path)
+    before = files(path)
+    again = week(spark).where("date = '2018-11-22'").limit(3)
+    write_days(again, path)
+    after = files(path)
+    other = lambda found: {p: t for p, t in found.items() if "date=2018-11-22" not in str(p)}
+    assert other(before) == other(after) and before != after
+    assert read_days(spark, path).where("date = '2018-11-22'").count() == 3
+    assert len({p.parent.name for p in after}) == 7
+
+
+@pytest.mark.parametrize("conditions", [Conditions(), Conditions("2018-11-22", "2018-11-24")])
+def test_merged_states_equal_one_run(spark, tmp_path, users, conditions):
+    """Added day by day, in no order, one day twice; sessions over midnight included."""
+    actions = week(spark)
+    states = DayStates(spark, str(tmp_path))
+    for day in [*reversed(SEVEN), SEVEN[3]]:
+        states.add(actions, [day])
+    in_range = actions.where(conditions.on_actions())
+    assert rows(states.sessions(conditions, users)) == rows(session_rollup(in_range, users))
+    assert rows(states.category_counts(conditions, users)) == rows(
+        category_counts_of_users(in_range, users)
+    )
+
+
+def test_all_days_at_once_and_a_new_day_alone(spark, tmp_path, users):
+    actions = week(spark)
+    states = DayStates(spark, str(tmp_path))
+    states.add(actions.where("date < '2018-11-26'"))
+    before = files(tmp_path)
+    states.add(actions.where("date = '2018-11-26'"))
+    assert before.items() <= files(tmp_path).items()
+    assert rows(states.sessions(Conditions(), users)) == rows(session_rollup(actions, users))
+    text = plan(states.sessions(Conditions("2018-11-25", "2018-11-25"), users))
+    assert "PartitionFilters: [isnotnull(date" in text and "action_time#" not in text
+
+
+def test_unreadable_times_raise_only_for_asked_users(spark, tmp_path):
+    bad = {**click("a", 1, "2018-11-20 10:00:00", 1), "action_time": "nonsense"}
+    states = DayStates(spark, str(tmp_path))
+    states.add(actions_frame(spark, [bad, click("b", 2, "2018-11-20 10:00:00", 1)]))
+    two = users_frame(spark, [(2, 30, "a")]).select("user_id")
+    assert states.sessions(Conditions(), two).count() == 1
+    one = users_frame(spark, [(1, 30, "a")]).select("user_id")
+    with pytest.raises(Exception, match="action_time is not"):
+        states.sessions(Conditions(), one).collect()

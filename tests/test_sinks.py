@@ -8,7 +8,7 @@ from types import SimpleNamespace
 
 import pytest
 from builders import rows, users_frame
-from pyspark.sql import DataFrameWriter
+from pyspark.sql import DataFrameWriter, functions as F
 
 from footfall.conditions import Conditions
 from footfall.plans.scratch import Scratch, shared_folder
@@ -89,6 +89,54 @@ def test_replace_table_replaces(spark, users):
     assert rows(read_table(spark, "replaced", USER_INFO)) == rows(again)
 
 
+def test_replacement_is_one_change_of_the_catalog(spark, users):
+    """A reader that began before reads on, and old rows are there until the switch."""
+    spark.sql("DROP TABLE IF EXISTS switched")
+    first = replace_table(users, "switched")
+    reader = spark.table("switched")
+    began = reader.inputFiles()
+    replace_table(users.where("user_id = 2"), "switched")
+    assert rows(first) == rows(users) and all(Path(f.removeprefix("file:")).exists() for f in began)
+    assert spark.table("switched").count() == 1
+    for i in range(3):
+        replace_table(users.limit(1 + i % 2), "switched")
+        assert spark.table("switched").count() == 1 + i % 2
+    home = Path(spark.conf.get("spark.sql.warehouse.dir").removeprefix("file:")) / "switched-rows"
+    assert len(list(home.iterdir())) == 2 and not (home.parent / "switched").exists()
+    spark.sql("DROP TABLE switched")
+    assert replace_table(users, "switched").count() == 2
+
+
+def test_failed_replacement_leaves_the_old_rows(spark, users):
+    replace_table(users, "unharmed")
+    replace_table(users, "unharmed")
+    bad = users.withColumn("age", F.when(F.col("user_id") == 2, F.raise_error(F.lit("half-way"))).otherwise(F.col("age")))
+    for _ in range(2):
+        with pytest.raises(Exception, match="half-way"):
+            replace_table(bad, "unharmed")
+        assert rows(spark.table("unharmed")) == rows(users)
+    replace_table(users.limit(1), "unharmed")
+    assert spark.table("unharmed").count() == 1
+
+
+def test_replacement_from_itself_and_with_other_columns(spark, users):
+    replace_table(users, "own_rows")
+    replace_table(spark.table("own_rows").where("user_id = 1"), "own_rows")
+    assert spark.table("own_rows").count() == 1
+    wider = users.withColumn("more", F.lit(1))
+    assert replace_table(wider, "own_rows").columns[-1] == "more"
+
+
+def test_rows_of_a_run_are_appended_once(spark, users):
+    stamped = stamp_run(users, "r1")
+    append_table(stamped.where("user_id = 1"), "once")
+    append_table(stamped, "once")
+    append_table(stamped, "once")
+    append_table(stamp_run(users, "r2"), "once")
+    append_table(stamp_run(users.unionAll(users), "r3"), "once")
+    assert rows(spark.table("once").groupBy("taskId").count()) == [("r1", 2), ("r2", 2), ("r3", 4)]
+
+
 def test_literal_rows_become_a_table(spark):
     cities = [(1, "Springfield", "north"), (2, "Shelbyville", None)]
     table = replace_table(from_rows(spark, cities, CITY_INFO), "city_info")
