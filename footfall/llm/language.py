@@ -7,7 +7,7 @@ all bits, so a few bits that are wrong do no harm. Two codewords that are nearly
 as close flag the text as ambiguous.
 
 Learning is one pass over all labelled texts: each counts with weight 1, whatever
-its length, and a task hands on one vector of a fixed size for each language.
+its length, and a task hands on at most BUCKETS sums for each language.
 """
 
 from __future__ import annotations
@@ -19,13 +19,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from footfall.llm.textbytes import PIECE, string_bytes
+from footfall.llm.textbytes import PIECE, row_groups, string_bytes
 
 BUCKETS = 1 << 14  # hashed trigrams
 SMOOTHING = 0.05  # of one text's weight, spread over all buckets
 SHARPNESS = 2.0  # turns a mean log-odds into a margin
 AMBIGUOUS = 0.5  # a second codeword within this loss makes a text ambiguous
 UNKNOWN = "und"
+_GROUP = 1 << 22  # bytes of text looked at together
 
 _LETTER = np.zeros(256, np.uint32)
 _LETTER[ord("a") : ord("z") + 1] = np.arange(1, 27)
@@ -144,10 +145,10 @@ def has_letter(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 def _language_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For each language of the task's texts: their number and summed trigram shares."""
+    """(lang, bucket, share): the task's summed trigram shares; bucket -1 has the number of texts."""
     texts: dict[str, int] = {}
     sums: dict[str, np.ndarray] = {}
-    for batch in batches:
+    for batch in (part for whole in batches for part in row_groups(whole, "text", _GROUP)):
         data, offsets = string_bytes(batch.column("text"))
         names = batch.column("lang").to_pylist()
         for name in names:
@@ -166,51 +167,42 @@ def _language_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             flat += np.bincount(where, weights=share[rows[keep]], minlength=len(flat))
         for name, i in index.items():
             sums[name] += flat[i * BUCKETS : (i + 1) * BUCKETS]
-    if sums:
+    for name, own in sums.items():
+        hit = np.flatnonzero(own)
         yield pa.record_batch(
             {
-                "lang": list(sums),
-                "texts": pa.array([texts[name] for name in sums], pa.int64()),
-                "shares": [v.tobytes() for v in sums.values()],
+                "lang": pa.array([name] * (len(hit) + 1), pa.string()),
+                "bucket": pa.array([-1, *hit.tolist()], pa.int32()),
+                "share": np.concatenate([[float(texts[name])], own[hit]]),
             }
         )
 
 
-def _add_up(table: pa.Table) -> pa.Table:
-    """All tasks' sums of one language, one at a time."""
-    total = np.zeros(BUCKETS)
-    for value in table.column("shares"):
-        total += np.frombuffer(value.as_py())
-    return pa.table(
-        {
-            "lang": table.column("lang")[:1],
-            "texts": pa.array([sum(table.column("texts").to_pylist())], pa.int64()),
-            "shares": [total.tobytes()],
-        }
-    )
-
-
 def fit_languages(examples: DataFrame) -> LanguageModel:
     """Learns from every row of ``examples`` (text, lang); rows with a null are left out.
 
-    The driver gets one vector of BUCKETS numbers for each language. Without any
-    row the model knows no language and predicts ``und`` for all.
+    Tasks' sums meet by language and bucket, added up before and after the shuffle, so
+    no task reads the vectors of all others. The driver gets one vector of BUCKETS
+    numbers for each language. Without any row the model knows no language and
+    predicts ``und`` for all.
     """
-    schema = "lang string, texts long, shares binary"
     sums = (
         examples.select("text", "lang")
         .where(F.col("text").isNotNull() & F.col("lang").isNotNull())
-        .mapInArrow(_language_sums, schema)
-        .groupBy("lang")
-        .applyInArrow(_add_up, schema)
+        .mapInArrow(_language_sums, "lang string, bucket int, share double")
+        .groupBy("lang", "bucket")
+        .agg(F.sum("share").alias("share"))
+        .toArrow()
     )
-    found = sorted(sums.collect(), key=lambda row: row["lang"])
+    found = sorted(set(sums.column("lang").to_pylist()))
     if not found:
         return LanguageModel((UNKNOWN,), codewords(1), np.zeros((BUCKETS, 1), np.float32))
+    row = np.searchsorted(np.array(found, object), sums.column("lang").to_numpy())
+    shares = np.zeros((len(found), BUCKETS + 1))
+    shares[row, sums.column("bucket").to_numpy()] = sums.column("share").to_numpy()
     code = codewords(len(found))
     # A language's trigram shares, whatever its number of texts.
-    shares = np.array([np.frombuffer(row["shares"]) / row["texts"] for row in found])
-    shares += SMOOTHING / BUCKETS
+    shares = shares[:, :-1] / shares[:, -1:] + SMOOTHING / BUCKETS
     ones, zeros = (code > 0).astype(float), (code < 0).astype(float)
     positive = ones.T @ shares / np.maximum(ones.sum(axis=0), 1)[:, None]
     negative = zeros.T @ shares / np.maximum(zeros.sum(axis=0), 1)[:, None]
@@ -218,7 +210,7 @@ def fit_languages(examples: DataFrame) -> LanguageModel:
     weights = np.log(np.maximum(positive, floor)) - np.log(np.maximum(negative, floor))
     weights[:, 0] = 0
     return LanguageModel(
-        tuple(row["lang"] for row in found), code, weights.T.astype(np.float32).copy()
+        tuple(found), code, weights.T.astype(np.float32).copy()
     )
 
 
@@ -239,10 +231,11 @@ def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
     )
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names, score, close = model.predict(batch.column("text"))
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(names, pa.string()), pa.array(score), pa.array(close)],
-                names=[*batch.schema.names, *added],
-            )
+            for part in row_groups(batch, "text", _GROUP):
+                names, score, close = model.predict(part.column("text"))
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns, pa.array(names, pa.string()), pa.array(score), pa.array(close)],
+                    names=[*part.schema.names, *added],
+                )
 
     return docs.mapInArrow(run, schema)
