@@ -71,19 +71,20 @@ def _first_prefix(own: np.ndarray, percent: int) -> np.ndarray:
 
 def _ask_prefixes(table: pa.Table, chunks: int, size: int, percent: int) -> pa.Table:
     prefixes = [_first_prefix(own, percent) for own in _sets(table.column("text").combine_chunks(), size)]
-    parts = [(1, *counting.counted(np.concatenate(prefixes)))]
+    # A prefix has small hashes only; mixed once more, they go to all buckets alike.
+    parts = [(1, *counting.counted(mix(np.concatenate(prefixes))))]
     return counting.ask(table.column("chunk")[0].as_py(), chunks, parts)
 
 
 def _survivors(texts: pa.Table, counts: pa.Table, size: int, percent: int) -> pa.Table:
     """Every document's class; the set of those whose prefix others share enough of."""
     sets = list(_sets(texts.column("text").combine_chunks(), size))
-    keys, _ = counting.counted(np.concatenate([_first_prefix(own, percent) for own in sets]))
+    keys, _ = counting.counted(mix(np.concatenate([_first_prefix(own, percent) for own in sets])))
     found = counting.answered(counts, 1)
     kept: list[bytes | None] = []
     for own in sets:
         prefix = _first_prefix(own, percent)
-        shared = int((found[np.searchsorted(keys, prefix)] > 1).sum())
+        shared = int((found[np.searchsorted(keys, mix(prefix))] > 1).sum())
         # A similar set may be smaller, and its prefix then asks for less.
         enough = shared >= 1 + _need(len(own), percent) // LONGER
         kept.append(own.tobytes() if len(own) and enough else None)
@@ -315,14 +316,14 @@ def components(edges: DataFrame, kept: Scratch, name: str) -> DataFrame:
             return labels
 
 
-def _grouped(docs: DataFrame, size: int, percent: int) -> DataFrame:
+def _grouped(docs: DataFrame, size: int, percent: int, scratch: Scratch | None) -> DataFrame:
     """``docs`` without text and with n_shingles, component_id and first.
 
     ``first`` is the first row of those that links lead to, by doc_id, null ids
     last, then by the other columns; a row without links has neither.
     """
     spark = docs.sparkSession
-    kept = Scratch(spark, "jaccard")
+    kept = scratch or Scratch(spark, "jaccard")
     members = kept.keep(_members(docs, size, percent), "members")
     classes = kept.keep(_classes(members, percent), "classes")
     postings = classes.select(
@@ -360,7 +361,9 @@ def _grouped(docs: DataFrame, size: int, percent: int) -> DataFrame:
     return members.join(named, "cls", "left").select(*own, "n_shingles", "component_id", "first")
 
 
-def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+def near_duplicates(
+    docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, scratch: Scratch | None = None
+) -> DataFrame:
     """For each document: doc_id, n_shingles, and component_id.
 
     Two documents link if the similarity of their shingle sets is at least
@@ -370,12 +373,14 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
     rows may repeat: every row is a document. A null doc_id gets the id of others it
     is linked with, else null. Other columns take no part.
     """
-    return _grouped(docs.select("doc_id", "text"), size, percent).select(
+    return _grouped(docs.select("doc_id", "text"), size, percent, scratch).select(
         "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")
     )
 
 
-def one_of_each(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+def one_of_each(
+    docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, scratch: Scratch | None = None
+) -> DataFrame:
     """One document of each component, and those without links; all columns kept.
 
     The one with the smallest doc_id stays; among those with the same id, or if all
@@ -395,7 +400,7 @@ def one_of_each(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) ->
             F.coalesce("text", F.lit("")),
         )
     )
-    found = _grouped(docs.select("doc_id", "text", F.unhex(row).alias("row")), size, percent)
+    found = _grouped(docs.select("doc_id", "text", F.unhex(row).alias("row")), size, percent, scratch)
     others = found.where(F.col("row") != F.col("first.row")).select(F.col("row").alias(name)).distinct()
     return (
         docs.withColumn(name, F.unhex(row))

@@ -42,12 +42,15 @@ _POWERS = [np.ones(1, np.uint64)]
 
 
 def powers(n: int) -> np.ndarray:
-    """At least ``n`` powers of the multiplier, from 1; the longest so far is remembered."""
-    if n > len(_POWERS[0]):
-        steps = np.full(max(n, 256), _MULTIPLIER, dtype=np.uint64)
-        steps[0] = 1
-        _POWERS[0] = np.multiply.accumulate(steps)
-    return _POWERS[0]
+    """At least ``n`` powers of the multiplier, from 1; up to PIECE of them are remembered."""
+    if n <= len(_POWERS[0]):
+        return _POWERS[0]
+    steps = np.full(max(n, 256), _MULTIPLIER, dtype=np.uint64)
+    steps[0] = 1
+    found = np.multiply.accumulate(steps)
+    if n <= PIECE:
+        _POWERS[0] = found
+    return found
 
 
 def string_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

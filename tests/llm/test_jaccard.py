@@ -3,6 +3,7 @@
 import random
 import re
 
+import pyarrow as pa
 import pytest
 
 from footfall.llm import jaccard
@@ -137,3 +138,12 @@ def test_overlap(n):
     for m in range(1, 60):
         least = next(i for i in range(200) if 100 * i >= 80 * (n + m - i))
         assert jaccard._overlap(n, m, 80) == least
+
+
+def test_prefixes_go_to_all_buckets_alike(spark):
+    """Prefixes hold the smallest hashes; buckets are chosen by another number."""
+    text = " ".join(f"w{i}" for i in range(20_000))
+    table = pa.table({"chunk": [0] * 40, "text": [text[i * 100 : i * 100 + 90_000] for i in range(40)]})
+    asked = jaccard._ask_prefixes(table, 16, 5, 80)
+    sizes = [len(k.as_py()) for k in asked.column("keys")]
+    assert asked.num_rows == 16 and max(sizes) < 2 * min(sizes)
