@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from footfall.llm.secret_scan import load_encoder
-from footfall.llm.textbytes import mix, powers, string_bytes
+from footfall.llm.textbytes import mix, powers, row_groups, string_bytes
 
 LENGTH = 1024
 GRAIN = 8  # lengths in a class differ by less than this
@@ -219,6 +219,55 @@ def tokenised(docs: DataFrame, vocabulary: str | None = None, length: int = LENG
     )
 
 
+def sequences(
+    docs: DataFrame, pieces: DataFrame, vocabulary: str | None = None, length: int = LENGTH
+) -> DataFrame:
+    """(sequence_id, n_tokens, ids): what ``pack`` made of ``docs``, ready to train on.
+
+    ``ids`` are little-endian unsigned 32-bit numbers, piece after piece. ``docs`` are the
+    documents that were packed, with the same vocabulary and length; which of them a piece
+    is of is told by id, size and checksum, and rows alike in those have the same ids there.
+    """
+    width = 4 * length
+    own = ["doc_id", "start", "ids_crc32", "doc_tokens"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode = _Ids(vocabulary)
+        for batch in batches:
+            for part in row_groups(batch, "text", _TOGETHER):
+                rows, cuts, sizes = [], [], []
+                for row, found in enumerate(encode(part.column("text"))):
+                    ids = found + bytes(4)
+                    for i in range(0, len(ids), width):
+                        rows.append(row)
+                        cuts.append((i // 4, ids[i : i + width]))
+                        sizes.append(len(ids) // 4)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column("doc_id").take(pa.array(rows, pa.int64())),
+                        pa.array([start for start, _ in cuts], pa.int64()),
+                        pa.array([zlib.crc32(ids) for _, ids in cuts], pa.int64()),
+                        pa.array(sizes, pa.int64()),
+                        pa.array([ids for _, ids in cuts], pa.binary()),
+                    ],
+                    names=[*own, "ids"],
+                )
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    cuts = (
+        docs.select("doc_id", "text")
+        .mapInArrow(run, f"doc_id {kind}, start long, ids_crc32 long, doc_tokens long, ids binary")
+        .dropDuplicates(own)
+        .select(*[F.col(c).alias(f"_{c}") for c in own], "ids")
+    )
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in own]
+    parts = F.sort_array(F.collect_list(F.struct("offset", "ids")))
+    joined = F.aggregate(parts, F.lit(b""), lambda ids, part: F.concat(ids, part["ids"]))
+    return pieces.join(cuts, same).groupBy("sequence_id").agg(
+        F.sum("length").alias("n_tokens"), joined.alias("ids")
+    )
+
+
 # Patterns -------------------------------------------------------------------------
 
 
