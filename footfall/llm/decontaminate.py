@@ -7,7 +7,7 @@ joined on that alone, the shingle's place says where the window would have to be
 and end, and there the words are compared.
 
 Everything is DataFrame expressions. Document shingles are first held against a bit
-table of a fixed size, so few others are ever turned into rows.
+table as large as their number asks for, so few others are ever turned into rows.
 """
 
 from __future__ import annotations
@@ -18,7 +18,10 @@ from footfall.plans.scratch import Scratch
 
 WINDOW = 10
 SHINGLE = 3  # words; a window with fewer is one shingle
-_CELLS = 1 << 13  # of 64 bits each: 64 kB, whatever the benchmark
+# Cells, of 64 bits each, of the table that document shingles are held against: one for
+# each shingle sought, so at most one other in 64 passes. Between 64 kB and 64 MB; for more
+# than 8 million shingles that rate grows, and no result changes.
+_LEAST_CELLS, _MOST_CELLS = 1 << 13, 1 << 23
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -73,43 +76,48 @@ def _window_shingles(windows: DataFrame, size: int) -> DataFrame:
     return out
 
 
-def _bit_table(tokens: DataFrame) -> DataFrame:
-    """One row, one array of _CELLS numbers: the bits that the column ``token`` sets."""
+def table_cells(tokens: int) -> int:
+    """A power of two."""
+    return min(max(1 << max(tokens - 1, 0).bit_length(), _LEAST_CELLS), _MOST_CELLS)
+
+
+def _bit_table(tokens: DataFrame, cells: int) -> DataFrame:
+    """One row, one array of ``cells`` numbers: the bits that the column ``token`` sets."""
     spark = tokens.sparkSession
     bit = F.expr(f"shiftleft(1L, cast(pmod(shiftright(token, 24), 64) as int))")
-    cells = tokens.groupBy(F.pmod("token", F.lit(_CELLS)).alias("id")).agg(F.bit_or(bit).alias("bits"))
-    full = spark.range(_CELLS).join(cells, "id", "left")
+    hit = tokens.groupBy(F.pmod("token", F.lit(cells)).alias("id")).agg(F.bit_or(bit).alias("bits"))
+    full = spark.range(cells).join(hit, "id", "left")
     pair = F.struct("id", F.coalesce("bits", F.lit(0).cast("long")).alias("bits"))
     return full.agg(F.transform(F.sort_array(F.collect_list(pair)), lambda x: x["bits"]).alias("table"))
 
 
-def _in_table(token: Column) -> Column:
-    cell = F.get("bits", F.pmod(token, F.lit(_CELLS)).cast("int"))
+def _in_table(token: Column, cells: int) -> Column:
+    cell = F.get("bits", F.pmod(token, F.lit(cells)).cast("int"))
     return F.getbit(cell, F.pmod(F.shiftright(token, 24), F.lit(64)).cast("int")) == 1
 
 
-def _with_words(docs: DataFrame, sought: DataFrame) -> DataFrame:
+def _with_words(docs: DataFrame, sought: DataFrame, cells: int) -> DataFrame:
     """doc_id, h, the words ``w``, and ``bits``, the bit table of the tokens that are sought."""
     return docs.select(
         "doc_id",
         F.xxhash64(F.coalesce("text", F.lit(""))).alias("h"),
         words(F.col("text")).alias("w"),
-        _bit_table(sought).scalar().alias("bits"),
+        _bit_table(sought, cells).scalar().alias("bits"),
     )
 
 
-def _present(size: int) -> Column:
+def _present(size: int, cells: int) -> Column:
     """Places of the words ``w`` where a shingle of ``size`` may be one that is sought."""
     return F.filter(
-        _positions(F.size("w"), size), lambda at: _in_table(_shingle(F.col("w"), at, size))
+        _positions(F.size("w"), size), lambda at: _in_table(_shingle(F.col("w"), at, size), cells)
     )
 
 
-def _tokens_at(size: int) -> Column:
-    return F.transform(_present(size), lambda at: _shingle(F.col("w"), at, size))
+def _tokens_at(size: int, cells: int) -> Column:
+    return F.transform(_present(size, cells), lambda at: _shingle(F.col("w"), at, size))
 
 
-def _candidates_at(size: int, window: int) -> Column:
+def _candidates_at(size: int, window: int, cells: int) -> Column:
     """Where a sought shingle may be, and the words that a window around it can have."""
 
     def one(at: Column) -> Column:
@@ -122,7 +130,7 @@ def _candidates_at(size: int, window: int) -> Column:
             F.slice("w", first + 1, at - first + window).alias("near"),
         )
 
-    return F.transform(_present(size), one)
+    return F.transform(_present(size, cells), one)
 
 
 def _necessary(docs: DataFrame, shingles: DataFrame, sizes: list[int]) -> DataFrame:
@@ -130,8 +138,9 @@ def _necessary(docs: DataFrame, shingles: DataFrame, sizes: list[int]) -> DataFr
 
     Windows with a shingle that no document has are left out.
     """
-    texts = _with_words(docs, shingles)
-    seen = texts.select(F.explode(F.concat(*[_tokens_at(k) for k in sizes])).alias("token"))
+    cells = table_cells(shingles.select("token").distinct().count())
+    texts = _with_words(docs, shingles, cells)
+    seen = texts.select(F.explode(F.concat(*[_tokens_at(k, cells) for k in sizes])).alias("token"))
     counts = seen.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
     rarity = F.struct(F.coalesce("n", F.lit(0)).alias("n"), "token", "off")
     return (
@@ -144,7 +153,11 @@ def _necessary(docs: DataFrame, shingles: DataFrame, sizes: list[int]) -> DataFr
 
 
 def occurrences(
-    docs: DataFrame, items: DataFrame, window: int = WINDOW, size: int = SHINGLE
+    docs: DataFrame,
+    items: DataFrame,
+    window: int = WINDOW,
+    size: int = SHINGLE,
+    scratch: Scratch | None = None,
 ) -> DataFrame:
     """One row for each text and place where a window occurs, and one for each text.
 
@@ -154,7 +167,7 @@ def occurrences(
     """
     spark = docs.sparkSession
     size = min(size, window)
-    kept = Scratch(spark, "decontaminate")
+    kept = scratch or Scratch(spark, "decontaminate")
     windows = kept.keep(item_windows(items, window), "windows")
     sizes = sorted(r[0] for r in windows.select(F.least(F.size("win"), F.lit(size))).distinct().collect())
     shingles = _window_shingles(windows, size)
@@ -162,6 +175,7 @@ def occurrences(
         sought = kept.keep(_necessary(docs, shingles, sizes), "necessary")
     else:
         sought = shingles.select("token", "off", "win", "items")
+    cells = table_cells(sought.count())
     n_words = F.size("w")
     # The text's own row; its token only spreads these rows over the join.
     own = F.array(
@@ -173,8 +187,8 @@ def occurrences(
         )
     )
     found = (
-        _with_words(docs, sought)
-        .select("doc_id", "h", n_words.alias("n_words"), F.explode(F.concat(own, *[_candidates_at(k, window) for k in sizes])).alias("c"))
+        _with_words(docs, sought, cells)
+        .select("doc_id", "h", n_words.alias("n_words"), F.explode(F.concat(own, *[_candidates_at(k, window, cells) for k in sizes])).alias("c"))
         .select("doc_id", "h", "n_words", "c.*")
     )
     start = F.col("at") - F.col("off")
@@ -197,7 +211,11 @@ def occurrences(
 
 
 def contamination(
-    docs: DataFrame, items: DataFrame, window: int = WINDOW, size: int = SHINGLE
+    docs: DataFrame,
+    items: DataFrame,
+    window: int = WINDOW,
+    size: int = SHINGLE,
+    scratch: Scratch | None = None,
 ) -> DataFrame:
     """For each document: doc_id, h, n_words, n_hit (words in windows) and item_ids, sorted.
 
@@ -206,7 +224,7 @@ def contamination(
     hits and is not named. Documents that share an id are told apart by their text;
     rows alike in both give as many rows alike. Other columns take no part.
     """
-    found = occurrences(docs, items, window, size)
+    found = occurrences(docs, items, window, size, scratch)
     before = (
         Window.partitionBy("doc_id", "h")
         .orderBy("start")
@@ -228,10 +246,12 @@ def contamination(
     )
 
 
-def clean(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
+def clean(
+    docs: DataFrame, items: DataFrame, window: int = WINDOW, scratch: Scratch | None = None
+) -> DataFrame:
     """The documents without any hit, all columns kept."""
     hit = (
-        occurrences(docs.select("doc_id", "text"), items, window)
+        occurrences(docs.select("doc_id", "text"), items, window, scratch=scratch)
         .where(F.col("start").isNotNull())
         .select(F.col("doc_id").alias("hit_id"), F.col("h").alias("hit_h"))
         .distinct()

@@ -39,7 +39,9 @@ def remainder_is(divisor: int, remainder: int) -> Column:
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
-    found = decontaminate.contamination(docs, _table(spark, sf_dir, "benchmark"))
+    found = decontaminate.contamination(
+        docs, _table(spark, sf_dir, "benchmark"), scratch=Scratch(spark, "op1")
+    )
     return found.select(
         "doc_id",
         "n_words",
@@ -76,7 +78,8 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.near_duplicates(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return jaccard.near_duplicates(docs, scratch=Scratch(spark, "op5"))
 
 
 def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,11 +2,13 @@
 
 import random
 import re
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from footfall.llm import decontaminate
+from footfall.plans.scratch import Scratch
 
 LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
 DOCS = "doc_id long, text string, h string, start string"
@@ -86,6 +88,32 @@ def test_clean_keeps_columns_and_clean_rows(spark):
     assert sorted(map(str, map(tuple, kept.collect()))) == sorted(map(str, docs[1:]))
 
 
+@pytest.mark.parametrize("n, cells", [(0, 1 << 13), (8192, 1 << 13), (8193, 1 << 14), (10**6, 1 << 20), (10**9, 1 << 23)])
+def test_table_grows_with_what_is_sought(n, cells):
+    assert decontaminate.table_cells(n) == cells
+
+
+@pytest.mark.parametrize("n", [500, 60_000])
+def test_few_others_pass_the_table(spark, n):
+    sought = spark.range(n).select(F.xxhash64("id").alias("token"))
+    cells = decontaminate.table_cells(n)
+    bits = decontaminate._bit_table(sought, cells).scalar().alias("bits")
+    others = spark.range(n, n + 100_000).select(F.xxhash64("id").alias("token"), bits)
+    assert others.where(decontaminate._in_table(F.col("token"), cells)).count() < 100_000 / 60
+    own = sought.select("token", bits).where(decontaminate._in_table(F.col("token"), cells))
+    assert own.count() == n
+
+
+def test_tables_are_the_callers(spark):
+    scratch = Scratch(spark, "own")
+    frame = spark.createDataFrame([(1, "a b c", "", "")], DOCS)
+    before = set(Path(spark.conf.get("spark.checkpoint.dir")).iterdir())
+    decontaminate.contamination(frame, spark.createDataFrame([(1, "a b")], ITEMS), scratch=scratch).collect()
+    assert set(Path(spark.conf.get("spark.checkpoint.dir")).iterdir()) - before == {Path(scratch.folder)}
+    scratch.drop()
+    assert set(Path(spark.conf.get("spark.checkpoint.dir")).iterdir()) == before
+
+
 def test_plan_is_native(spark):
     docs, items = passages()
     frame = decontaminate.contamination(

@@ -1,14 +1,19 @@
 """The stages of the pipeline, each on what the one before kept."""
 
+from pathlib import Path
 
 import corpus_pipeline
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from footfall.llm import pii
+from footfall.llm import packing, pii
 from test_decontaminate import words
 from test_jaccard import brute as groups
 
+tokenizers = pytest.importorskip("tokenizers")
+public_tokenizers = pytest.importorskip("public_tokenizers")
+
 SF_DIR = "/root/testdata/sf0.001"
 
 
@@ -76,8 +81,27 @@ def test_packing_covers_every_document(kept):
     assert ends.count() == kept["personal_data"].count()
 
 
-def test_run_is_the_stages(spark, kept):
-    assert rows(corpus_pipeline.run(spark, SF_DIR)) == rows(kept["packing"])
+def test_run_is_the_stages(spark, kept, tmp_path):
+    folder = tmp_path / "corpus"
+    before = set(Path(spark.conf.get("spark.checkpoint.dir")).glob("footfall-*"))
+    assert rows(corpus_pipeline.run(spark, SF_DIR, str(folder))) == rows(kept["packing"])
+    # Nothing is left but the result and the documents that it consists of.
+    assert {p.name for p in folder.iterdir()} == {"personal_data", "packing"}
+    assert set(Path(spark.conf.get("spark.checkpoint.dir")).glob("footfall-*")) == before
+
+
+def test_sequences_come_from_the_output_alone(spark, kept):
+    """Token ids of every sequence, and from them every document's text."""
+    found = packing.sequences(kept["personal_data"], kept["packing"]).collect()
+    ids = {r.sequence_id: np.frombuffer(r.ids, "<u4") for r in found}
+    assert all(len(ids[r.sequence_id]) == r.n_tokens <= 1024 for r in found)
+    tokenizer = tokenizers.Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    parts = {}
+    for p in kept["packing"].collect():
+        parts.setdefault(p.doc_id, []).append((p.start, ids[p.sequence_id][p.offset : p.offset + p.length]))
+    for row in kept["personal_data"].collect():
+        own = np.concatenate([part for _, part in sorted(parts[row.doc_id], key=lambda x: x[0])])
+        assert own[-1] == 0 and tokenizer.decode(own[:-1].tolist(), skip_special_tokens=False) == row.text
 
 
 def test_edges(spark, tmp_path):
