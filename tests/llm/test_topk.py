@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -74,3 +75,37 @@ def test_reading_stops_early():
     vectors[17] = 1000
     which, at, score = topk.best_by_lists(np.arange(4000), vectors, np.array([-1]), np.ones((1, 4), int), 1)
     assert at.tolist() == [17] and score.tolist() == [4000]
+
+
+def test_lists_of_the_given_vectors_are_not_read_to_their_end():
+    rows = pq.read_table("/root/testdata/sf0.1/embeddings.parquet")
+    ids = rows.column("vec_id").to_numpy()
+    vectors = np.floor(256 * np.array(rows.column("embedding").to_pylist())).astype(np.int64)
+    asked = ids % 50 == 0
+    first = np.arange(len(ids)) % 2 == 0
+    read, floors = np.zeros(asked.sum()), np.full(asked.sum(), np.iinfo(np.int64).max)
+    which, _, score = topk.best_by_lists(
+        ids[first], vectors[first], ids[asked], vectors[asked], 5, read=read
+    )
+    np.minimum.at(floors, which, score)
+    assert read.mean() < 0.9
+    which, at, score = topk.best_by_lists(
+        ids[~first], vectors[~first], ids[asked], vectors[asked], 5, None, floors, read
+    )
+    assert read.max() < 1 and read.mean() < 0.75
+    # With a floor, what is left out is below it.
+    every = vectors[~first] @ vectors[asked].T
+    own = ids[~first][:, None] == ids[asked][None, :]
+    for q in range(asked.sum()):
+        best = sorted(every[~own[:, q], q], reverse=True)[:5]
+        assert score[which == q].tolist()[: len([s for s in best if s >= floors[q]])] == [s for s in best if s >= floors[q]]
+
+
+@pytest.mark.parametrize("n", [1, 7, 50])
+def test_places_known_before_change_nothing(n):
+    rng = np.random.default_rng(n)
+    vectors = rng.integers(-3, 3, (n, 5))
+    queries = rng.integers(-9, 9, (4, 5))
+    plain = topk.best_by_lists(np.arange(n), vectors, -np.arange(1, 5), queries, 3)
+    known = topk.best_by_lists(np.arange(n), vectors, -np.arange(1, 5), queries, 3, topk.list_places(vectors))
+    assert all((a == b).all() for a, b in zip(plain, known))
