@@ -1,11 +1,13 @@
 """Language-model scores of texts by a weighted backoff automaton.
 
-The model is a Dirichlet-smoothed bigram model over all training texts: after word
-u, word w has probability (c(u w) + MASS * p(w)) / (c(u) + MASS), and p(w) is the
-add-one share of w. As an automaton, every seen word is a state. A seen bigram is an
-arc with its probability; for any other word the state's failure arc, of weight
-MASS / (c(u) + MASS), leads to the root, whose arcs hold p(w). A text is scored in
-one traversal that carries the state and adds up logarithms.
+The model is a Dirichlet-smoothed n-gram model over all training texts: after a context u
+that was seen, word w has probability (c(u w) + MASS * p(w | u')) / (c(u) + MASS), where u'
+is u without its first word, and p(w) without any context is the add-one share of w. As an
+automaton, every seen context of up to ``order - 1`` words is a state. A seen n-gram is an
+arc with its probability, to the longest state that it ends with; for any other word the
+state's failure arc, of weight MASS / (c(u) + MASS), leads to the state of u', and at last
+to the root, whose arcs hold p(w) for all words. A text is scored in one traversal that
+carries the state and adds up logarithms.
 
 Counts grow with the corpus, so no task holds them all. Texts are dealt over chunks.
 A chunk sends its distinct n-grams to the buckets of a hash, where all chunks'
@@ -26,6 +28,7 @@ from footfall.llm import counting
 from footfall.llm.textbytes import mix, row_groups, word_hashes
 
 MASS = 4.0  # how many counts the lower order stands for
+ORDER = 2  # words in the longest n-gram
 CHUNK = 4 << 20  # bytes of text in a chunk, about
 END = np.uint64(0x1D872B41C0FFEE11)  # the token after a text's last word
 START = np.uint64(0x6C62272E07BB0142)  # the state before its first; no token
@@ -42,88 +45,139 @@ def _tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return out, out_bounds
 
 
-def _pairs(tokens: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """The hash of every token with the state before it."""
-    before = np.empty_like(tokens)
-    before[1:] = tokens[:-1]
-    before[bounds[:-1]] = START
-    return mix(before * np.uint64(3) ^ mix(tokens))
+def _grams(tokens: np.ndarray, bounds: np.ndarray, order: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For n from 1: the hash of the n-gram that ends at each token, and whether there is one.
+
+    START stands before a text's first token and is part of n-grams from there on.
+    """
+    place = np.arange(len(tokens)) - np.repeat(bounds[:-1], np.diff(bounds))
+    keys = [(tokens, np.ones(len(tokens), bool))]
+    for n in range(2, order + 1):
+        before = np.empty_like(tokens)
+        before[1:] = keys[-1][0][:-1]
+        if n == 2:
+            before[bounds[:-1]] = START
+        there = place >= n - 2
+        keys.append((np.where(there, mix(before * np.uint64(3) ^ mix(tokens)), np.uint64(0)), there))
+    return keys
 
 
 class Automaton:
-    """States and arcs for words numbered from 0 that a chunk of texts holds.
+    """States and arcs, from the counts of the n-grams that end at each token of some texts.
 
-    State 0 is the root, ``word + 1`` a seen word, ``words + 1`` the start. An arc's
-    key is ``state * words + word``.
+    State 0 is the root and 1 the start of a text; words are numbered from 0. ``root`` is
+    each word's log10 p.
     """
 
     def __init__(
-        self, root: np.ndarray, seen: np.ndarray, starts: int, arcs: np.ndarray, counts: np.ndarray
+        self,
+        word: np.ndarray,
+        bounds: np.ndarray,
+        root: np.ndarray,
+        grams: list[tuple[np.ndarray, np.ndarray]],
+        counts: list[np.ndarray],
+        starts: int,
     ) -> None:
-        """root: each word's log10 p; seen: its count; arcs, counts: seen bigrams' keys and counts."""
-        self.words = n = len(root)
-        context = np.concatenate([[0], seen, [starts]])
-        self._arcs = dict(
-            zip(
-                arcs.tolist(),
-                np.log10(
-                    (counts + MASS * 10 ** root[arcs % n]) / (context[arcs // n] + MASS)
-                ).tolist(),
-            )
-        )
-        self._root = root.tolist()
-        self._fail = np.log10(MASS / (context + MASS)).tolist()
-        self._next = np.where(seen > 0, np.arange(1, n + 1), 0).tolist()
+        """counts: for each n, the training count of the n-gram that ends at each token."""
+        order, words = len(grams), len(root)
+        first, last = bounds[:-1], bounds[1:] - 1
+        self._words, self._root = words, root.tolist()
+        fail, fail_to = [0.0, _fail(starts)], [0, 0]
+        state = [np.zeros(len(word), np.int64)]  # by n: the state that ends at each token
+        self._arcs: dict[int, int] = {}
+        weights: list[float] = []
+        targets: list[int] = []
+        for n in range(1, order):
+            own = (counts[n - 1] > 0) & grams[n - 1][1]
+            own[last] = False  # nothing follows a text's end
+            _, at, which = np.unique(grams[n - 1][0][own], return_index=True, return_inverse=True)
+            at = np.flatnonzero(own)[at]
+            found = np.zeros(len(word), np.int64)
+            found[own] = len(fail) + which
+            fail += np.log10(MASS / (counts[n - 1][at] + MASS)).tolist()
+            fail_to += state[n - 1][at].tolist()
+            state.append(found)
+        p = 10 ** root[word]
+        for n in range(2, order + 1):
+            before = np.zeros(len(word), np.int64)
+            before[1:] = state[n - 1][:-1]
+            context = np.zeros(len(word), np.int64)
+            context[1:] = counts[n - 2][:-1]
+            before[first] = 1 if n == 2 and starts else 0
+            context[first] = starts if n == 2 else 0
+            in_context = before > 0
+            count = np.where(grams[n - 1][1], counts[n - 1], 0)
+            p = np.where(in_context, (count + MASS * p) / (context + MASS), p)
+            arcs = np.flatnonzero(in_context & (count > 0))
+            keys, at = np.unique(before[arcs] * words + word[arcs], return_index=True)
+            self._arcs.update(zip(keys.tolist(), range(len(weights), len(weights) + len(keys))))
+            weights += np.log10(p[arcs[at]]).tolist()
+            targets += state[min(n, order - 1)][arcs[at]].tolist()
+        at_root = np.zeros(words, np.int64)
+        at_root[word] = state[1] if order > 1 else 0
+        self._weights, self._targets = weights, targets
+        self._fail, self._fail_to, self._next = fail, fail_to, at_root.tolist()
+        self._start = 1 if starts and order > 1 else 0
 
     def score(self, text: list[int]) -> float:
-        arc, root, fail, after, n = self._arcs.get, self._root, self._fail, self._next, self.words
-        state, total = n + 1, 0.0
+        arc, weights, targets, words = self._arcs.get, self._weights, self._targets, self._words
+        fail, fail_to, root, after = self._fail, self._fail_to, self._root, self._next
+        state, total = self._start, 0.0
         for word in text:
-            weight = arc(state * n + word) if state else None
-            if weight is None:
-                weight = fail[state] + root[word]
-            total += weight
-            state = after[word]
+            while state:
+                found = arc(state * words + word)
+                if found is not None:
+                    total += weights[found]
+                    state = targets[found]
+                    break
+                total += fail[state]
+                state = fail_to[state]
+            else:
+                total += root[word]
+                state = after[word]
         return total
 
 
+def _fail(context: int) -> float:
+    return log10(MASS / (context + MASS))
+
+
 def _chunk_keys(table: pa.Table) -> tuple[np.ndarray, ...]:
     tokens, bounds = _tokens(table.column("text").combine_chunks())
     training = np.repeat(np.asarray(table.column("training")), np.diff(bounds))
     return tokens, bounds, training
 
 
-def _asked(table: pa.Table, buckets: int, orders: tuple[int, ...]) -> pa.Table:
+def _asked(table: pa.Table, buckets: int, order: int) -> pa.Table:
     """A chunk's distinct n-grams and their training counts."""
     tokens, bounds, training = _chunk_keys(table)
-    keys = {1: tokens, 2: _pairs(tokens, bounds)} if 2 in orders else {1: tokens}
-    parts = [(n, *counting.counted(keys[n], training)) for n in orders]
+    parts = [
+        (n, *counting.counted(keys[there], training[there]))
+        for n, (keys, there) in enumerate(_grams(tokens, bounds, order), 1)
+    ]
     return counting.ask(table.column("chunk")[0].as_py(), buckets, parts)
 
 
 def _scored(
-    texts: pa.Table, counts: pa.Table, tokens_all: int, distinct_all: int, starts: int
+    texts: pa.Table, counts: pa.Table, tokens_all: int, distinct_all: int, starts: int, order: int
 ) -> pa.Table:
     tokens, bounds, _ = _chunk_keys(texts)
-    seen, pair_counts = counting.answered(counts, 1), counting.answered(counts, 2)
+    grams = _grams(tokens, bounds, order)
     words, word = np.unique(tokens, return_inverse=True)
-    pairs, first = np.unique(_pairs(tokens, bounds), return_index=True)
+    found = []
+    for n, (keys, there) in enumerate(grams, 1):
+        own = np.zeros(len(keys), np.int64)
+        own[there] = counting.answered(counts, n)[np.unique(keys[there], return_inverse=True)[1]]
+        found.append(own)
     floor = log10(tokens_all + distinct_all + 1)
-    root = np.log10(seen + 1.0) - floor
-    state = np.empty(len(tokens), np.int64)
-    state[1:] = word[:-1] + 1
-    state[bounds[:-1]] = len(words) + 1
-    known = np.flatnonzero(pair_counts > 0)
-    arcs = state[first[known]] * len(words) + word[first[known]]
-    end = int(np.searchsorted(words, END))
-    contexts = seen.copy()
-    contexts[end] = 0  # nothing follows a text's end
-    machine = Automaton(root, contexts, starts, arcs, pair_counts[known])
+    root = np.zeros(len(words))
+    root[word] = np.log10(found[0] + 1.0) - floor
+    machine = Automaton(word, bounds, root, grams, found, starts)
     every = word.tolist()
     edges = bounds.tolist()
     out = {
         "n_tokens": np.diff(bounds),
-        "n_known": np.add.reduceat((seen[word] > 0).astype(np.int64), bounds[:-1]),
+        "n_known": np.add.reduceat((found[0] > 0).astype(np.int64), bounds[:-1]),
         "base_score": np.add.reduceat(root[word], bounds[:-1]),
         "score": np.array([machine.score(every[a:b]) for a, b in zip(edges, edges[1:])]),
     }
@@ -133,20 +187,22 @@ def _scored(
     return kept
 
 
-def lm_scores(docs: DataFrame, training: Column, chunk: int = CHUNK) -> DataFrame:
+def lm_scores(
+    docs: DataFrame, training: Column, chunk: int = CHUNK, order: int = ORDER
+) -> DataFrame:
     """``docs`` without ``text`` and with n_tokens, n_known, train_tokens, base_score, score.
 
-    The model learns from the rows where ``training`` holds. A null text is empty:
+    The model learns from the rows where ``training`` holds, n-grams of up to ``order`` words. A null text is empty:
     its only token is the end. Scores are log10 probabilities; base_score is that of
     the add-one unigram model. Without training rows every token is unknown. All
-    rows and other columns stay; columns of those names are replaced.
+    rows and other columns stay; columns of those names, in any case, are replaced.
     """
     added = ("n_tokens", "n_known", "train_tokens", "base_score", "score", "chunk", "training")
     text = F.coalesce("text", F.lit(""))
     size = docs.agg(F.sum(F.octet_length(text) + 20), F.sum(training.cast("long"))).first()
     chunks = 1 + int(size[0] or 0) // chunk
     docs = docs.withColumn("training", F.coalesce(training, F.lit(False)))
-    others = [c for c in docs.columns if c != "text" and c not in added]
+    others = [c for c in docs.columns if c.lower() not in ("text", *added)]
     dealt = docs.select(
         *others,
         text.alias("text"),
@@ -157,21 +213,21 @@ def lm_scores(docs: DataFrame, training: Column, chunk: int = CHUNK) -> DataFram
     def unigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in row_groups(batch, "text", 4 * chunk):
-                yield from _asked(pa.Table.from_batches([part]), chunks, (1,)).to_batches()
+                yield from _asked(pa.Table.from_batches([part]), chunks, 1).to_batches()
 
     found = counting.totals(dealt.mapInArrow(unigrams, counting.ASKED))
     totals = found.agg(F.sum("total"), F.sum("distinct")).first()
     tokens_all, distinct_all = int(totals[0] or 0), int(totals[1] or 0)
     # Grouped as below, so that the texts are dealt out once.
     back = counting.answers(
-        dealt.groupBy("chunk").applyInArrow(lambda t: _asked(t, chunks, (1, 2)), counting.ASKED)
+        dealt.groupBy("chunk").applyInArrow(lambda t: _asked(t, chunks, order), counting.ASKED)
     )
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name in others]
     return (
         dealt.groupBy("chunk")
         .cogroup(back.groupBy("chunk"))
         .applyInArrow(
-            lambda texts, own: _scored(texts, own, tokens_all, distinct_all, starts),
+            lambda texts, own: _scored(texts, own, tokens_all, distinct_all, starts, order),
             ", ".join([*fields, "n_tokens long, n_known long, base_score double, score double"]),
         )
         .withColumn("train_tokens", F.lit(tokens_all).cast("long"))
