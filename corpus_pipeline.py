@@ -1,8 +1,10 @@
 """From raw documents to packed training sequences, in five stages.
 
 Each stage is a function of the session, the documents its predecessor kept, and the
-folder of the other tables. ``run`` writes what a stage returns and hands the next
-one the table that it reads back, so lost executors never cost more than a stage.
+folder of the other tables; a caller may also say where it keeps tables of its own.
+``run`` writes what a stage returns and hands the next one the table that it reads
+back, so lost executors never cost more than a stage. What a stage kept for itself goes
+when its result is written.
 """
 
 from __future__ import annotations
@@ -13,32 +15,44 @@ from footfall.llm import decontaminate, jaccard, language, packing, pii
 from footfall.plans.scratch import Scratch
 
 
-def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def identify_language(
+    spark: SparkSession, docs: DataFrame, sf_dir: str, scratch: Scratch | None = None
+) -> DataFrame:
     """Drops documents without a language, and those between two."""
     found = language.identify(docs, language.fit_languages(docs))
     known = (F.col("lang_pred") != language.UNKNOWN) & ~F.col("lang_ambiguous")
     return found.where(known).select(docs.columns)
 
 
-def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def drop_near_copies(
+    spark: SparkSession, docs: DataFrame, sf_dir: str, scratch: Scratch | None = None
+) -> DataFrame:
     """One document of each group of near copies stays."""
-    return jaccard.one_of_each(docs)
+    return jaccard.one_of_each(docs, scratch=scratch)
 
 
-def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def drop_benchmark(
+    spark: SparkSession, docs: DataFrame, sf_dir: str, scratch: Scratch | None = None
+) -> DataFrame:
     """Drops documents that hold a passage of the benchmark."""
-    return decontaminate.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontaminate.clean(docs, items, scratch=scratch)
 
 
-def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def mask_personal_data(
+    spark: SparkSession, docs: DataFrame, sf_dir: str, scratch: Scratch | None = None
+) -> DataFrame:
     """Personal data become the name of their kind; n_chars follows the text."""
     masked = pii.mask_personal_data(docs)
     return masked.withColumn("n_chars", F.char_length("text").cast("long")).select(docs.columns)
 
 
-def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def pack(
+    spark: SparkSession, docs: DataFrame, sf_dir: str, scratch: Scratch | None = None
+) -> DataFrame:
     """The pieces of all documents in sequences."""
-    return packing.pack(Scratch(spark, "pack").keep(packing.tokenised(docs), "pieces"))
+    kept = scratch or Scratch(spark, "pack")
+    return packing.pack(kept.keep(packing.tokenised(docs), "pieces"))
 
 
 STAGES = [
@@ -53,9 +67,20 @@ STAGES = [
 ORACLE_SQL = None
 
 
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = Scratch(spark, "pipeline")
+def run(spark: SparkSession, sf_dir: str, folder: str | None = None) -> DataFrame:
+    """The pieces, and beside them in ``folder`` the documents they are pieces of.
+
+    ``personal_data`` and ``packing`` are the two tables that stay there; without a
+    folder they are in a scratch folder. ``packing.sequences`` makes token ids of them.
+    """
+    kept = Scratch(spark, "pipeline", folder)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    before = None
     for name, stage in STAGES:
-        docs = kept.keep(stage(spark, docs, sf_dir), name)
+        inner = kept.part(name)
+        docs = kept.keep(stage(spark, docs, sf_dir, inner), name)
+        inner.drop()
+        if before and name != STAGES[-1][0]:
+            kept.forget(before)
+        before = name
     return docs
