@@ -4,9 +4,10 @@
         --jdbc-options mysql.json
 
 The conditions file is JSON with the keys ``startDate``, ``endDate``,
-``startAge``, ``endAge`` and ``professionals``, all optional. The JDBC file holds
-the writer's options (url, user, password, driver); without it the results are
-appended to catalog tables of the same names.
+``startAge``, ``endAge``, ``professionals`` and ``targetPageFlow``, all optional. The
+JDBC file holds the writer's options (url, user, password, driver); without it the
+results are appended to catalog tables of the same names. A run with a run id can be
+called again after a failure and then delivers what is missing.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from pathlib import Path
 from footfall.conditions import Conditions
 from footfall.operators.sampling import SAMPLE_SIZE, SEED
 from footfall.plans import run_all
+from footfall.plans.run import DIVERT, RAISE
 from footfall.schema import USER_INFO, USER_VISIT_ACTION
 from footfall.session import build_session
 from footfall.sources.sinks import append_table, jdbc_sink
@@ -31,6 +33,10 @@ def main(arguments: list[str] | None = None) -> str:
     parser.add_argument("--jdbc-options", type=Path, help="JSON file of JDBC writer options")
     parser.add_argument("--sample-size", type=int, default=SAMPLE_SIZE)
     parser.add_argument("--seed", type=int, default=SEED)
+    parser.add_argument("--run-id", help="makes the run resumable under this id")
+    parser.add_argument(
+        "--divert", action="store_true", help="set unreadable actions aside instead of failing"
+    )
     chosen = parser.parse_args(arguments)
 
     conditions = Conditions()
@@ -42,13 +48,20 @@ def main(arguments: list[str] | None = None) -> str:
 
     spark = build_session()
     use_database(spark, chosen.database)
+    if chosen.divert:
+        actions = spark.table("user_visit_action")
+    else:
+        actions = read_table(spark, "user_visit_action", USER_VISIT_ACTION)
     run_id = run_all(
-        read_table(spark, "user_visit_action", USER_VISIT_ACTION),
+        actions,
         read_table(spark, "user_info", USER_INFO),
         conditions,
         sink,
+        run_id=chosen.run_id,
         sample_size=chosen.sample_size,
         seed=chosen.seed,
+        resumable=chosen.run_id is not None,
+        on_rejected=DIVERT if chosen.divert else RAISE,
     )
     print(run_id)
     return run_id

@@ -2,11 +2,14 @@
 
 import json
 
+import pytest
 from builders import rows, worked_actions, worked_users
 
 from footfall.__main__ import main
 from footfall.sources.tables import replace_table, use_database
 
+from pyspark.sql import functions as F
+
 
 def test_reports_from_tables_to_tables(spark, tmp_path, capsys):
     spark.sql("CREATE DATABASE IF NOT EXISTS shop_main")
@@ -30,3 +33,26 @@ def test_reports_from_tables_to_tables(spark, tmp_path, capsys):
         assert spark.table("category_top10_session_count").count() == 2 * 4
     finally:
         use_database(spark, "default")
+
+
+def test_named_runs_and_diverted_rows(spark, tmp_path, capsys):
+    """The same run id delivers once; a time that is none is set aside."""
+    spark.sql("CREATE DATABASE IF NOT EXISTS shop_named")
+    bad = worked_actions(spark).limit(1).withColumn("action_time", F.lit("at noon"))
+    replace_table(worked_actions(spark).unionAll(bad), "user_visit_action", "shop_named")
+    replace_table(worked_users(spark), "user_info", "shop_named")
+    use_database(spark, "default")
+    conditions = tmp_path / "conditions.json"
+    conditions.write_text('{"targetPageFlow": "1,1"}', "utf-8")
+    named = ["--database", "shop_named", "--conditions", str(conditions), "--run-id", "named", "--divert"]
+    try:
+        assert main(named) == main(named) == "named"
+        assert spark.table("rejected_actions").select("taskId", "reason").collect() == [
+            ("named", "action_time is not yyyy-MM-dd HH:mm:ss")
+        ]
+        assert spark.table("page_convert_rate").count() == 1
+        assert spark.table("session_stat_info").count() == 1
+        with pytest.raises(Exception, match="action_time is not"):
+            main(named[:4])
+    finally:
+        use_database(spark, "default")
