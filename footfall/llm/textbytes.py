@@ -84,6 +84,16 @@ def _hash_piece(
     return mix(np.add.reduceat(values, starts - starts[0])), starts
 
 
+def _hash_word(data: np.ndarray, byte_values: np.ndarray) -> np.ndarray:
+    """The hash of one word, as ``_hash_piece`` gives it, from PIECE of its bytes at a time."""
+    total, factor, whole = 0, 1, 1 << 64
+    for at in range(0, len(data), PIECE):
+        values = byte_values[data[at : at + PIECE]]
+        total += factor * int((values * powers(len(values))[: len(values)]).sum(dtype=np.uint64))
+        factor = factor * pow(int(_MULTIPLIER), PIECE, whole) % whole
+    return mix(np.array([total % whole], np.uint64))
+
+
 def _pieces(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int]]:
     """Cuts the rows' bytes into pieces of about PIECE bytes, inside a row only at a space."""
     at, end = int(offsets[0]), int(offsets[-1])
@@ -109,10 +119,17 @@ def word_hashes(column: pa.Array, fold: bool = True) -> tuple[np.ndarray, np.nda
     data, offsets = string_bytes(column)
     hashes, places = [], []
     for at, stop in _pieces(data, offsets):
-        rows = offsets[np.searchsorted(offsets, at) : np.searchsorted(offsets, stop)]
-        found, starts = _hash_piece(data[at:stop], rows - at, _VALUES[fold])
+        long = stop
+        if stop - at > 2 * PIECE:  # all of it in one row, and its last word is a long one
+            spaces = np.flatnonzero(~_IN_WORD[data[at : at + PIECE]])
+            long = at + int(spaces[-1]) + 1 if len(spaces) else at
+        rows = offsets[np.searchsorted(offsets, at) : np.searchsorted(offsets, long)]
+        found, starts = _hash_piece(data[at:long], rows - at, _VALUES[fold])
         hashes.append(found)
         places.append(starts + at)
+        if long < stop:
+            hashes.append(_hash_word(data[long:stop], _VALUES[fold]))
+            places.append(np.array([long]))
     if not hashes:
         return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
     return np.concatenate(hashes), np.searchsorted(np.concatenate(places), offsets)
