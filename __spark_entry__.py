@@ -11,6 +11,7 @@ from functools import reduce
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import DataFrame, SparkSession, functions as F  # noqa: E402
+from pyspark.sql.types import StructType  # noqa: E402
 
 from footfall.conditions import Conditions  # noqa: E402
 from footfall.functions import (  # noqa: E402
@@ -36,12 +37,12 @@ from footfall.plans import (  # noqa: E402
 )
 from footfall.plans.run import maybe_of_users  # noqa: E402
 from footfall.plans.scratch import Scratch  # noqa: E402
-from footfall.schema import USER_VISIT_ACTION, conform  # noqa: E402
+from footfall.schema import USER_INFO, USER_VISIT_ACTION, conform  # noqa: E402
 from footfall.sources import shop_tables as shop  # noqa: E402
 from footfall.sources.days import read_days, write_days  # noqa: E402
 from footfall.sources.rejects import accepted, rejected  # noqa: E402
 from footfall.sources.sinks import folder_sink, stamp_run  # noqa: E402
-from footfall.sources.tables import preview  # noqa: E402
+from footfall.sources.tables import from_rows, preview, read_table, replace_table  # noqa: E402
 
 try:  # the subpackage and its pipeline are optional
     import corpus_pipeline
@@ -58,6 +59,13 @@ SMOKE_DIR = "/root/testdata/sf0.001"
 EVERYTHING = Conditions()
 DEFAULT = shop.DEFAULT_CONDITIONS
 TWO_PROFESSIONS = ("AUTOMOBILE", "BUILDING")
+HALVES = (
+    ("AFRICA", "east"),
+    ("AMERICA", "west"),
+    ("ASIA", "east"),
+    ("EUROPE", "east"),
+    ("MIDDLE EAST", "east"),
+)
 PAGE_FLOW = (1, 2, 3, 4, 5, 6, 7)
 RESULT_TABLES = (
     "session_stat_info",
@@ -205,6 +213,22 @@ def _accepted_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ses.session_buckets(ses.session_rollup(actions, user_ids))
 
 
+def _city_halves(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cities with the part of the world that a literal table gives their area."""
+    schema = "area string, half string"
+    halves = from_rows(spark, HALVES, StructType.fromDDL(schema))
+    table = replace_table(halves, "footfall_half", spark.catalog.currentDatabase())
+    return shop.city_info(spark, sf_dir).join(table, "area")
+
+
+def _replaced_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users from a table that was replaced by those of one gender, and read by the contract."""
+    users = shop.user_info(spark, sf_dir)
+    replace_table(users, "footfall_user_info")
+    replace_table(users.where("gender = 'F'"), "footfall_user_info")
+    return read_table(spark, "footfall_user_info", USER_INFO)
+
+
 def _day_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The actions by day, read back for the default dates."""
     path = f"{Scratch(spark, 'days').folder}/actions"
@@ -241,6 +265,8 @@ def queries() -> dict[str, Query]:
         "scan_users": _on_users(lambda u: u),
         "scan_products": shop.product_info,
         "dim_city": shop.city_info,
+        "city_halves": _city_halves,
+        "replaced_users": _replaced_users,
         "conform_actions": _on_actions(_conform_actions),
         "preview_limit": _on_actions(lambda a: preview(a, 100, *a.columns)),
         "stamp_run": _on_users(lambda u: stamp_run(u, RUN_ID)),
@@ -605,6 +631,9 @@ def oracle_sql() -> dict[str, str]:
         "scan_users": _sql("SELECT * FROM user_info"),
         "scan_products": _PRODUCTS,
         "dim_city": _CITIES,
+        "city_halves": f"""SELECT area, city_id, city_name, half FROM ({_CITIES})
+            JOIN (VALUES {", ".join(map(str, HALVES))}) AS halves(area, half) USING (area)""",
+        "replaced_users": _sql("SELECT * FROM user_info WHERE gender = 'F'"),
         "conform_actions": _sql(f"SELECT * FROM {every}"),
         "preview_limit": _sql(f"SELECT * FROM {every} ORDER BY {order} LIMIT 100"),
         "stamp_run": _sql(f"""SELECT '{RUN_ID}' AS "taskId", * FROM user_info"""),
