@@ -1,5 +1,9 @@
 """Language identification: held-out accuracy, codewords, edges."""
 
+import math
+import random
+from collections import Counter
+
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -79,3 +83,59 @@ def test_few_languages(spark, rows):
     frame = spark.createDataFrame([(1, "some text"), (2, None)], "doc_id long, text string")
     found = {r.doc_id: (r.lang_pred, r.lang_ambiguous) for r in language.identify(frame, model).collect()}
     assert found == {1: (rows[0][1] if rows else "und", False), 2: ("und", False)}
+
+
+def trigrams(text):
+    """Buckets of a text's trigrams that have a letter, byte by byte."""
+    codes = [0, 0, *((b | 32) - 96 if chr(b).isascii() and chr(b).isalpha() else b if b > 127 else 0 for b in text.encode()), 0, 0]
+    packed = [(a << 16) | (b << 8) | c for a, b, c in zip(codes, codes[1:], codes[2:])]
+    return [b for b in ((x * 2654435761 % 2**32) >> 18 for x in packed if x) if b]
+
+
+def brute(learn, texts):
+    """(language, score, ambiguous) by dictionaries, one text after the other."""
+    names = sorted({lang for text, lang in learn if text is not None and lang})
+    shares = {}
+    for name in names:
+        own = [trigrams(text) for text, lang in learn if lang == name and text is not None]
+        shares[name] = Counter()
+        for found in own:
+            for b in found:
+                shares[name][b] += 1 / len(found) / len(own)
+    code, low = language.codewords(len(names)), language.SMOOTHING / language.BUCKETS
+
+    def weight(bit, b):
+        sides = [[shares[n][b] + low for n, c in zip(names, code[:, bit]) if c == side] for side in (1, -1)]
+        yes, no = (max(sum(x) / len(x), low) for x in sides)
+        return math.log(yes) - math.log(no)
+
+    for text in texts:
+        found = trigrams(text)
+        margins = [
+            language.SHARPNESS * sum(weight(bit, b) for b in found) / max(len(found), 1)
+            for bit in range(code.shape[1])
+        ]
+        loss = [sum(math.log1p(math.exp(-m * c)) for m, c in zip(margins, row)) for row in code]
+        order = sorted(range(len(names)), key=loss.__getitem__)
+        score = 1 / sum(math.exp(loss[order[0]] - x) for x in loss)
+        yield names[order[0]], score, loss[order[1]] - loss[order[0]] < language.AMBIGUOUS
+
+
+@pytest.mark.parametrize("n", [2, 3, 4, 8])
+def test_against_dictionaries(spark, n):
+    rng = random.Random(n)
+    kinds = [rng.sample("abcdefghijklmnopqrstuvwxyzéßЖ", 9) for _ in range(n)]
+
+    def text(kind):
+        return " ".join("".join(rng.choices(kinds[kind], k=rng.randrange(1, 6))) for _ in range(rng.randrange(1, 30)))
+
+    learn = [(text(i % n), f"l{i % n}") for i in range(60)] + [(None, "l0"), ("x", None)]
+    texts = [text(rng.randrange(n)) for _ in range(50)] + [text(0) + " " + text(1), "Q"]
+    model = language.fit_languages(spark.createDataFrame(learn, "text string, lang string").repartition(5))
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: r for r in language.identify(rows, model).collect()}
+    for i, (lang, score, close) in enumerate(brute(learn, texts)):
+        r = found[i]
+        assert math.isclose(r.lang_score, score, rel_tol=1e-4)
+        if abs(score - 0.5) > 1e-3:
+            assert (r.lang_pred, r.lang_ambiguous) == (lang, close)
