@@ -157,6 +157,11 @@ def _finder(vocabulary: str | None) -> Callable[[str], list[Span]]:
     return find
 
 
+def make_finder(vocabulary: str | None = None) -> Callable[[], Callable[[str], list[Span]]]:
+    """What makes the finder of ``find_secrets`` in a task."""
+    return lambda: _finder(vocabulary)
+
+
 def find_secrets(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
     """``docs`` with ``secrets``, the spans of secrets in each whole ``text``.
 
@@ -165,4 +170,4 @@ def find_secrets(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
     texts have no spans; all rows and other columns stay, repeated rows too; a
     column named ``secrets`` is replaced.
     """
-    return with_spans(docs, "secrets", lambda: _finder(vocabulary))
+    return with_spans(docs, "secrets", make_finder(vocabulary))
