@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from footfall.llm import decontaminate, jaccard, language, packing, pii
+from footfall.llm import decontaminate, jaccard, language, packing, pii, secret_scan
 from footfall.plans.scratch import Scratch
 
 
@@ -42,8 +42,8 @@ def drop_benchmark(
 def mask_personal_data(
     spark: SparkSession, docs: DataFrame, sf_dir: str, scratch: Scratch | None = None
 ) -> DataFrame:
-    """Personal data become the name of their kind; n_chars follows the text."""
-    masked = pii.mask_personal_data(docs)
+    """Personal data and secrets become the name of their kind; n_chars follows the text."""
+    masked = pii.mask_personal_data(docs, secret_scan.make_finder())
     return masked.withColumn("n_chars", F.char_length("text").cast("long")).select(docs.columns)
 
 
