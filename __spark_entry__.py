@@ -35,7 +35,7 @@ from footfall.plans import (  # noqa: E402
     session_extract,
     session_stats,
 )
-from footfall.plans.run import maybe_of_users  # noqa: E402
+from footfall.plans.run import of_users  # noqa: E402
 from footfall.plans.scratch import Scratch  # noqa: E402
 from footfall.schema import USER_INFO, USER_VISIT_ACTION, conform  # noqa: E402
 from footfall.sources import shop_tables as shop  # noqa: E402
@@ -159,12 +159,20 @@ def _category_session_top10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return category_session_top(actions, top, RUN_ID, user_ids=user_ids)
 
 
-def _filtered_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Most actions of other users dropped at the scan, by a filter over the ids."""
+def _filtered_rollup(spark: SparkSession, sf_dir: str, apart: int = 1) -> DataFrame:
+    """Other users' actions dropped at the scan, by a filter over the ids.
+
+    Ids that lie far apart get a filter of their hashes, and are joined after it.
+    """
     actions, user_ids = _parts(spark, sf_dir, DEFAULT)
+    user_id = (F.col("user_id") * apart).alias("user_id")
     tables = Scratch(spark, "filtered-rollup")
-    ids = tables.keep(user_ids, "users")
-    return ses.session_rollup(maybe_of_users(actions, ids, tables), ids)
+    ids = tables.keep(user_ids.select(user_id), "users")
+    return ses.session_rollup(*of_users(actions.withColumn("user_id", user_id), ids, tables))
+
+
+def _nearly_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _filtered_rollup(spark, sf_dir, 1_000_000_007)
 
 
 def _run_all(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -303,6 +311,7 @@ def queries() -> dict[str, Query]:
         "session_rollup": _on_sessions(lambda s: s),
         "session_rollup_shuffled": _shuffled_rollup,
         "session_rollup_filtered": _filtered_rollup,
+        "session_rollup_nearly_filtered": _nearly_filtered,
         "session_rollup_from_days": _rollup_from_days,
         "session_count": _on_sessions(
             lambda s: s.agg(F.count(F.lit(1)).alias("session_count"))
@@ -708,6 +717,7 @@ def oracle_sql() -> dict[str, str]:
             first_entry, entries, list_part FROM parts"""
         ),
         "session_rollup_filtered": _sql("SELECT * FROM sessions"),
+        "session_rollup_nearly_filtered": _sql("SELECT * FROM sessions"),
         "session_rollup_from_days": _sql("SELECT * FROM sessions"),
         "page_conversion": _sql(_CONVERSION + "SELECT * FROM conversion"),
         "rejected_actions": _sql(

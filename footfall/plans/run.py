@@ -10,7 +10,15 @@ from pyspark.sql import DataFrame, functions as F
 from footfall.conditions import Conditions
 from footfall.operators.actions import actions_of_users, matching_users
 from footfall.operators.categories import TOP_N
-from footfall.operators.membership import MOST_BYTES, filter_length, id_filter, may_be_in
+from footfall.operators.membership import (
+    MOST_BYTES,
+    exact_filter,
+    exact_length,
+    filter_length,
+    id_filter,
+    is_in,
+    may_be_in,
+)
 from footfall.operators.sampling import ROUNDED, SAMPLE_SIZE, SEED
 from footfall.operators.sessions import session_rollup
 from footfall.plans.manifest import Manifest, Unrecorded, written
@@ -29,19 +37,35 @@ from footfall.sources.sinks import Sink, stamp_run
 RAISE, DIVERT = "raise", "divert"
 
 
-def maybe_of_users(
+def of_users(
     actions: DataFrame, user_ids: DataFrame, tables: Scratch, most_bytes: int = MOST_BYTES
-) -> DataFrame:
-    """Actions without most of those that none of ``user_ids``, a written table, did.
-
-    It saves counting and shuffling them; the user join still decides. With more ids
-    than a filter of ``most_bytes`` can tell apart, all actions go on.
+) -> tuple[DataFrame, DataFrame | None]:
+    """Actions of ``user_ids``, a written table, and the ids that are still to be joined to them.
+
+    Ids that lie close enough together become a filter of one bit each: what passes it is
+    exactly those users' actions, and nothing is left to join unless a user is listed
+    twice. Others become a filter that a few other users pass, and the join decides; it
+    saves counting and shuffling most of what the join would drop. With more ids than a
+    filter of ``most_bytes`` can tell apart, all actions go on to the join.
     """
-    length = filter_length(user_ids.count(), most_bytes=most_bytes)
+    ids, least, most = user_ids.agg(
+        F.count("user_id"), F.min("user_id"), F.max("user_id")
+    ).first()
+    if not ids:
+        return actions.where(F.lit(False)), None
+    user_id, name = F.col("user_id"), "user_filter"
+    length = exact_length(least, most, most_bytes)
+    if length is not None:
+        found = written(tables, lambda: exact_filter(user_ids, "user_id", least, length), name)
+        words = found.select("words").scalar()
+        kept = actions.where(is_in(words, user_id, least, most))
+        listed_once = found.select("bits_set").first()[0] == ids
+        return kept, None if listed_once else user_ids
+    length = filter_length(ids, most_bytes=most_bytes)
     if length is None:
-        return actions
-    words = written(tables, lambda: id_filter(user_ids, "user_id", length), "user_filter")
-    return actions.where(may_be_in(words.scalar(), F.col("user_id")))
+        return actions, user_ids
+    found = written(tables, lambda: id_filter(user_ids, "user_id", length), name)
+    return actions.where(may_be_in(found.select("words").scalar(), user_id)), user_ids
 
 
 def run_all(
@@ -63,10 +87,10 @@ def run_all(
     What several reports need is written once: the ids of the matching users, a filter
     over them, the session roll-up (statistics and sample) and the top categories (their
     report and the sessions within them). The filtered actions themselves are
-    as large as the input, so each report scans just the columns it reads. All
-    but the sample's lists count per user before the user join, and before that the
-    filter drops nearly all actions of other users at the scan; how the join
-    runs is left to the planner, which knows the written ids' size.
+    as large as the input, so each report scans just the columns it reads. The filter
+    drops other users' actions at the scan. Where it is not exact, all but the sample's
+    lists count per user before the user join; how that join runs is left to the planner,
+    which knows the written ids' size.
 
     A ``resumable`` run needs a ``run_id``. If it fails, a second call with that id and
     the same settings and inputs delivers only what the first did not, and computes
@@ -127,43 +151,49 @@ class Reports:
     ) -> None:
         self._actions, self._users, self._conditions = actions, users, conditions
         self._tables, self._run_id = tables, run_id
+        self._matched: tuple[DataFrame, DataFrame | None] | None = None
 
     def _user_ids(self) -> DataFrame:
         ids = lambda: matching_users(self._users, self._conditions)
         return written(self._tables, ids, "users")
 
-    def _counted(self) -> DataFrame:
-        """Actions in range, nearly all of them of the matching users."""
-        in_range = self._actions.where(self._conditions.on_actions())
-        return maybe_of_users(in_range, self._user_ids(), self._tables)
+    def _matching(self) -> tuple[DataFrame, DataFrame | None]:
+        """Actions in range of the matching users, as ``of_users`` gives them."""
+        if self._matched is None:
+            in_range = self._actions.where(self._conditions.on_actions())
+            self._matched = of_users(in_range, self._user_ids(), self._tables)
+        return self._matched
+
+    def _joined(self) -> DataFrame:
+        actions, user_ids = self._matching()
+        if user_ids is None:
+            return actions
+        return actions_of_users(actions, user_ids, self._conditions)
 
     def _sessions(self) -> DataFrame:
-        return written(
-            self._tables, lambda: session_rollup(self._counted(), self._user_ids()), "sessions"
-        )
+        return written(self._tables, lambda: session_rollup(*self._matching()), "sessions")
 
     def _top(self, n: int) -> DataFrame:
-        return written(
-            self._tables,
-            lambda: category_top(self._counted(), self._run_id, n, self._user_ids()),
-            "top_categories",
-        )
+        def build() -> DataFrame:
+            actions, user_ids = self._matching()
+            return category_top(actions, self._run_id, n, user_ids)
+
+        return written(self._tables, build, "top_categories")
 
     def stats(self) -> DataFrame:
         return session_stats(self._sessions(), self._conditions, self._run_id)
 
     def extract(self, size: int, seed: int, allocation: str) -> DataFrame:
-        kept = actions_of_users(self._counted(), self._user_ids(), self._conditions)
-        return session_extract(kept, self._run_id, self._sessions(), size, seed, allocation)
+        return session_extract(
+            self._joined(), self._run_id, self._sessions(), size, seed, allocation
+        )
 
     def top(self, n: int) -> DataFrame:
         return self._top(n)
 
     def top_sessions(self, n: int, per_category: int) -> DataFrame:
-        return category_session_top(
-            self._counted(), self._top(n), self._run_id, per_category, self._user_ids()
-        )
+        actions, user_ids = self._matching()
+        return category_session_top(actions, self._top(n), self._run_id, per_category, user_ids)
 
     def pages(self) -> DataFrame:
-        kept = actions_of_users(self._counted(), self._user_ids(), self._conditions)
-        return page_conversion(kept, self._conditions.page_flow, self._run_id)
+        return page_conversion(self._joined(), self._conditions.page_flow, self._run_id)

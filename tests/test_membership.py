@@ -6,9 +6,16 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from test_plans import plan
 
 from footfall.operators import membership
-from footfall.operators.membership import filter_length, id_filter, may_be_in
+from footfall.operators.membership import (
+    exact_filter,
+    exact_length,
+    filter_length,
+    id_filter,
+    is_in,
+    may_be_in,
+)
 from footfall.operators.sessions import session_rollup
-from footfall.plans.run import maybe_of_users
+from footfall.plans.run import of_users
 from footfall.plans.scratch import Scratch
 
 from pyspark.sql import functions as F
@@ -22,7 +29,8 @@ def test_no_wanted_id_is_lost(spark, ids, length):
     frame = spark.createDataFrame([(i,) for i in ids], "id long")
     words = id_filter(frame, "id", length)
     assert len(words.first().words) == length
-    missed = frame.where("id IS NOT NULL").where(~may_be_in(words.scalar(), F.col("id")))
+    found = words.select("words").scalar()
+    missed = frame.where("id IS NOT NULL").where(~may_be_in(found, F.col("id")))
     assert missed.collect() == []
 
 
@@ -32,7 +40,8 @@ def test_few_others_pass(spark, monkeypatch, page):
     wanted = spark.range(0, 200_000, 1, 8).select((F.col("id") * 7).alias("id"))
     length = filter_length(200_000)
     words = Scratch(spark, "membership").keep(id_filter(wanted, "id", length), f"words{page}")
-    passed = spark.range(0, 1_400_000, 1, 8).where(may_be_in(words.scalar(), F.col("id")))
+    found = words.select("words").scalar()
+    passed = spark.range(0, 1_400_000, 1, 8).where(may_be_in(found, F.col("id")))
     wrong = passed.where("id % 7 <> 0").count()
     assert passed.where("id % 7 = 0").count() == 200_000
     assert wrong < 0.015 * 1_200_000
@@ -46,23 +55,70 @@ def test_length_follows_the_number_of_ids(ids, words):
     assert filter_length(ids, most_bytes=words * 8 - 1) is None
 
 
+@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+@given(
+    least=st.sampled_from([-(2**63), -70, 0, 5, 2**63 - 400]),
+    steps=st.lists(st.integers(0, 399), min_size=1, max_size=40),
+)
+def test_exact_filters_are_exact(spark, least, steps):
+    ids = [least + s for s in steps]
+    frame = spark.createDataFrame([(i,) for i in [*ids, None]], "id long")
+    length = exact_length(min(ids), max(ids))
+    words = exact_filter(frame, "id", min(ids), length)
+    row = words.first()
+    assert len(row.words) == length and row.bits_set == len(set(ids))
+    asked = [i for i in (*range(least - 3, least + 403), 0, -(2**63), 2**63 - 1) if -(2**63) <= i < 2**63]
+    rows_asked = spark.createDataFrame([(i,) for i in [*asked, None]], "id long")
+    hit = is_in(words.select("words").scalar(), F.col("id"), min(ids), max(ids))
+    assert sorted(r.id for r in rows_asked.where(hit).collect()) == sorted(i for i in asked if i in set(ids))
+
+
+def test_exact_length():
+    assert exact_length(7, 7) == 1 and exact_length(0, 64) == 2
+    assert exact_length(0, 8 * 1000 - 1, 1000) == 125 and exact_length(0, 8 * 1000, 1000) is None
+    assert exact_length(-(2**63), 2**63 - 1) is None
+
+
+NOON = "2018-11-26 12:00:00"
+
+
+def kept_ids(spark, ids, tables):
+    return tables.keep(users_frame(spark, [(i, 30, "a") for i in ids]).select("user_id"), "ids")
+
+
 def test_all_actions_go_on_beyond_the_bound(spark):
-    actions = actions_frame(spark, [click("a", 1, "2018-11-26 12:00:00", 1)])
+    actions = actions_frame(spark, [click("a", 1, NOON, 1)])
     tables = Scratch(spark, "membership")
-    ids = tables.keep(users_frame(spark, [(i, 30, "a") for i in range(9)]).select("user_id"), "ids")
-    assert maybe_of_users(actions, ids, tables, most_bytes=8) is actions
+    ids = kept_ids(spark, range(0, 9000, 1000), tables)
+    assert of_users(actions, ids, tables, most_bytes=8) == (actions, ids)
     assert tables.existing("user_filter") is None
 
 
-def test_rollup_is_the_same_and_counts_only_wanted_users(spark):
+@pytest.mark.parametrize(
+    "ids, joined",
+    [
+        ([3, 4, 77], False),
+        ([3, 4, 4, 77], True),  # listed twice: counts twice
+        ([3, 4, 77, 10**15], True),  # too far apart for a bit each
+        ([], False),
+    ],
+)
+def test_rollup_is_the_same(spark, ids, joined):
     times = [f"2018-11-26 12:00:{i % 60:02d}" for i in range(600)]
     actions = actions_frame(spark, [click(f"s{i % 90}", i % 50, t, 1) for i, t in enumerate(times)])
     tables = Scratch(spark, "membership")
-    users = users_frame(spark, [(i, 30, "a") for i in (3, 4, 4, 77)]).select("user_id")
-    ids = tables.keep(users, "ids")
-    maybe = maybe_of_users(actions, ids, tables)
-    assert rows(session_rollup(maybe, ids)) == rows(session_rollup(actions, ids))
-    assert maybe.select("user_id").distinct().count() < 10
-    text = plan(session_rollup(maybe, ids))
-    # Below the first aggregate, on the rows of the scan.
-    assert text.rindex("may_be_in" if "may_be_in" in text else "xxhash64") > text.rindex("partial_min")
+    user_ids = kept_ids(spark, ids, tables)
+    kept, left = of_users(actions, user_ids, tables)
+    assert (left is not None) == joined
+    assert rows(session_rollup(kept, left)) == rows(session_rollup(actions, user_ids))
+    assert kept.select("user_id").distinct().count() < 10
+
+
+@pytest.mark.parametrize("ids", [[3, 4, 77], [3, 4, 10**15]])
+def test_asked_below_the_first_aggregate(spark, ids):
+    actions = actions_frame(spark, [click("a", 3, NOON, 1)])
+    tables = Scratch(spark, "membership")
+    text = plan(session_rollup(*of_users(actions, kept_ids(spark, ids, tables), tables)))
+    asked = text.index("Filter", text.index("partial_min"))
+    assert "scalar-subquery" in text[asked : text.index("\n", asked)].lower() or "Subquery" in text[asked:]
+    assert ("Join" in text) == (10**15 in ids)
