@@ -38,8 +38,10 @@ def unreadable_error() -> Column:
 
 def action_moment(time_text: Column) -> Column:
     """``readable_moment``, raising where the text is no time."""
-    moment = readable_moment(time_text)
-    return F.when(is_unreadable(time_text, moment), unreadable_error()).otherwise(moment)
+    # The error stands last, so that the text is read once.
+    return F.coalesce(
+        readable_moment(time_text), F.when(time_text.isNotNull(), unreadable_error())
+    )
 
 
 def seconds_between(later: Column, earlier: Column) -> Column:
