@@ -7,7 +7,9 @@ automaton, every seen context of up to ``order - 1`` words is a state. A seen n-
 arc with its probability, to the longest state that it ends with; for any other word the
 state's failure arc, of weight MASS / (c(u) + MASS), leads to the state of u', and at last
 to the root, whose arcs hold p(w) for all words. A text is scored in one traversal that
-carries the state and adds up logarithms.
+carries the state and adds up logarithms. The state after a token is the longest one that
+ends there, so all tokens of some texts follow their arcs together, and those without an
+arc go on along their failure arcs, of which there are at most ``order - 1``.
 
 Counts grow with the corpus, so no task holds them all. Texts are dealt over chunks.
 A chunk sends its distinct n-grams to the buckets of a hash, where all chunks'
@@ -81,12 +83,10 @@ class Automaton:
         """counts: for each n, the training count of the n-gram that ends at each token."""
         order, words = len(grams), len(root)
         first, last = bounds[:-1], bounds[1:] - 1
-        self._words, self._root = words, root.tolist()
+        self._words, self._root = words, root
         fail, fail_to = [0.0, _fail(starts)], [0, 0]
         state = [np.zeros(len(word), np.int64)]  # by n: the state that ends at each token
-        self._arcs: dict[int, int] = {}
-        weights: list[float] = []
-        targets: list[int] = []
+        arc_keys, weights, targets = [], [], []
         for n in range(1, order):
             own = (counts[n - 1] > 0) & grams[n - 1][1]
             own[last] = False  # nothing follows a text's end
@@ -110,31 +110,61 @@ class Automaton:
             p = np.where(in_context, (count + MASS * p) / (context + MASS), p)
             arcs = np.flatnonzero(in_context & (count > 0))
             keys, at = np.unique(before[arcs] * words + word[arcs], return_index=True)
-            self._arcs.update(zip(keys.tolist(), range(len(weights), len(weights) + len(keys))))
-            weights += np.log10(p[arcs[at]]).tolist()
-            targets += state[min(n, order - 1)][arcs[at]].tolist()
-        at_root = np.zeros(words, np.int64)
-        at_root[word] = state[1] if order > 1 else 0
-        self._weights, self._targets = weights, targets
-        self._fail, self._fail_to, self._next = fail, fail_to, at_root.tolist()
+            arc_keys.append(keys)
+            weights.append(np.log10(p[arcs[at]]))
+            targets.append(state[min(n, order - 1)][arcs[at]])
+        # Contexts of different lengths are different states, so no key is there twice.
+        every = np.concatenate([np.zeros(0, np.int64), *arc_keys])
+        in_order = np.argsort(every)
+        self._arcs = every[in_order]
+        self._weights = np.concatenate([np.zeros(0), *weights])[in_order]
+        self._targets = np.concatenate([np.zeros(0, np.int64), *targets])[in_order]
+        self._fail, self._fail_to = np.array(fail), np.array(fail_to)
+        self._next = np.zeros(words, np.int64)
+        self._next[word] = state[1] if order > 1 else 0
         self._start = 1 if starts and order > 1 else 0
+        longest = np.zeros(len(word), np.int64)
+        for found in state[1:]:
+            longest = np.where(found > 0, found, longest)
+        self._before = np.empty(len(word), np.int64)
+        self._before[1:] = longest[:-1]
+        self._before[first] = self._start
+        self._word, self._bounds = word, bounds
+
+    def _follow(self, state: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The summed weights of what each state follows for its word, and the states after it."""
+        state = state.copy()
+        total, after = np.zeros(len(word)), np.zeros(len(word), np.int64)
+        left = np.arange(len(word))
+        while len(left):
+            at_root = state[left] == 0
+            done = left[at_root]
+            total[done] += self._root[word[done]]
+            after[done] = self._next[word[done]]
+            left = left[~at_root]
+            keys = state[left] * self._words + word[left]
+            place = np.searchsorted(self._arcs, keys)
+            found = np.zeros(len(left), bool)
+            inside = place < len(self._arcs)
+            found[inside] = self._arcs[place[inside]] == keys[inside]
+            total[left[found]] += self._weights[place[found]]
+            after[left[found]] = self._targets[place[found]]
+            left = left[~found]
+            total[left] += self._fail[state[left]]
+            state[left] = self._fail_to[state[left]]
+        return total, after
+
+    def scores(self) -> np.ndarray:
+        """The log10 probability of each of the texts that the automaton was made for."""
+        total, _ = self._follow(self._before, self._word)
+        return np.add.reduceat(total, self._bounds[:-1])
 
     def score(self, text: list[int]) -> float:
-        arc, weights, targets, words = self._arcs.get, self._weights, self._targets, self._words
-        fail, fail_to, root, after = self._fail, self._fail_to, self._root, self._next
-        state, total = self._start, 0.0
+        """The same of any text of their words, token by token."""
+        state, total = np.array([self._start]), 0.0
         for word in text:
-            while state:
-                found = arc(state * words + word)
-                if found is not None:
-                    total += weights[found]
-                    state = targets[found]
-                    break
-                total += fail[state]
-                state = fail_to[state]
-            else:
-                total += root[word]
-                state = after[word]
+            weight, state = self._follow(state, np.array([word]))
+            total += float(weight[0])
         return total
 
 
@@ -173,13 +203,11 @@ def _scored(
     root = np.zeros(len(words))
     root[word] = np.log10(found[0] + 1.0) - floor
     machine = Automaton(word, bounds, root, grams, found, starts)
-    every = word.tolist()
-    edges = bounds.tolist()
     out = {
         "n_tokens": np.diff(bounds),
         "n_known": np.add.reduceat((found[0] > 0).astype(np.int64), bounds[:-1]),
         "base_score": np.add.reduceat(root[word], bounds[:-1]),
-        "score": np.array([machine.score(every[a:b]) for a, b in zip(edges, edges[1:])]),
+        "score": machine.scores(),
     }
     kept = texts.drop_columns(["text", "chunk", "training"])
     for name, values in out.items():

@@ -106,6 +106,8 @@ def test_probabilities_sum_to_one():
         root = np.zeros(len(words))
         root[word] = np.log10(counts[0] + 1.0) - np.log10(total + distinct + 1)
         machine = lm.Automaton(word, bounds, root, grams, counts, len(texts))
+        one_by_one = [machine.score(word[a:b].tolist()) for a, b in zip(bounds, bounds[1:])]
+        assert np.allclose(one_by_one, machine.scores(), rtol=1e-12)
         for at, stop in zip(bounds, bounds[1:]):
             for end in range(at, stop):
                 before = word[at:end].tolist()
