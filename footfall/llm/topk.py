@@ -140,6 +140,10 @@ def _blocks(rows: DataFrame, groups: int) -> DataFrame:
     )
 
 
+def _numbers_below(n: int) -> Column:
+    return F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))
+
+
 def _numbers(row: dict, name: str, dims: int, many: int, kind=np.int64) -> np.ndarray:
     raw = np.frombuffer(row[name], kind)
     return raw.reshape(-1, dims) if dims else np.zeros((many, 0), kind)
@@ -158,8 +162,12 @@ def _best(row: dict, k: int) -> tuple[np.ndarray, ...]:
     return ids, copies, query_ids, query_data, *found
 
 
-def _with_floors(queries: DataFrame, blocks: DataFrame, k: int) -> DataFrame:
-    """Query blocks with ``floors``: a score that each query's ``k`` best reach, from the first block."""
+def _with_floors(queries: DataFrame, blocks: DataFrame, groups: int, k: int) -> DataFrame:
+    """Query blocks with ``floors``: a score that each query's ``k`` best reach, from the first block.
+
+    There is a copy of that block for each of the ``groups`` of queries, so they meet in
+    as many tasks.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -179,8 +187,10 @@ def _with_floors(queries: DataFrame, blocks: DataFrame, k: int) -> DataFrame:
                 names=[*names, "floors"],
             )
 
-    first = blocks.where("part = 0").drop("part")
-    met = queries.withColumn("floors", F.lit(None).cast("binary")).join(first, "dims", "left")
+    first = blocks.where("part = 0").withColumn("part", F.explode(_numbers_below(groups)))
+    met = queries.withColumn("floors", F.lit(None).cast("binary")).join(
+        first, ["dims", "part"], "left"
+    )
     return met.mapInArrow(run, "dims int, query_ids binary, query_data binary, floors binary")
 
 
@@ -211,14 +221,14 @@ def top_k(vectors: DataFrame, is_query: Column, k: int) -> DataFrame:
     query_groups = 1 + vectors.where(is_query).count() // QUERY_BLOCK
     blocks = _blocks(rows.drop("asked"), groups)
     queries = _blocks(asked.drop("asked"), query_groups).select(
-        "dims", F.col("ids").alias("query_ids"), F.col("data").alias("query_data")
+        "dims", "part", F.col("ids").alias("query_ids"), F.col("data").alias("query_data")
     )
     if groups > 1:
-        queries = _with_floors(queries, blocks, k)
+        queries = _with_floors(queries, blocks, query_groups, k)
     else:
         queries = queries.withColumn("floors", F.lit(None).cast("binary"))
-    every = F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long"))
-    pairs = blocks.join(queries.withColumn("part", F.explode(every)), ["dims", "part"])
+    every = queries.withColumn("part", F.explode(_numbers_below(groups)))
+    pairs = blocks.join(every, ["dims", "part"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
