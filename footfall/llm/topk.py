@@ -24,7 +24,7 @@ QUERY_BLOCK = 512
 SCALE = 256
 _EXACT = float(1 << 52)  # doubles hold all integers up to here
 _LEAST = np.iinfo(np.int64).min // 2
-_STEPS = 16  # lists are read by so many equal parts at most
+_STEPS = 16  # from the middle on, lists are read by this part of them at a time
 
 
 def scaled(embedding: Column) -> Column:
@@ -78,7 +78,8 @@ def best_by_lists(
     depth, step = 0, max(n // _STEPS, 4 * k, 1)
     few = max(8 * k, n // 16)  # so many are scored in full rather than read on for
     while len(active):
-        before, depth = depth, min(n, depth + step)
+        # Twice as far as before, but from the middle on by equal parts.
+        before, depth = depth, min(n, depth + max(min(depth, n // 2 - depth), step))
         # Entries read now: of the upper ends for positive weights, of the lower for others.
         top, bottom = ranks >= n - depth, ranks < depth
         new_top, new_bottom = top & (ranks < n - before), bottom & (ranks >= before)
