@@ -26,8 +26,7 @@ from __future__ import annotations
 
 import hashlib
 import io
-from collections.abc import Iterator
-from functools import lru_cache
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -53,6 +52,24 @@ Vector = tuple[int, ...]
 Matrix = tuple[Vector, ...]
 
 
+def _remembered(most: int) -> Callable[[Callable], Callable]:
+    """Keeps up to ``most`` results of a function; unlike those of functools, it travels to tasks."""
+
+    def wrap(function: Callable) -> Callable:
+        known: dict[tuple, object] = {}
+
+        def call(*arguments):
+            if arguments not in known:
+                if len(known) >= most:
+                    known.clear()
+                known[arguments] = function(*arguments)
+            return known[arguments]
+
+        return call
+
+    return wrap
+
+
 def _plus(a: Matrix, b: Matrix) -> Matrix:
     """The min-plus product."""
     return tuple(
@@ -93,7 +110,7 @@ def _moves(sym: int, state: int) -> list[tuple[str, int, int]]:
     return moves
 
 
-@lru_cache(maxsize=None)  # 16 symbols with some 60 powers each at most
+@_remembered(16 * 64)  # 16 symbols with some 60 powers each at most
 def power(sym: int, log: int) -> Matrix:
     """The matrix of 2**log rows with this symbol, insertions before each included."""
     if log:
@@ -116,7 +133,7 @@ def before_run(sym: int, length: int, after: Vector) -> Vector:
 _IDENTITY: Matrix = tuple(tuple(0 if i == j else _NEVER for j in _STATES) for i in _STATES)
 
 
-@lru_cache(maxsize=1 << 14)
+@_remembered(1 << 14)
 def matrix(runs: tuple[tuple[int, int], ...]) -> Matrix:
     """The matrix of some runs of (symbol, length)."""
     # Column by column: how the best rest depends on where the runs leave.
@@ -128,7 +145,7 @@ def matrix(runs: tuple[tuple[int, int], ...]) -> Matrix:
     return tuple(zip(*columns))
 
 
-@lru_cache(maxsize=1 << 16)
+@_remembered(1 << 16)
 def _choice(sym: int, state: int, after: Vector) -> tuple[str, int]:
     """The letters before and of a row, and the state after it."""
     rest = _apply(power(sym, 0), after)
@@ -150,7 +167,7 @@ def _relative(v: Vector) -> Vector:
     return tuple(min(x - least, _NEVER) for x in v)
 
 
-@lru_cache(maxsize=1 << 16)
+@_remembered(1 << 16)
 def _back(sym: int, after: Vector) -> Vector:
     return _relative(_apply(power(sym, 0), after))
 

@@ -1,11 +1,15 @@
 """Conversation repair against trying all edits."""
 
 import hashlib
+import os
 import random
 import re
+import subprocess
+import sys
 from functools import lru_cache
 
 import pytest
+from pyspark import cloudpickle
 
 from footfall.llm import conversations as conv
 
@@ -145,3 +149,18 @@ def test_runs_by_powers_equal_single_rows(length):
         assert conv.matrix(((sym, length),)) == conv.matrix(((sym, 1),) * length) or length > 64
         letters = list(conv.unrolled([(sym, length)], conv.END, 0))
         assert len(letters) == length
+
+
+def test_executors_need_no_package_of_ours(tmp_path):
+    """What a task runs is pickled with all it calls, caches included."""
+    conv.before_run(1, 9, conv.END)
+    path = tmp_path / "task"
+    path.write_bytes(cloudpickle.dumps((conv.unrolled, conv.matrix, conv.END)))
+    code = (
+        "import sys, pickle\n"
+        "unrolled, matrix, end = pickle.load(open(sys.argv[1], 'rb'))\n"
+        "assert 'footfall' not in sys.modules and len(matrix(((4, 3),))) == 4\n"
+        "print(''.join(unrolled([(4, 1), (8, 1)], end, 0)))"
+    )
+    ran = subprocess.run([sys.executable, "-c", code, str(path)], cwd=tmp_path, env={"PATH": os.environ["PATH"]}, capture_output=True, text=True)
+    assert ran.stdout.strip() == "KK", ran.stderr
