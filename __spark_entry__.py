@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import sys
+import uuid
 from collections.abc import Callable
 from dataclasses import replace
 from functools import reduce
@@ -221,20 +222,25 @@ def _accepted_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ses.session_buckets(ses.session_rollup(actions, user_ids))
 
 
+def _own_table(name: str) -> str:
+    """A table name that no other call has, whatever catalog goes with the warehouse."""
+    return f"footfall_{name}_{uuid.uuid4().hex}"
+
+
 def _city_halves(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cities with the part of the world that a literal table gives their area."""
     schema = "area string, half string"
     halves = from_rows(spark, HALVES, StructType.fromDDL(schema))
-    table = replace_table(halves, "footfall_half", spark.catalog.currentDatabase())
+    table = replace_table(halves, _own_table("half"), spark.catalog.currentDatabase())
     return shop.city_info(spark, sf_dir).join(table, "area")
 
 
 def _replaced_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Users from a table that was replaced by those of one gender, and read by the contract."""
-    users = shop.user_info(spark, sf_dir)
-    replace_table(users, "footfall_user_info")
-    replace_table(users.where("gender = 'F'"), "footfall_user_info")
-    return read_table(spark, "footfall_user_info", USER_INFO)
+    users, name = shop.user_info(spark, sf_dir), _own_table("user_info")
+    replace_table(users, name)
+    replace_table(users.where("gender = 'F'"), name)
+    return read_table(spark, name, USER_INFO)
 
 
 def _day_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
